@@ -60,15 +60,16 @@ def stats_30d(fact: DataFrame, as_of=None, days: int = TRAILING_DAYS) -> DataFra
 def latest_per_ticker(fact: DataFrame, recommendation_col: str = "sma_recommendation") -> DataFrame:
     """The bar(s) on each ticker's latest date (ties kept) via the back-join."""
     c = F.col
-    ld = latest_dates(fact)
-    return fact.join(ld, (fact["ticker"] == ld["ticker"]) & (fact["trade_date"] == ld["latest_trade_date"]), "inner").select(
-        fact["ticker"],
-        fact["company_name"],
-        ld["latest_trade_date"],
-        fact["close_price"].alias("current_price"),
-        fact["volume"].alias("current_volume"),
-        fact[recommendation_col].alias("current_recommendation"),
-        fact["trend_signal"].alias("current_trend"),
+    ld = latest_dates(fact).withColumnRenamed("ticker", "_ld_ticker")
+    on = (c("ticker") == c("_ld_ticker")) & (c("trade_date") == c("latest_trade_date"))
+    return fact.join(ld, on, "inner").select(
+        "ticker",
+        "company_name",
+        "latest_trade_date",
+        c("close_price").alias("current_price"),
+        c("volume").alias("current_volume"),
+        c(recommendation_col).alias("current_recommendation"),
+        c("trend_signal").alias("current_trend"),
     )
 
 
