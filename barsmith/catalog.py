@@ -23,8 +23,8 @@ from barsmith.operators.returns import stock_returns, valid_dates
 from barsmith.plans.daily_fact import daily_performance, daily_performance_fused
 from barsmith.plans.portfolio import portfolio_columns, portfolio_performance, split_universe
 from barsmith.plans.summary import latest_dates, latest_per_ticker, stats_30d, stock_summary
-from barsmith.sources.bars import stage_bars
-from barsmith.sources.fixtures import land_raw_layer, raw_layer
+from barsmith.sources.bars import stage_bars, stage_landed
+from barsmith.sources.fixtures import land_raw_layer, landed_bars, raw_layer
 from barsmith.sources.registry import RAW_TABLE_SUFFIX, TICKERS
 from barsmith.sources.schema import (
     BAR_SCHEMA, FACT_COLUMNS, INDICATOR_COLUMNS, MOVING_AVERAGE_COLUMNS, RETURNS_COLUMNS, STAGED_COLUMNS,
@@ -52,6 +52,12 @@ def stabilize(df: DataFrame) -> DataFrame:
 
 # ------------------------------------------------------------------ inputs --
 def staged(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Staging over the landed raw layer read as one ticker-partitioned table."""
+    return stage_landed(landed_bars(spark, sf_dir))
+
+
+def staged_union(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Staging as the UNION ALL of the nine per-ticker raw tables."""
     return stage_bars(raw_layer(spark, sf_dir))
 
 
@@ -99,7 +105,7 @@ def _portfolio(rec: str, keys_unique: bool = True) -> Builder:
 def _views(spark, sf_dir):
     from barsmith.plans.refresh import register_views
 
-    register_views(spark, staged(spark, sf_dir), prefix="bs_")
+    register_views(spark, staged_union(spark, sf_dir), prefix="bs_")
     return spark.sql("SELECT * FROM bs_fct_daily_stock_performance").withColumn("dbt_updated_at", updated_at())
 
 
@@ -175,10 +181,11 @@ def _build_queries() -> dict[str, Query]:
         f"SELECT T, O, H, L, C, V, VW, N, ticker || {O.RAW_TABLE_SUFFIX_SQL} AS source_table FROM raw_bars", *O.RAW
     )
     add("scan_raw_bars", _scan_raw_bars, RAW_COLS, raw_sql)
-    add("stage_bars", staged, STAGED_COLUMNS, _sql(O.RAW, "stg", STAGED_COLUMNS))
-    add("filter_valid_dates", lambda s, d: valid_dates(staged(s, d)), STAGED_COLUMNS,
+    add("stage_bars", staged_union, STAGED_COLUMNS, _sql(O.RAW, "stg", STAGED_COLUMNS))
+    add("stage_landed", staged, STAGED_COLUMNS, _sql(O.RAW, "stg", STAGED_COLUMNS))
+    add("filter_valid_dates", lambda s, d: valid_dates(staged_union(s, d)), STAGED_COLUMNS,
         _sql(O.RAW, "stg", STAGED_COLUMNS, "trade_date IS NOT NULL"))
-    add("sorted_ticker_date", lambda s, d: staged(s, d).orderBy("ticker", "trade_date"), STAGED_COLUMNS,
+    add("sorted_ticker_date", lambda s, d: staged_union(s, d).orderBy("ticker", "trade_date"), STAGED_COLUMNS,
         _sql(O.RAW, "stg", STAGED_COLUMNS))
     add("window_lag_close", _lag_close, K + ["close_price", "prev_close"],
         _sql(O.RETURNS, "ret_base", K + ["close_price", "prev_close"], "trade_date IS NOT NULL"))

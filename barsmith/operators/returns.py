@@ -30,15 +30,17 @@ def price_change_per_volume(close: Column, open_: Column, volume: Column) -> Col
     return F.when(volume > 0, ratio(close - open_, volume) * F.lit(1000000))
 
 
-def with_intraday_metrics(df: DataFrame) -> DataFrame:
+def intraday_columns() -> dict[str, Column]:
     c = F.col
-    return df.withColumns(
-        {
-            "intraday_range": intraday_range(c("high_price"), c("low_price")),
-            "intraday_volatility_pct": intraday_volatility_pct(c("high_price"), c("low_price"), c("open_price")),
-            "price_change_per_volume": price_change_per_volume(c("close_price"), c("open_price"), c("volume")),
-        }
-    )
+    return {
+        "intraday_range": intraday_range(c("high_price"), c("low_price")),
+        "intraday_volatility_pct": intraday_volatility_pct(c("high_price"), c("low_price"), c("open_price")),
+        "price_change_per_volume": price_change_per_volume(c("close_price"), c("open_price"), c("volume")),
+    }
+
+
+def with_intraday_metrics(df: DataFrame) -> DataFrame:
+    return df.withColumns(intraday_columns())
 
 
 def valid_dates(df: DataFrame) -> DataFrame:
@@ -62,5 +64,5 @@ def stock_returns(stg: DataFrame, check_keys: bool = True) -> DataFrame:
     out = valid_dates(stg).select(*cols, previous("close_price", w).alias("_prev_close"), previous("trade_date", w).alias("_prev_date"))
     if check_keys:
         out = out.where(guard(c("_prev_date") == c("trade_date"), DUPLICATE_KEY_MESSAGE))
-    out = out.withColumn("daily_return_pct", daily_return(c("close_price"), c("_prev_close")))
-    return with_intraday_metrics(out).select(*RETURNS_COLUMNS)
+    derived = {"daily_return_pct": daily_return(c("close_price"), c("_prev_close")), **intraday_columns()}
+    return out.select(*[derived[n].alias(n) if n in derived else c(n) for n in RETURNS_COLUMNS])

@@ -29,7 +29,7 @@ from barsmith.operators.indicators import (
     BOLLINGER_WINDOW, MACD_FAST, MACD_SIGNAL, MACD_SLOW, RSI_WINDOW, indicator_outputs,
 )
 from barsmith.operators.moving_averages import moving_average_columns
-from barsmith.operators.returns import daily_return, valid_dates, with_intraday_metrics
+from barsmith.operators.returns import daily_return, intraday_columns, valid_dates
 from barsmith.sources.schema import FACT_COLUMNS, INDICATOR_COLUMNS, KEY, RETURNS_COLUMNS, STAGED_COLUMNS
 
 MA_OUTPUTS = ["sma_7_day", "sma_30_day", "sma_90_day", "avg_volume_7_day", "volatility_30_day"]
@@ -41,30 +41,33 @@ def _updated_at(updated_at) -> Column:
     return updated_at if isinstance(updated_at, Column) else F.lit(updated_at)
 
 
-def fact_signals(df: DataFrame, updated_at=None) -> DataFrame:
-    """Final projection: key, SMA-based signals, volume, risk and squeeze labels.
+def fact_signal_columns(updated_at=None) -> dict[str, Column]:
+    """Key, SMA-based signals, volume, risk and squeeze labels of the fact.
 
     Expects the returns, moving-average and indicator columns side by side.
     """
     c = F.col
     close, sma7, sma30, sma90 = c("close_price"), c("sma_7_day"), c("sma_30_day"), c("sma_90_day")
-    out = df.withColumns(
-        {
-            "performance_key": S.performance_key(c("ticker"), c("trade_date")),
-            "advanced_signal": c("combined_signal"),
-            "trend_signal": S.trend_signal(sma7, sma30),
-            "sma_recommendation": S.sma_recommendation(close, sma7, sma30, sma90),
-            "composite_recommendation": S.composite_recommendation(
-                c("combined_signal"), c("rsi_signal"), c("macd_signal"), close, sma7, sma30
-            ),
-            "volume_indicator": S.volume_indicator(c("volume"), c("avg_volume_7_day")),
-            "volume_vs_avg_pct": S.volume_vs_avg_pct(c("volume"), c("avg_volume_7_day")),
-            "volatility_risk_level": S.volatility_risk_level(c("volatility_30_day")),
-            "bollinger_squeeze_indicator": S.bollinger_squeeze(c("bollinger_width_pct")),
-            "dbt_updated_at": _updated_at(updated_at),
-        }
-    )
-    return out.select(*FACT_COLUMNS)
+    return {
+        "performance_key": S.performance_key(c("ticker"), c("trade_date")),
+        "advanced_signal": c("combined_signal"),
+        "trend_signal": S.trend_signal(sma7, sma30),
+        "sma_recommendation": S.sma_recommendation(close, sma7, sma30, sma90),
+        "composite_recommendation": S.composite_recommendation(
+            c("combined_signal"), c("rsi_signal"), c("macd_signal"), close, sma7, sma30
+        ),
+        "volume_indicator": S.volume_indicator(c("volume"), c("avg_volume_7_day")),
+        "volume_vs_avg_pct": S.volume_vs_avg_pct(c("volume"), c("avg_volume_7_day")),
+        "volatility_risk_level": S.volatility_risk_level(c("volatility_30_day")),
+        "bollinger_squeeze_indicator": S.bollinger_squeeze(c("bollinger_width_pct")),
+        "dbt_updated_at": _updated_at(updated_at),
+    }
+
+
+def fact_signals(df: DataFrame, updated_at=None) -> DataFrame:
+    """Final projection of the fact (44 columns in published order)."""
+    cols = fact_signal_columns(updated_at)
+    return df.select(*[cols[n].alias(n) if n in cols else F.col(n) for n in FACT_COLUMNS])
 
 
 def daily_performance(returns: DataFrame, ma: DataFrame, ti: DataFrame, updated_at=None) -> DataFrame:
@@ -80,12 +83,15 @@ def daily_performance_fused(stg: DataFrame, updated_at=None, check_keys: bool =
     c = F.col
     w = series()
     close = c("close_price")
+    staged = [c(x) for x in STAGED_COLUMNS]
 
-    # level 1: windows over the staged columns
+    # level 1: every window over the staged columns (one exchange + one sort)
+    ma = moving_average_columns(w)
     lvl1 = valid_dates(stg).select(
-        *[c(x) for x in STAGED_COLUMNS],
+        *staged,
         previous(close, w).alias("_prev_close"),
         previous("trade_date", w).alias("_prev_date"),
+        *[ma[k].alias(k) for k in ("sma_7_day", "sma_30_day", "sma_90_day", "avg_volume_7_day")],
         rolling_mean(close, MACD_FAST, w).alias("_ema_fast"),
         rolling_mean(close, MACD_SLOW, w).alias("_ema_slow"),
         rolling_mean(close, BOLLINGER_WINDOW, w).alias("_bb_mid"),
@@ -93,31 +99,33 @@ def daily_performance_fused(stg: DataFrame, updated_at=None, check_keys: bool =
     )
     if check_keys:
         lvl1 = lvl1.where(guard(c("_prev_date") == c("trade_date"), DUPLICATE_KEY_MESSAGE))
-    lvl1 = with_intraday_metrics(
-        lvl1.withColumns(
-            {
-                "daily_return_pct": daily_return(close, c("_prev_close")),
-                "_has_prev": c("_prev_close").isNotNull(),
-                "_gain": S.gain(close, c("_prev_close")),
-                "_loss": S.loss(close, c("_prev_close")),
-                "_macd_line": c("_ema_fast") - c("_ema_slow"),
-            }
-        )
-    )
 
-    # level 2: moving averages (incl. volatility of the level-1 return) and the
-    # MACD signal line over the level-1 line; same spec, so no new sort.
-    lvl2 = lvl1.withColumns({**moving_average_columns(w), "_macd_sig": rolling_mean("_macd_line", MACD_SIGNAL, w)})
-
-    # level 3: previous MACD line / signal for the crossover
-    lvl3 = lvl2.withColumns(
-        {"_prev_macd_line": previous("_macd_line", w), "_prev_macd_sig": previous("_macd_sig", w)}
+    # row-level values that the next windows read
+    prev = c("_prev_close")
+    lvl1 = lvl1.select(
+        "*",
+        daily_return(close, prev).alias("daily_return_pct"),
+        prev.isNotNull().alias("_has_prev"),
+        S.gain(close, prev).alias("_gain"),
+        S.loss(close, prev).alias("_loss"),
+        (c("_ema_fast") - c("_ema_slow")).alias("_macd_line"),
     )
 
-    # RSI frames over the bars that have a previous close only
+    # level 2: volatility of the return, MACD signal line, and RSI means over the
+    # bars that have a previous close (partition (ticker, _has_prev): same
+    # exchange, one extra in-partition sort)
     wk = series(["ticker", "_has_prev"])
-    lvl4 = lvl3.withColumns(
-        {"_avg_gain": rolling_mean("_gain", RSI_WINDOW, wk), "_avg_loss": rolling_mean("_loss", RSI_WINDOW, wk)}
+    lvl2 = lvl1.select(
+        "*",
+        ma["volatility_30_day"].alias("volatility_30_day"),
+        rolling_mean("_macd_line", MACD_SIGNAL, w).alias("_macd_sig"),
+        rolling_mean("_gain", RSI_WINDOW, wk).alias("_avg_gain"),
+        rolling_mean("_loss", RSI_WINDOW, wk).alias("_avg_loss"),
+    )
+
+    # level 3: previous MACD line / signal for the crossover
+    lvl3 = lvl2.select(
+        "*", previous("_macd_line", w).alias("_prev_macd_line"), previous("_macd_sig", w).alias("_prev_macd_sig")
     )
 
     line, sig = c("_macd_line"), c("_macd_sig")
@@ -134,6 +142,11 @@ def daily_performance_fused(stg: DataFrame, updated_at=None, check_keys: bool =
     )
     # bars without a previous close have no indicator row (inner-join semantics)
     has_prev = c("_has_prev")
-    ti_cols = [F.when(has_prev, v).alias(k) for k, v in outs.items()]
-    ind = lvl4.select(*[c(x) for x in RETURNS_COLUMNS], *[c(x) for x in MA_OUTPUTS], *ti_cols)
+    ind = lvl3.select(
+        *[c(x) for x in STAGED_COLUMNS],
+        "daily_return_pct",
+        *[v.alias(k) for k, v in intraday_columns().items()],
+        *[c(x) for x in MA_OUTPUTS],
+        *[F.when(has_prev, v).alias(k) for k, v in outs.items()],
+    )
     return fact_signals(ind, updated_at)

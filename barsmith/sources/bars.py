@@ -13,6 +13,7 @@ from collections.abc import Mapping
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from barsmith.sources.registry import TICKERS, raw_table_name
 from barsmith.sources.schema import BAR_SCHEMA, STAGED_COLUMNS
@@ -46,7 +47,17 @@ def read_raw_layer(
 ) -> dict[str, DataFrame]:
     """Scan every registered raw table under ``root`` (default ``root/<TICKER>_STOCK_API``)."""
     base = root.rstrip("/")
-    return {t: read_bars(spark, layout.format(root=base, table=raw_table_name(t)), fmt) for t in registry}
+    return {t: read_bars(spark, layout.format(root=base, table=raw_table_name(t), ticker=t), fmt) for t in registry}
+
+
+def read_landed(spark: SparkSession, root: str, fmt: str = "parquet") -> DataFrame:
+    """One scan over a raw layer laid out as ``root/ticker=<T>/...``.
+
+    ``ticker`` is a partition column, so a ticker filter prunes whole folders and
+    the file index is built once instead of once per ticker table.
+    """
+    schema = T.StructType([*BAR_SCHEMA.fields, T.StructField("ticker", T.StringType())])
+    return spark.read.schema(schema).format(fmt).load(root)
 
 
 def epoch_ms_to_timestamp(ms: Column) -> Column:
@@ -86,7 +97,7 @@ def stage_bars(raw: Mapping[str, DataFrame], registry: Mapping[str, str] = TICKE
     if missing:
         raise KeyError(f"raw tables missing for tickers: {missing}")
     branches = [project_bar(raw[t], t, name) for t, name in registry.items()]
-    return functools.reduce(DataFrame.unionByName, branches).select(*STAGED_COLUMNS)
+    return functools.reduce(DataFrame.union, branches)
 
 
 def stage_landed(bars: DataFrame, registry: Mapping[str, str] = TICKERS, ticker_col: str = "ticker") -> DataFrame:
@@ -97,11 +108,10 @@ def stage_landed(bars: DataFrame, registry: Mapping[str, str] = TICKERS, ticker_
     a literal map, so there is no join and no shuffle.
     """
     names = F.create_map(*[F.lit(x) for kv in registry.items() for x in kv])
-    tagged = bars.where(F.col(ticker_col).isin(list(registry))).withColumn("company_name", names[F.col(ticker_col)])
     ts = epoch_ms_to_timestamp(F.col("T"))
-    return tagged.select(
+    return bars.where(F.col(ticker_col).isin(list(registry))).select(
         F.col(ticker_col).alias("ticker"),
-        "company_name",
+        names[F.col(ticker_col)].alias("company_name"),
         ts.alias("timestamp"),
         ts.cast("date").alias("trade_date"),
         F.col("O").cast(BAR_SCHEMA["O"].dataType).alias("open_price"),

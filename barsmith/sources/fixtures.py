@@ -26,18 +26,18 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from barsmith.session import shared_dir
-from barsmith.sources.bars import read_raw_layer
-from barsmith.sources.registry import RAW_TABLE_SUFFIX, TICKERS
+from barsmith.sources.bars import read_landed, read_raw_layer
+from barsmith.sources.registry import TICKERS
 from barsmith.sources.schema import BAR_SCHEMA
 
 # --- fixed values: bucket -> ticker order of the derived raw layer ----------
 FIXTURE_TICKER_ORDER = ["AAPL", "QQQ", "MSFT", "AMZN", "SPY", "GOOGL", "META", "NVDA", "TSLA"]
-FIXTURE_VERSION = "f1-v1"
-LANDED_LAYOUT = "{root}/source_table={table}"
+FIXTURE_VERSION = "f1-v2"
+LANDED_LAYOUT = "{root}/ticker={ticker}"
 
 
 def derive_bars(lineitem: DataFrame) -> DataFrame:
-    """Daily bars per derived ticker: columns ``source_table`` + ``BAR_SCHEMA``.
+    """Daily bars per derived ticker: columns ``BAR_SCHEMA`` + ``ticker``.
 
     One hash aggregate on (bucket, day) with map-side partial aggregation; the
     output has at most 9 x (#ship dates) rows.
@@ -65,8 +65,8 @@ def derive_bars(lineitem: DataFrame) -> DataFrame:
     )
     tickers = F.array(*[F.lit(t) for t in FIXTURE_TICKER_ORDER])
     return bars.select(
-        F.concat(F.element_at(tickers, F.col("k").cast("int") + 1), F.lit(RAW_TABLE_SUFFIX)).alias("source_table"),
         *[F.col(f.name).cast(f.dataType).alias(f.name) for f in BAR_SCHEMA.fields],
+        F.element_at(tickers, F.col("k").cast("int") + 1).alias("ticker"),
     )
 
 
@@ -90,7 +90,7 @@ def _local(path: str) -> str:
 def land_raw_layer(spark: SparkSession, sf_dir: str) -> str:
     """Land the derived raw tables once per input; return the raw-layer root.
 
-    Written with ``partitionBy("source_table")`` to a fresh folder which is then
+    Written with ``partitionBy("ticker")`` (one folder per raw table) to a fresh folder which is then
     renamed into place, so concurrent or interrupted runs never expose a partial
     layer; a finished layer is reused.
     """
@@ -101,7 +101,7 @@ def land_raw_layer(spark: SparkSession, sf_dir: str) -> str:
         return root
     staging = f"{root}.tmp-{uuid.uuid4().hex[:8]}"
     bars = derive_bars(spark.read.parquet(lineitem_path))
-    bars.repartition("source_table").write.mode("overwrite").partitionBy("source_table").parquet(staging)
+    bars.repartition("ticker").write.mode("overwrite").partitionBy("ticker").parquet(staging)
     if _is_local(root):
         try:
             os.rename(_local(staging), _local(root))
@@ -115,3 +115,8 @@ def raw_layer(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     """Per-ticker raw DataFrames of the landed stand-in layer for ``sf_dir``."""
     root = land_raw_layer(spark, sf_dir)
     return read_raw_layer(spark, root, TICKERS, layout=LANDED_LAYOUT)
+
+
+def landed_bars(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The landed stand-in layer as one table with a ``ticker`` partition column."""
+    return read_landed(spark, land_raw_layer(spark, sf_dir))
