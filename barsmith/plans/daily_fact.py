@@ -111,23 +111,29 @@ def daily_performance_fused(stg: DataFrame, updated_at=None, check_keys: bool =
         (c("_ema_fast") - c("_ema_slow")).alias("_macd_line"),
     )
 
-    # level 2: volatility of the return, MACD signal line, and RSI means over the
-    # bars that have a previous close (partition (ticker, _has_prev): same
-    # exchange, one extra in-partition sort)
-    wk = series(["ticker", "_has_prev"])
+    # level 2: volatility of the return and the MACD signal line (same spec)
     lvl2 = lvl1.select(
         "*",
         ma["volatility_30_day"].alias("volatility_30_day"),
         rolling_mean("_macd_line", MACD_SIGNAL, w).alias("_macd_sig"),
-        rolling_mean("_gain", RSI_WINDOW, wk).alias("_avg_gain"),
-        rolling_mean("_loss", RSI_WINDOW, wk).alias("_avg_loss"),
     )
 
-    # level 3: previous MACD line / signal for the crossover
+    # level 3: previous MACD line / signal for the crossover (same spec)
     lvl3 = lvl2.select(
         "*", previous("_macd_line", w).alias("_prev_macd_line"), previous("_macd_sig", w).alias("_prev_macd_sig")
     )
 
+    # level 4: RSI means over the bars that have a previous close. Partitioned by
+    # (ticker, _has_prev): the ticker exchange still satisfies it, so this costs
+    # one in-partition sort and no shuffle. Placed last so that the three levels
+    # above share a single sort.
+    wk = series(["ticker", "_has_prev"])
+    lvl3 = lvl3.select(
+        "*",
+        rolling_mean("_gain", RSI_WINDOW, wk).alias("_avg_gain"),
+        rolling_mean("_loss", RSI_WINDOW, wk).alias("_avg_loss"),
+    )
+
     line, sig = c("_macd_line"), c("_macd_sig")
     mid, sd = c("_bb_mid"), c("_bb_sd")
     rsi_sig = S.rsi_label(c("_avg_gain"), c("_avg_loss"))
