@@ -17,7 +17,9 @@ from pyspark.sql import functions as F
 from barsmith import oracle as O
 from barsmith.functions.numeric import stable
 from barsmith.functions.windows import previous, series
-from barsmith.operators.indicators import bollinger, gain_loss, macd, rsi, technical_indicators
+from barsmith.operators.indicators import (
+    bollinger, gain_loss, macd, rsi, technical_indicators, technical_indicators_joined,
+)
 from barsmith.operators.moving_averages import avg_volume, moving_averages, sma, volatility
 from barsmith.operators.returns import stock_returns, valid_dates
 from barsmith.plans.daily_fact import daily_performance, daily_performance_fused
@@ -68,7 +70,7 @@ def fused_fact(spark: SparkSession, sf_dir: str) -> DataFrame:
 def joined_fact(spark: SparkSession, sf_dir: str) -> DataFrame:
     stg = staged(spark, sf_dir)
     ret = stock_returns(stg)
-    return daily_performance(ret, moving_averages(ret), technical_indicators(stg), updated_at=updated_at())
+    return daily_performance(ret, moving_averages(ret), technical_indicators_joined(stg), updated_at=updated_at())
 
 
 # ---------------------------------------------------------------- builders --
@@ -222,8 +224,8 @@ def _build_queries() -> dict[str, Query]:
 
     ti = lambda s, d: technical_indicators(staged(s, d))
     add("technical_indicators", ti, INDICATOR_COLUMNS, _sql(O.TI, "ti", INDICATOR_COLUMNS))
-    ji = K + ["rsi_14_day", "macd_line", "bollinger_middle_band"]
-    add("join_indicators_inner", _cols(ti, ji), ji, _sql(O.TI, "ti", ji))
+    add("join_indicators_inner", lambda s, d: technical_indicators_joined(staged(s, d)), INDICATOR_COLUMNS,
+        _sql(O.TI, "ti", INDICATOR_COLUMNS))
     cs = K + ["combined_signal"]
     add("signal_combined", _cols(ti, cs), cs, _sql(O.TI, "ti", cs))
     ss = K + ["signal_strength_score"]

@@ -131,7 +131,18 @@ def indicator_outputs(
     }
 
 
-def technical_indicators(stg: DataFrame) -> DataFrame:
+def technical_indicators(stg: DataFrame, check_keys: bool = True) -> DataFrame:
+    """The 18 indicator columns for every bar that has a previous close.
+
+    Single window pass (see ``operators.series``); equal to
+    ``technical_indicators_joined`` on unique (ticker, trade_date) keys.
+    """
+    from barsmith.operators.series import series_pass
+
+    return series_pass(stg, check_keys).where(F.col("_has_prev")).select(*INDICATOR_COLUMNS)
+
+
+def technical_indicators_joined(stg: DataFrame) -> DataFrame:
     """RSI x MACD x Bollinger, inner-joined on (ticker, trade_date): 18 columns."""
     r = rsi(stg).select(*KEY, "close_price", "rsi_14", "rsi_signal")
     m = macd(stg).select(*KEY, "macd_line", "macd_signal_line", "macd_histogram", "macd_signal", "macd_crossover")

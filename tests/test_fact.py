@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from barsmith.functions import signals as S
 from barsmith.operators.guards import find_duplicate_keys
-from barsmith.operators.indicators import technical_indicators
+from barsmith.operators.indicators import technical_indicators, technical_indicators_joined
 from barsmith.operators.moving_averages import moving_averages
 from barsmith.operators.returns import stock_returns
 from barsmith.plans.daily_fact import daily_performance, daily_performance_fused
@@ -19,7 +19,7 @@ UPDATED = dt.datetime(2025, 1, 1)
 
 def joined(stg):
     ret = stock_returns(stg)
-    return daily_performance(ret, moving_averages(ret), technical_indicators(stg), updated_at=UPDATED)
+    return daily_performance(ret, moving_averages(ret), technical_indicators_joined(stg), updated_at=UPDATED)
 
 
 def assert_same(a, b):
@@ -56,6 +56,16 @@ def test_fused_equals_joined_on_f2(spark):
     assert_same(daily_performance_fused(stg, updated_at=UPDATED), joined(stg))
 
 
+def test_indicator_forms_agree(spark):
+    rows = (
+        series_rows("AAPL", [100, 102, 101, None, 103, 104, 90, 95] + list(range(80, 140, 3)))
+        + [bar("AAPL", None, 7)]
+        + series_rows("NVDA", [None, None, 10, 11, None, None, 12] + list(range(20, 60)))
+    )
+    for stg in (staged_from(spark, rows), stage_landed(f2_bars(spark))):
+        assert_same(technical_indicators(stg), technical_indicators_joined(stg))
+
+
 def test_f2_reaches_every_combined_signal(spark):
     f = daily_performance_fused(stage_landed(f2_bars(spark)), updated_at=UPDATED)
     counts = Counter(r.advanced_signal for r in f.collect())

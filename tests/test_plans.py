@@ -2,7 +2,7 @@
 
 import datetime as dt
 
-from barsmith.operators.indicators import technical_indicators
+from barsmith.operators.indicators import technical_indicators, technical_indicators_joined
 from barsmith.operators.moving_averages import moving_averages
 from barsmith.operators.returns import stock_returns
 from barsmith.plans.daily_fact import daily_performance, daily_performance_fused
@@ -32,7 +32,7 @@ def test_fused_fact_has_one_exchange_and_no_join(spark):
 def test_joined_fact_needs_more_shuffles(spark):
     stg = stage_landed(f2_bars(spark))
     ret = stock_returns(stg)
-    p = plan(daily_performance(ret, moving_averages(ret), technical_indicators(stg)))
+    p = plan(daily_performance(ret, moving_averages(ret), technical_indicators_joined(stg)))
     assert p.count("Exchange") > 1 and "Join" in p
 
 
