@@ -111,6 +111,35 @@ def _views(spark, sf_dir):
     return spark.sql("SELECT * FROM bs_fct_daily_stock_performance").withColumn("dbt_updated_at", updated_at())
 
 
+INCREMENT_FROM = "2001-10-01"
+
+
+def _incremental_tail(spark, sf_dir):
+    from barsmith.streaming.incremental import incremental_fact
+
+    stg = valid_dates(staged(spark, sf_dir))
+    cut = F.lit(INCREMENT_FROM).cast("date")
+    history, changes = stg.where(F.col("trade_date") < cut), stg.where(F.col("trade_date") >= cut)
+    return incremental_fact(history, changes, updated_at=updated_at())
+
+
+def _stream_refresh(spark, sf_dir):
+    import uuid
+
+    from barsmith.session import shared_dir
+    from barsmith.streaming.incremental import read_table, start_refresh_stream
+
+    base = f"{shared_dir(spark)}/barsmith-stream/{uuid.uuid4().hex[:12]}"
+    q = start_refresh_stream(
+        spark, land_raw_layer(spark, sf_dir), f"{base}/silver", f"{base}/fact", f"{base}/_checkpoint",
+        updated_at=updated_at(),
+    )
+    q.awaitTermination()
+    if q.exception() is not None:
+        raise RuntimeError(str(q.exception()))
+    return read_table(spark, f"{base}/fact", FACT_COLUMNS)
+
+
 def _full_refresh(spark, sf_dir):
     from barsmith.plans.refresh import refresh_marts
 
@@ -286,6 +315,9 @@ def _build_queries() -> dict[str, Query]:
     add("fact_portfolio_joinform", lambda s, d: stabilize(_portfolio("sma_recommendation", False)(s, d)), PORTFOLIO,
         _portfolio_sql(PORTFOLIO))
 
+    add("incremental_fact_tail", lambda s, d: stabilize(_incremental_tail(s, d)), FACT_COLUMNS,
+        _sql(O.FACT, "fact", FACT_COLUMNS, f"trade_date >= DATE '{INCREMENT_FROM}'"))
+    add("stream_refresh_fact", lambda s, d: stabilize(_stream_refresh(s, d)), FACT_COLUMNS, _fact_sql(FACT_COLUMNS))
     add("registered_views", lambda s, d: stabilize(_views(s, d)), FACT_COLUMNS, _fact_sql(FACT_COLUMNS))
     add("full_refresh_marts", lambda s, d: stabilize(_full_refresh(s, d)), PORTFOLIO, _portfolio_sql(PORTFOLIO))
     return q
