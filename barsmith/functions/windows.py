@@ -54,3 +54,4 @@ def rolling_mean(c: ColumnOrName, n: int, spec: WindowSpec | None = None) -> Col
 def rolling_stddev(c: ColumnOrName, n: int, spec: WindowSpec | None = None) -> Column:
     """Sample standard deviation over the last ``n`` rows (NULL for < 2 values)."""
     return F.stddev_samp(_col(c)).over(trailing(n, spec))
+

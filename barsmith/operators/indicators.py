@@ -106,26 +106,51 @@ def bollinger(stg: DataFrame, n: int = BOLLINGER_WINDOW) -> DataFrame:
     )
 
 
-def indicator_outputs(
-    rsi_val: Column, rsi_sig: Column,
-    line: Column, signal_line: Column, hist: Column, macd_sig: Column, crossover: Column,
-    upper: Column, middle: Column, lower: Column, width: Column, pct_b: Column, position: Column,
+def indicator_values(
+    rsi_val: Column | None, rsi_sig: Column | None,
+    line: Column | None = None, signal_line: Column | None = None, hist: Column | None = None,
+    macd_sig: Column | None = None, crossover: Column | None = None,
+    upper: Column | None = None, middle: Column | None = None, lower: Column | None = None,
+    width: Column | None = None, pct_b: Column | None = None, position: Column | None = None,
 ) -> dict[str, Column]:
-    """The 15 published indicator columns: rounded values, labels, combined signal, score."""
+    """The 13 published indicator values (rounded) and labels; the families whose
+    inputs are given (RSI, MACD, Bollinger)."""
+    out: dict[str, Column] = {}
+    if rsi_val is not None:
+        out.update({"rsi_14_day": round_half_up(rsi_val, 2), "rsi_signal": rsi_sig})
+    if line is not None:
+        out.update(_macd_values(line, signal_line, hist, macd_sig, crossover))
+    if upper is not None:
+        out.update(_bollinger_values(upper, middle, lower, width, pct_b, position))
+    return out
+
+
+def _macd_values(line, signal_line, hist, macd_sig, crossover) -> dict[str, Column]:
     return {
-        "rsi_14_day": round_half_up(rsi_val, 2),
-        "rsi_signal": rsi_sig,
         "macd_line": round_half_up(line, 4),
         "macd_signal_line": round_half_up(signal_line, 4),
         "macd_histogram": round_half_up(hist, 4),
         "macd_signal": macd_sig,
         "macd_crossover": crossover,
+    }
+
+
+def _bollinger_values(upper, middle, lower, width, pct_b, position) -> dict[str, Column]:
+    return {
         "bollinger_upper_band": round_half_up(upper, 2),
         "bollinger_middle_band": round_half_up(middle, 2),
         "bollinger_lower_band": round_half_up(lower, 2),
         "bollinger_width_pct": round_half_up(width, 2),
         "bollinger_percent_b": round_half_up(pct_b, 2),
         "bollinger_position": position,
+    }
+
+
+def combined_columns() -> dict[str, Column]:
+    """Combined signal and strength score over the label *columns*."""
+    c = F.col
+    rsi_sig, macd_sig, crossover, position = c("rsi_signal"), c("macd_signal"), c("macd_crossover"), c("bollinger_position")
+    return {
         "combined_signal": S.combined_signal(rsi_sig, macd_sig, crossover, position),
         "signal_strength_score": S.signal_strength_score(rsi_sig, macd_sig, position),
     }
@@ -149,9 +174,10 @@ def technical_indicators_joined(stg: DataFrame) -> DataFrame:
     b = bollinger(stg).select(*KEY, "bb_upper", "bb_middle", "bb_lower", "bb_width_pct", "bb_percent_b", "bb_position")
     joined = r.join(m, KEY, "inner").join(b, KEY, "inner")
     c = F.col
-    outs = indicator_outputs(
+    values = indicator_values(
         c("rsi_14"), c("rsi_signal"),
         c("macd_line"), c("macd_signal_line"), c("macd_histogram"), c("macd_signal"), c("macd_crossover"),
         c("bb_upper"), c("bb_middle"), c("bb_lower"), c("bb_width_pct"), c("bb_percent_b"), c("bb_position"),
     )
-    return joined.select(*KEY, "close_price", *[v.alias(k) for k, v in outs.items()]).select(*INDICATOR_COLUMNS)
+    labeled = joined.select(*KEY, "close_price", *[v.alias(k) for k, v in values.items()])
+    return labeled.select("*", *[v.alias(k) for k, v in combined_columns().items()]).select(*INDICATOR_COLUMNS)

@@ -28,9 +28,10 @@ from pyspark.sql import functions as F
 
 from barsmith.functions import signals as S
 from barsmith.functions.windows import previous, rolling_mean, rolling_stddev, series
+from barsmith.operators.fact_signals import early_signal_columns, late_signal_columns
 from barsmith.operators.guards import DUPLICATE_KEY_MESSAGE, guard
 from barsmith.operators.indicators import (
-    BOLLINGER_WINDOW, MACD_FAST, MACD_SIGNAL, MACD_SLOW, RSI_WINDOW, indicator_outputs,
+    BOLLINGER_WINDOW, MACD_FAST, MACD_SIGNAL, MACD_SLOW, RSI_WINDOW, combined_columns, indicator_values,
 )
 from barsmith.operators.moving_averages import moving_average_columns
 from barsmith.operators.returns import daily_return, intraday_columns, valid_dates
@@ -39,12 +40,13 @@ from barsmith.sources.schema import STAGED_COLUMNS
 MA_OUTPUTS = ["sma_7_day", "sma_30_day", "sma_90_day", "avg_volume_7_day", "volatility_30_day"]
 
 
-def series_pass(stg: DataFrame, check_keys: bool = True) -> DataFrame:
+def series_pass(stg: DataFrame, check_keys: bool = True, fact: bool = False, updated_at=None) -> DataFrame:
     """Returns, moving averages and indicators of every dated bar in one pass.
 
     Output: the returns columns, the five moving-average columns, the 15
     published indicator columns (NULL where the bar has no previous close) and
-    ``_has_prev`` (TRUE where the indicators model has a row).
+    ``_has_prev`` (TRUE where the indicators model has a row); with ``fact``
+    also every signal column of the daily fact.
     """
     c = F.col
     w = series()
@@ -89,36 +91,47 @@ def series_pass(stg: DataFrame, check_keys: bool = True) -> DataFrame:
         "*", previous("_macd_line", w).alias("_prev_macd_line"), previous("_macd_sig", w).alias("_prev_macd_sig")
     )
 
+    # MACD and Bollinger values/labels are final once level 3 is done: compute
+    # them here, in the codegen stage before the RSI sort, so the last stage only
+    # holds the RSI and signal logic (small enough to be JIT-compiled).
+    has_prev = c("_has_prev")
+    line, sig = c("_macd_line"), c("_macd_sig")
+    mid, sd = c("_bb_mid"), c("_bb_sd")
+    macd_bb = indicator_values(
+        None, None,
+        line, sig, line - sig, S.macd_label(line, sig),
+        S.crossover_label(line, sig, c("_prev_macd_line"), c("_prev_macd_sig")),
+        S.bollinger_upper(mid, sd), mid, S.bollinger_lower(mid, sd),
+        S.bollinger_width_pct(mid, sd), S.bollinger_percent_b(close, mid, sd), S.bollinger_position(close, mid, sd),
+    )
+    pre = lvl3.select(
+        *[c(x) for x in STAGED_COLUMNS],
+        "daily_return_pct",
+        *[v.alias(k) for k, v in intraday_columns().items()],
+        *[c(x) for x in MA_OUTPUTS],
+        has_prev, "_gain", "_loss",
+        *[F.when(has_prev, v).alias(k) for k, v in macd_bb.items()],
+    )
+    if fact:
+        pre = pre.select("*", *[v.alias(k) for k, v in early_signal_columns().items()])
+
     # level 4: RSI means over the bars that have a previous close. Partitioned by
     # (ticker, _has_prev): the ticker exchange still satisfies it, so this costs
     # one in-partition sort and no shuffle. Placed last so that the three levels
     # above share a single sort.
     wk = series(["ticker", "_has_prev"])
-    lvl3 = lvl3.select(
+    lvl4 = pre.select(
         "*",
         rolling_mean("_gain", RSI_WINDOW, wk).alias("_avg_gain"),
         rolling_mean("_loss", RSI_WINDOW, wk).alias("_avg_loss"),
     )
-
-    line, sig = c("_macd_line"), c("_macd_sig")
-    mid, sd = c("_bb_mid"), c("_bb_sd")
-    rsi_sig = S.rsi_label(c("_avg_gain"), c("_avg_loss"))
-    macd_sig = S.macd_label(line, sig)
-    crossover = S.crossover_label(line, sig, c("_prev_macd_line"), c("_prev_macd_sig"))
-    position = S.bollinger_position(close, mid, sd)
-    outs = indicator_outputs(
-        S.rsi_value(c("_avg_gain"), c("_avg_loss")), rsi_sig,
-        line, sig, line - sig, macd_sig, crossover,
-        S.bollinger_upper(mid, sd), mid, S.bollinger_lower(mid, sd),
-        S.bollinger_width_pct(mid, sd), S.bollinger_percent_b(close, mid, sd), position,
-    )
-    # bars without a previous close have no indicator row (inner-join semantics)
-    has_prev = c("_has_prev")
-    return lvl3.select(
-        *[c(x) for x in STAGED_COLUMNS],
-        "daily_return_pct",
-        *[v.alias(k) for k, v in intraday_columns().items()],
-        *[c(x) for x in MA_OUTPUTS],
-        *[F.when(has_prev, v).alias(k) for k, v in outs.items()],
-        has_prev,
+    rsi = indicator_values(S.rsi_value(c("_avg_gain"), c("_avg_loss")), S.rsi_label(c("_avg_gain"), c("_avg_loss")))
+    labeled = lvl4.select(
+        *[c(x) for x in lvl4.columns if x not in ("_gain", "_loss", "_avg_gain", "_avg_loss")],
+        *[F.when(has_prev, v).alias(k) for k, v in rsi.items()],
     )
+    # combined signal and score over the label columns (no CASE tree embedded twice)
+    out = labeled.select("*", *[F.when(has_prev, v).alias(k) for k, v in combined_columns().items()])
+    if fact:
+        out = out.select("*", *[v.alias(k) for k, v in late_signal_columns(updated_at).items()])
+    return out

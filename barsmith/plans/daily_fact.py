@@ -14,38 +14,13 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from barsmith.functions import signals as S
+from barsmith.operators.fact_signals import fact_signal_columns, updated_at_column
 from barsmith.operators.series import MA_OUTPUTS, series_pass
 from barsmith.sources.schema import FACT_COLUMNS, INDICATOR_COLUMNS, KEY, RETURNS_COLUMNS
 
 
 def _updated_at(updated_at) -> Column:
-    if updated_at is None:
-        return F.current_timestamp()
-    return updated_at if isinstance(updated_at, Column) else F.lit(updated_at)
-
-
-def fact_signal_columns(updated_at=None) -> dict[str, Column]:
-    """Key, SMA-based signals, volume, risk and squeeze labels of the fact.
-
-    Expects the returns, moving-average and indicator columns side by side.
-    """
-    c = F.col
-    close, sma7, sma30, sma90 = c("close_price"), c("sma_7_day"), c("sma_30_day"), c("sma_90_day")
-    return {
-        "performance_key": S.performance_key(c("ticker"), c("trade_date")),
-        "advanced_signal": c("combined_signal"),
-        "trend_signal": S.trend_signal(sma7, sma30),
-        "sma_recommendation": S.sma_recommendation(close, sma7, sma30, sma90),
-        "composite_recommendation": S.composite_recommendation(
-            c("combined_signal"), c("rsi_signal"), c("macd_signal"), close, sma7, sma30
-        ),
-        "volume_indicator": S.volume_indicator(c("volume"), c("avg_volume_7_day")),
-        "volume_vs_avg_pct": S.volume_vs_avg_pct(c("volume"), c("avg_volume_7_day")),
-        "volatility_risk_level": S.volatility_risk_level(c("volatility_30_day")),
-        "bollinger_squeeze_indicator": S.bollinger_squeeze(c("bollinger_width_pct")),
-        "dbt_updated_at": _updated_at(updated_at),
-    }
+    return updated_at_column(updated_at)
 
 
 def fact_signals(df: DataFrame, updated_at=None) -> DataFrame:
@@ -64,4 +39,4 @@ def daily_performance(returns: DataFrame, ma: DataFrame, ti: DataFrame, updated_
 
 def daily_performance_fused(stg: DataFrame, updated_at=None, check_keys: bool = True) -> DataFrame:
     """Same rows and values as ``daily_performance`` over one shuffle and no joins."""
-    return fact_signals(series_pass(stg, check_keys), updated_at)
+    return series_pass(stg, check_keys, fact=True, updated_at=updated_at).select(*FACT_COLUMNS)

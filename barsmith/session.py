@@ -19,6 +19,10 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
+        # the series pass is CPU-bound per shuffled byte (narrow bars widen into
+        # ~60 columns across the window levels): aim for smaller partitions so a
+        # small shuffle still yields several tasks per core
+        .config("spark.sql.adaptive.advisoryPartitionSizeInBytes", "16m")
         .config("spark.driver.memory", os.environ.get("BARSMITH_DRIVER_MEMORY", "8g"))
     )
     spark = builder.getOrCreate()

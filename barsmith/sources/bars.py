@@ -100,18 +100,30 @@ def stage_bars(raw: Mapping[str, DataFrame], registry: Mapping[str, str] = TICKE
     return functools.reduce(DataFrame.union, branches)
 
 
-def stage_landed(bars: DataFrame, registry: Mapping[str, str] = TICKERS, ticker_col: str = "ticker") -> DataFrame:
+def stage_landed(
+    bars: DataFrame, registry: Mapping[str, str] | DataFrame = TICKERS, ticker_col: str = "ticker"
+) -> DataFrame:
     """Staging for a single landed table that already carries a ticker column.
 
-    Equivalent to ``stage_bars`` over its per-ticker slices (rows of unregistered
-    tickers are dropped, as they have no raw table); the company name comes from
-    a literal map, so there is no join and no shuffle.
+    Equivalent to ``stage_bars`` over its per-ticker slices: rows of tickers
+    without a registry entry are dropped (they have no raw table). ``registry``
+    is either a small mapping (the company name becomes a literal map lookup:
+    no join, no shuffle) or a DataFrame ``(ticker, company_name)`` for a large
+    securities master, joined on ticker without a broadcast hint -- the join's
+    hash partitioning on ticker is the one the series windows need anyway.
     """
-    names = F.create_map(*[F.lit(x) for kv in registry.items() for x in kv])
+    if isinstance(registry, DataFrame):
+        master = registry.select(F.col("ticker").alias("_reg_ticker"), F.col("company_name").alias("_reg_name"))
+        tagged = bars.join(master, F.col(ticker_col) == F.col("_reg_ticker"), "inner")
+        name = F.col("_reg_name")
+    else:
+        names = F.create_map(*[F.lit(x) for kv in registry.items() for x in kv])
+        tagged = bars.where(F.col(ticker_col).isin(list(registry)))
+        name = names[F.col(ticker_col)]
     ts = epoch_ms_to_timestamp(F.col("T"))
-    return bars.where(F.col(ticker_col).isin(list(registry))).select(
+    return tagged.select(
         F.col(ticker_col).alias("ticker"),
-        names[F.col(ticker_col)].alias("company_name"),
+        name.alias("company_name"),
         ts.alias("timestamp"),
         ts.cast("date").alias("trade_date"),
         F.col("O").cast(BAR_SCHEMA["O"].dataType).alias("open_price"),

@@ -33,7 +33,6 @@ from pyspark.sql.streaming import StreamingQuery
 from barsmith.operators.indicators import BOLLINGER_WINDOW, MACD_SIGNAL, MACD_SLOW, RSI_WINDOW
 from barsmith.operators.moving_averages import SMA_WINDOWS, VOLATILITY_WINDOW
 from barsmith.operators.series import series_pass
-from barsmith.plans.daily_fact import fact_signals
 from barsmith.sources.bars import stage_landed
 from barsmith.sources.registry import TICKERS
 from barsmith.sources.schema import BAR_SCHEMA, FACT_COLUMNS, KEY, STAGED_COLUMNS
@@ -96,9 +95,8 @@ def incremental_fact(
     """
     bars = affected_bars(history, changes, context_days)
     starts = bars.select("ticker", "_from").distinct()
-    rows = series_pass(bars.select(*STAGED_COLUMNS))
-    fresh = rows.join(starts, "ticker").where(F.col("trade_date") >= F.col("_from")).drop("_from")
-    return fact_signals(fresh, updated_at)
+    rows = series_pass(bars.select(*STAGED_COLUMNS), fact=True, updated_at=updated_at)
+    return rows.join(starts, "ticker").where(F.col("trade_date") >= F.col("_from")).select(*FACT_COLUMNS)
 
 
 def table_exists(spark: SparkSession, path: str) -> bool:

@@ -79,3 +79,13 @@ def test_null_date_filter_reaches_scan(spark, tmp_path):
 
     plan = stock_returns(stage_landed(read_landed(spark, str(tmp_path / "landed"))))._jdf.queryExecution().executedPlan().toString()
     assert "IsNotNull(T)" in plan
+
+
+def test_stage_landed_with_registry_table(spark):
+    rows = [bar(t, dt.date(2025, 1, 2) + dt.timedelta(days=d), 10 + d) for t in TICKERS for d in range(2)]
+    rows.append(bar("ZZZZ", dt.date(2025, 1, 2), 5))
+    landed = spark.createDataFrame(rows, LANDED_SCHEMA)
+    master = spark.createDataFrame(list(TICKERS.items()), "ticker string, company_name string")
+    a, b = stage_landed(landed, master), stage_landed(landed)
+    assert a.columns == b.columns
+    assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
