@@ -55,3 +55,26 @@ def rolling_stddev(c: ColumnOrName, n: int, spec: WindowSpec | None = None) -> C
     """Sample standard deviation over the last ``n`` rows (NULL for < 2 values)."""
     return F.stddev_samp(_col(c)).over(trailing(n, spec))
 
+
+
+def running_totals(c: ColumnOrName, spec: WindowSpec | None = None) -> tuple[Column, Column]:
+    """Running sum and non-null count from the start of the series (O(1) per row)."""
+    frame = (spec if spec is not None else series()).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    col = _col(c)
+    return F.sum(col).over(frame), F.count(col).over(frame)
+
+
+def mean_from_totals(total: str, count: str, n: int, spec: WindowSpec | None = None) -> Column:
+    """``rolling_mean`` over ``n`` rows from running totals of a *decimal* column.
+
+    ``(S[i] - S[i-n]) / (C[i] - C[i-n])``: the decimal difference is exact, so
+    the value equals ``rolling_mean`` bit for bit, at O(1) per row instead of
+    re-aggregating the frame (Spark's sliding frames do not retract). Not for
+    float columns, where the difference of running sums would cancel badly.
+    """
+    w = spec if spec is not None else series()
+    zero = F.lit(0)
+    now = F.coalesce(F.col(total), zero)
+    back = F.coalesce(F.lag(total, n).over(w), zero)
+    n_back = F.coalesce(F.lag(count, n).over(w), zero)
+    return (now - back).cast("double") / F.nullif(F.col(count) - n_back, zero)

@@ -27,13 +27,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from barsmith.functions import signals as S
-from barsmith.functions.windows import previous, rolling_mean, rolling_stddev, series
+from pyspark.sql import Column
+
+from barsmith.functions.windows import mean_from_totals, previous, rolling_mean, rolling_stddev, running_totals, series
 from barsmith.operators.fact_signals import early_signal_columns, late_signal_columns
 from barsmith.operators.guards import DUPLICATE_KEY_MESSAGE, guard
 from barsmith.operators.indicators import (
     BOLLINGER_WINDOW, MACD_FAST, MACD_SIGNAL, MACD_SLOW, RSI_WINDOW, combined_columns, indicator_values,
 )
-from barsmith.operators.moving_averages import moving_average_columns
+from barsmith.operators.moving_averages import SMA_WINDOWS, moving_average_columns
 from barsmith.operators.returns import daily_return, intraday_columns, valid_dates
 from barsmith.sources.schema import STAGED_COLUMNS
 
@@ -53,16 +55,17 @@ def series_pass(stg: DataFrame, check_keys: bool = True, fact: bool = False, upd
     close = c("close_price")
     staged = [c(x) for x in STAGED_COLUMNS]
 
-    # level 1: every window over the staged columns (one exchange + one sort)
+    # level 1: lags, running totals of the close, and the float/stddev frames
+    # (one exchange + one sort for everything below)
     ma = moving_average_columns(w)
+    close_total, close_count = running_totals(close, w)
     lvl1 = valid_dates(stg).select(
         *staged,
         previous(close, w).alias("_prev_close"),
         previous("trade_date", w).alias("_prev_date"),
-        *[ma[k].alias(k) for k in ("sma_7_day", "sma_30_day", "sma_90_day", "avg_volume_7_day")],
-        rolling_mean(close, MACD_FAST, w).alias("_ema_fast"),
-        rolling_mean(close, MACD_SLOW, w).alias("_ema_slow"),
-        rolling_mean(close, BOLLINGER_WINDOW, w).alias("_bb_mid"),
+        close_total.alias("_close_total"),
+        close_count.alias("_close_count"),
+        ma["avg_volume_7_day"].alias("avg_volume_7_day"),
         rolling_stddev(close, BOLLINGER_WINDOW, w).alias("_bb_sd"),
     )
     if check_keys:
@@ -76,18 +79,26 @@ def series_pass(stg: DataFrame, check_keys: bool = True, fact: bool = False, upd
         prev.isNotNull().alias("_has_prev"),
         S.gain(close, prev).alias("_gain"),
         S.loss(close, prev).alias("_loss"),
-        (c("_ema_fast") - c("_ema_slow")).alias("_macd_line"),
     )
 
-    # level 2: volatility of the return and the MACD signal line (same spec)
+    # level 2: every close mean from the running totals (exact decimal
+    # differences) and the volatility of the level-1 return
+    def close_mean(n: int) -> Column:
+        return mean_from_totals("_close_total", "_close_count", n, w)
+
     lvl2 = lvl1.select(
         "*",
+        *[close_mean(n).alias(f"sma_{n}_day") for n in SMA_WINDOWS],
+        close_mean(MACD_FAST).alias("_ema_fast"),
+        close_mean(MACD_SLOW).alias("_ema_slow"),
+        close_mean(BOLLINGER_WINDOW).alias("_bb_mid"),
         ma["volatility_30_day"].alias("volatility_30_day"),
-        rolling_mean("_macd_line", MACD_SIGNAL, w).alias("_macd_sig"),
-    )
+    ).withColumn("_macd_line", c("_ema_fast") - c("_ema_slow"))
 
-    # level 3: previous MACD line / signal for the crossover (same spec)
-    lvl3 = lvl2.select(
+    # level 3: MACD signal line (a float mean: sliding frame); level 4: the
+    # previous line / signal for the crossover
+    lvl3 = lvl2.select("*", rolling_mean("_macd_line", MACD_SIGNAL, w).alias("_macd_sig"))
+    lvl3 = lvl3.select(
         "*", previous("_macd_line", w).alias("_prev_macd_line"), previous("_macd_sig", w).alias("_prev_macd_sig")
     )
 
@@ -120,14 +131,20 @@ def series_pass(stg: DataFrame, check_keys: bool = True, fact: bool = False, upd
     # one in-partition sort and no shuffle. Placed last so that the three levels
     # above share a single sort.
     wk = series(["ticker", "_has_prev"])
+    gain_total, gain_count = running_totals("_gain", wk)
+    loss_total, loss_count = running_totals("_loss", wk)
     lvl4 = pre.select(
+        "*", gain_total.alias("_gain_total"), gain_count.alias("_gain_count"),
+        loss_total.alias("_loss_total"), loss_count.alias("_loss_count"),
+    )
+    lvl4 = lvl4.select(
         "*",
-        rolling_mean("_gain", RSI_WINDOW, wk).alias("_avg_gain"),
-        rolling_mean("_loss", RSI_WINDOW, wk).alias("_avg_loss"),
+        mean_from_totals("_gain_total", "_gain_count", RSI_WINDOW, wk).alias("_avg_gain"),
+        mean_from_totals("_loss_total", "_loss_count", RSI_WINDOW, wk).alias("_avg_loss"),
     )
     rsi = indicator_values(S.rsi_value(c("_avg_gain"), c("_avg_loss")), S.rsi_label(c("_avg_gain"), c("_avg_loss")))
     labeled = lvl4.select(
-        *[c(x) for x in lvl4.columns if x not in ("_gain", "_loss", "_avg_gain", "_avg_loss")],
+        *[c(x) for x in lvl4.columns if not x.startswith(("_gain", "_loss", "_avg_"))],
         *[F.when(has_prev, v).alias(k) for k, v in rsi.items()],
     )
     # combined signal and score over the label columns (no CASE tree embedded twice)
