@@ -42,18 +42,21 @@ from barsmith.sources.schema import STAGED_COLUMNS
 MA_OUTPUTS = ["sma_7_day", "sma_30_day", "sma_90_day", "avg_volume_7_day", "volatility_30_day"]
 
 
-def series_pass(stg: DataFrame, check_keys: bool = True, fact: bool = False, updated_at=None) -> DataFrame:
+def series_pass(
+    stg: DataFrame, check_keys: bool = True, fact: bool = False, updated_at=None, carry: tuple[str, ...] = ()
+) -> DataFrame:
     """Returns, moving averages and indicators of every dated bar in one pass.
 
     Output: the returns columns, the five moving-average columns, the 15
     published indicator columns (NULL where the bar has no previous close) and
     ``_has_prev`` (TRUE where the indicators model has a row); with ``fact``
-    also every signal column of the daily fact.
+    also every signal column of the daily fact. ``carry`` names input columns
+    passed through unchanged.
     """
     c = F.col
     w = series()
     close = c("close_price")
-    staged = [c(x) for x in STAGED_COLUMNS]
+    staged = [c(x) for x in (*STAGED_COLUMNS, *carry)]
 
     # level 1: lags, running totals of the close, and the float/stddev frames
     # (one exchange + one sort for everything below)
@@ -116,7 +119,7 @@ def series_pass(stg: DataFrame, check_keys: bool = True, fact: bool = False, upd
         S.bollinger_width_pct(mid, sd), S.bollinger_percent_b(close, mid, sd), S.bollinger_position(close, mid, sd),
     )
     pre = lvl3.select(
-        *[c(x) for x in STAGED_COLUMNS],
+        *[c(x) for x in (*STAGED_COLUMNS, *carry)],
         "daily_return_pct",
         *[v.alias(k) for k, v in intraday_columns().items()],
         *[c(x) for x in MA_OUTPUTS],

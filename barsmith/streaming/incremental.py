@@ -14,10 +14,11 @@ first changed date on. ``incremental_fact`` recomputes exactly those rows:
   may reach further back), gets its whole earlier history instead — so the
   result is exact for every ticker, the window only decides how much is read.
 
-The rows go through the same ``series_pass`` as a full build. ``upsert_by_key``
-writes them into a date-partitioned table by replacing the affected date
-partitions (dynamic partition overwrite) after cutting lineage with a reliable
-checkpoint, so reruns of a micro-batch are idempotent. ``start_refresh_stream``
+The rows go through the same ``series_pass`` as a full build (a second
+exchange on ticker). ``upsert_by_key`` writes them into a date-partitioned
+table by replacing the affected date partitions (dynamic partition overwrite)
+after cutting lineage with a reliable checkpoint, so reruns of a micro-batch
+are idempotent. ``start_refresh_stream``
 wires it to a Structured Streaming file source with ``foreachBatch``.
 """
 
@@ -25,8 +26,8 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 
-from pyspark.sql import DataFrame, SparkSession
 from pyspark.errors import AnalysisException
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
@@ -59,30 +60,49 @@ def affected_bars(history: DataFrame, changes: DataFrame, context_days: int = CO
     """Bars needed to recompute every fact row that the changes can alter.
 
     Output: staged columns + ``_from`` (first changed date of the ticker).
-    Stored history is read from ``min(changed date) - context_days`` on (a
-    literal bound, so a date-partitioned table prunes partitions); only tickers
-    whose window proves too short read their full earlier history.
+    One exchange on ticker marks superseded bars, the first changed date and
+    the context size per ticker; the result is checkpointed (lineage cut, and
+    the short-ticker check below reads it instead of recomputing it). Stored
+    history is read from ``min(changed date) - context_days`` on (a literal
+    bound: a date-partitioned table prunes partitions); only tickers whose
+    window proves too short read their full earlier history.
     """
     c = F.col
-    landed = changes.where(c("trade_date").isNotNull())
+    landed = changes.where(c("trade_date").isNotNull()).select(*STAGED_COLUMNS)
     lo = landed.agg(F.min("trade_date")).first()[0]  # one scalar to the driver
-    starts = landed.groupBy("ticker").agg(F.min("trade_date").alias("_from"))
     if lo is None:
         return history.limit(0).select(*STAGED_COLUMNS, F.lit(None).cast("date").alias("_from"))
-    recent = history.where(c("trade_date") >= F.date_sub(F.lit(lo), context_days))
-    merged = merge_bars(recent, landed).join(starts, "ticker")
-    tail = merged.where(c("trade_date") >= c("_from"))
-    near = merged.where((c("trade_date") < c("_from")) & (c("trade_date") >= F.date_sub(c("_from"), context_days)))
-    enough = (
-        near.groupBy("ticker")
-        .agg(F.count(F.lit(1)).alias("_n"), F.count(F.when(c("close_price").isNull(), 1)).alias("_nulls"))
-        .where((c("_n") > CONTEXT_ROWS) & (c("_nulls") == 0))
-        .select("ticker")
+    recent = history.where(c("trade_date") >= F.date_sub(F.lit(lo), context_days)).select(*STAGED_COLUMNS)
+    both = recent.withColumn("_new", F.lit(False)).unionByName(landed.withColumn("_new", F.lit(True)))
+
+    # one exchange on ticker; within a date the stored bar sorts before the landed one
+    w = Window.partitionBy("ticker").orderBy(c("trade_date").asc_nulls_last(), c("_new"))
+    whole = w.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    marked = both.select(
+        "*",
+        F.lead("trade_date").over(w).alias("_next_date"),
+        F.min(F.when(c("_new"), c("trade_date"))).over(whole).alias("_from"),
     )
-    short = starts.join(enough, "ticker", "left_anti")
-    # rows before _from are never changed by the landed bars (_from is the first change)
-    far = history.join(short, "ticker").where(c("trade_date") < c("_from")).select(*STAGED_COLUMNS, "_from")
-    return tail.unionByName(near.join(enough, "ticker", "left_semi")).unionByName(far)
+    kept = marked.where(
+        c("_from").isNotNull()  # ticker has landed bars
+        & (c("_next_date").isNull() | (c("_next_date") != c("trade_date")))  # landed bar replaces stored one
+        & (c("trade_date") >= F.date_sub(c("_from"), context_days))
+    )
+    before = c("trade_date") < c("_from")
+    counted = kept.select(
+        *STAGED_COLUMNS, "_from",
+        F.count(F.when(before, F.lit(1))).over(whole).alias("_n_ctx"),
+        F.count(F.when(before & c("close_price").isNull(), F.lit(1))).over(whole).alias("_null_ctx"),
+    ).checkpoint(eager=True)
+
+    short = counted.where((c("_n_ctx") <= CONTEXT_ROWS) | (c("_null_ctx") > 0)).select("ticker", "_from").distinct()
+    bars = counted.select(*STAGED_COLUMNS, "_from")
+    if short.isEmpty():
+        return bars
+    # rows before the window for tickers whose window is too short (never changed)
+    window_start = F.date_sub(c("_from"), context_days)
+    far = history.join(short, "ticker").where(c("trade_date") < window_start).select(*STAGED_COLUMNS, "_from")
+    return bars.unionByName(far)
 
 
 def incremental_fact(
@@ -94,9 +114,8 @@ def incremental_fact(
     those rows.
     """
     bars = affected_bars(history, changes, context_days)
-    starts = bars.select("ticker", "_from").distinct()
-    rows = series_pass(bars.select(*STAGED_COLUMNS), fact=True, updated_at=updated_at)
-    return rows.join(starts, "ticker").where(F.col("trade_date") >= F.col("_from")).select(*FACT_COLUMNS)
+    rows = series_pass(bars, fact=True, updated_at=updated_at, carry=("_from",))
+    return rows.where(F.col("trade_date") >= F.col("_from")).select(*FACT_COLUMNS)
 
 
 def table_exists(spark: SparkSession, path: str) -> bool:
