@@ -107,14 +107,16 @@ def _portfolio(rec: str, keys_unique: bool = True) -> Builder:
 def _views(spark, sf_dir):
     from barsmith.plans.refresh import register_views
 
-    register_views(spark, staged_union(spark, sf_dir), prefix="bs_")
-    return spark.sql("SELECT * FROM bs_fct_daily_stock_performance").withColumn("dbt_updated_at", updated_at())
+    register_views(spark, staged_union(spark, sf_dir), prefix="bs_", updated_at=updated_at())
+    return spark.sql("SELECT * FROM bs_fct_daily_stock_performance")
 
 
 INCREMENT_FROM = "2001-10-01"
 
 
 def _incremental_tail(spark, sf_dir):
+    """Daily-refresh job: bars before ``INCREMENT_FROM`` are the stored history,
+    the rest arrive as landed changes; returns the recomputed fact rows."""
     from barsmith.streaming.incremental import incremental_fact
 
     stg = valid_dates(staged(spark, sf_dir))

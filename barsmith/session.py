@@ -44,6 +44,5 @@ def shared_dir(spark: SparkSession) -> str:
     if current:
         return current.rstrip("/")
     folder = tempfile.mkdtemp(prefix="barsmith-ckpt-")
-    spark.sparkContext.setCheckpointDir(folder)
-    spark.conf.set("spark.checkpoint.dir", folder)
+    spark.sparkContext.setCheckpointDir(folder)  # the conf itself is static
     return folder
