@@ -23,6 +23,10 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
         # ~60 columns across the window levels): aim for smaller partitions so a
         # small shuffle still yields several tasks per core
         .config("spark.sql.adaptive.advisoryPartitionSizeInBytes", "16m")
+        # joins on (ticker, trade_date) between sides already hashed by ticker
+        # (the reference-shaped join forms) may reuse that partitioning instead
+        # of re-shuffling: a ticker's rows are bounded by the calendar
+        .config("spark.sql.requireAllClusterKeysForCoPartition", "false")
         .config("spark.driver.memory", os.environ.get("BARSMITH_DRIVER_MEMORY", "8g"))
     )
     spark = builder.getOrCreate()

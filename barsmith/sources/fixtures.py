@@ -25,6 +25,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from barsmith.paths import path_exists, rename_path
 from barsmith.session import shared_dir
 from barsmith.sources.bars import read_landed, read_raw_layer
 from barsmith.sources.registry import TICKERS
@@ -79,35 +80,6 @@ def _fingerprint(path: str) -> str:
     return hashlib.sha1(f"{FIXTURE_VERSION}|{meta}".encode()).hexdigest()[:16]
 
 
-def _hadoop_fs(spark: SparkSession, path: str):
-    """Hadoop FileSystem of ``path`` from the session's configuration, if reachable."""
-    try:
-        jvm = spark.sparkContext._jvm  # classic sessions; not available over Spark Connect
-        jpath = jvm.org.apache.hadoop.fs.Path(path)
-        return jpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), jpath
-    except Exception:  # noqa: BLE001
-        return None, None
-
-
-def _exists(spark: SparkSession, path: str) -> bool:
-    fs, jpath = _hadoop_fs(spark, path)
-    if fs is not None:
-        return bool(fs.exists(jpath))
-    local = path[len("file:"):] if path.startswith("file:") else path
-    return os.path.exists(local)
-
-
-def _rename(spark: SparkSession, src: str, dst: str) -> bool:
-    fs, jsrc = _hadoop_fs(spark, src)
-    if fs is not None:
-        return bool(fs.rename(jsrc, spark.sparkContext._jvm.org.apache.hadoop.fs.Path(dst)))
-    try:
-        os.rename(src[len("file:"):] if src.startswith("file:") else src, dst[len("file:"):] if dst.startswith("file:") else dst)
-        return True
-    except OSError:
-        return False
-
-
 def land_raw_layer(spark: SparkSession, sf_dir: str) -> str:
     """Land the derived raw tables once per input; return the raw-layer root.
 
@@ -119,12 +91,12 @@ def land_raw_layer(spark: SparkSession, sf_dir: str) -> str:
     lineitem_path = f"{sf_dir.rstrip('/')}/lineitem.parquet"
     base = f"{shared_dir(spark)}/barsmith-raw"
     root = f"{base}/{_fingerprint(lineitem_path)}"
-    if _exists(spark, f"{root}/_SUCCESS"):
+    if path_exists(spark, f"{root}/_SUCCESS"):
         return root
     staging = f"{root}.tmp-{uuid.uuid4().hex[:8]}"
     bars = derive_bars(spark.read.parquet(lineitem_path))
     bars.repartition("ticker").write.mode("overwrite").partitionBy("ticker").parquet(staging)
-    if _rename(spark, staging, root) or _exists(spark, f"{root}/_SUCCESS"):
+    if rename_path(spark, staging, root) or path_exists(spark, f"{root}/_SUCCESS"):
         return root  # landed now, or another run landed it first
     return staging
 

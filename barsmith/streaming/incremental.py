@@ -26,7 +26,6 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -34,6 +33,7 @@ from pyspark.sql.streaming import StreamingQuery
 from barsmith.operators.indicators import BOLLINGER_WINDOW, MACD_SIGNAL, MACD_SLOW, RSI_WINDOW
 from barsmith.operators.moving_averages import SMA_WINDOWS, VOLATILITY_WINDOW
 from barsmith.operators.series import series_pass
+from barsmith.paths import path_exists
 from barsmith.sources.bars import stage_landed
 from barsmith.sources.registry import TICKERS
 from barsmith.sources.schema import BAR_SCHEMA, FACT_COLUMNS, KEY, STAGED_COLUMNS
@@ -119,16 +119,12 @@ def incremental_fact(
 
 
 def table_exists(spark: SparkSession, path: str) -> bool:
-    """True when ``path`` holds a readable parquet table (any file system).
+    """True when the table folder exists (any file system).
 
     Dynamic partition overwrite leaves no ``_SUCCESS`` marker at the table root,
-    so the check resolves the table instead of looking for a marker file.
+    so the folder itself is checked; it is only ever created by a committed write.
     """
-    try:
-        spark.read.parquet(path).schema
-        return True
-    except AnalysisException:
-        return False
+    return path_exists(spark, path)
 
 
 def upsert_by_key(df: DataFrame, path: str, columns: list[str], partition_col: str = "trade_date") -> None:

@@ -99,6 +99,19 @@ def test_invariant_to_input_order_and_partitions(spark):
     assert_same(base, shuffled)
 
 
+def test_invariant_to_shuffle_partitions(spark):
+    stg = stage_landed(f2_bars(spark))
+    old = spark.conf.get("spark.sql.shuffle.partitions")
+    try:
+        spark.conf.set("spark.sql.shuffle.partitions", "3")
+        a = daily_performance_fused(stg, updated_at=UPDATED).collect()
+        spark.conf.set("spark.sql.shuffle.partitions", "17")
+        b = daily_performance_fused(stg, updated_at=UPDATED).collect()
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", old)
+    assert sorted(map(tuple, a)) == sorted(map(tuple, b))
+
+
 def test_properties_on_f2(spark):
     f = daily_performance_fused(stage_landed(f2_bars(spark)), updated_at=UPDATED).collect()
     for r in f:
