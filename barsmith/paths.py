@@ -41,3 +41,20 @@ def rename_path(spark: SparkSession, src: str, dst: str) -> bool:
         return True
     except OSError:
         return False
+
+
+def write_text(spark: SparkSession, path: str, text: str) -> None:
+    """Write one small UTF-8 file (overwriting), without running a Spark job."""
+    fs, jpath = _hadoop_fs(spark, path)
+    data = text.encode("utf-8")
+    if fs is not None:
+        out = fs.create(jpath, True)
+        try:
+            out.write(bytearray(data))
+        finally:
+            out.close()
+        return
+    local = _local(path)
+    os.makedirs(os.path.dirname(local), exist_ok=True)
+    with open(local, "wb") as fh:
+        fh.write(data)

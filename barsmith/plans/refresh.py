@@ -10,6 +10,7 @@ so readers never see a half-written mart.
 
 from __future__ import annotations
 
+import json
 import uuid
 from collections.abc import Mapping
 
@@ -18,6 +19,7 @@ from pyspark.sql import DataFrame, SparkSession
 from barsmith.operators.indicators import technical_indicators
 from barsmith.operators.moving_averages import moving_averages
 from barsmith.operators.returns import stock_returns
+from barsmith.paths import write_text
 from barsmith.plans.daily_fact import daily_performance_fused
 from barsmith.plans.portfolio import portfolio_performance
 from barsmith.plans.summary import stock_summary
@@ -69,14 +71,15 @@ def write_mart(
 
     Returns the DataFrame read back from the written files (the new table). The
     name is re-pointed as a temp view only after the write committed; the
-    properties are recorded as a ``_properties`` json next to the data.
+    properties are recorded as ``_properties.json`` next to the data (readers
+    skip files starting with an underscore).
     """
     spark = df.sparkSession
     path = f"{root.rstrip('/')}/{name}/v={uuid.uuid4().hex[:12]}"
     out = df.sortWithinPartitions(*sort_within) if sort_within else df
     out.write.mode("errorifexists").parquet(path)
     if properties:
-        spark.createDataFrame([dict(properties)]).coalesce(1).write.mode("overwrite").json(f"{path}/_properties")
+        write_text(spark, f"{path}/_properties.json", json.dumps(dict(properties), sort_keys=True))
     table = spark.read.parquet(path)
     table.createOrReplaceTempView(name)
     return table
