@@ -28,6 +28,9 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
         # of re-shuffling: a ticker's rows are bounded by the calendar
         .config("spark.sql.requireAllClusterKeysForCoPartition", "false")
         .config("spark.driver.memory", os.environ.get("BARSMITH_DRIVER_MEMORY", "8g"))
+        # no per-Column Python call-site capture (error-message context only):
+        # it costs ~5 py4j round trips per Column function while plans are built
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
     )
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
