@@ -4,7 +4,9 @@ Returns, moving averages and the three indicators are all functions of the same
 per-ticker series ordered by date, so one hash exchange on ``ticker`` and one
 sort feed a stack of window levels; no joins, one scan of staging (the
 reference shape scans staging five times and joins on (ticker, trade_date)).
-Semantics kept exactly:
+Means of decimal columns (close, RSI gain/loss) come from running totals and a
+``lag`` of them (exact, O(1) per row); float means and stddevs use sliding
+frames. Semantics kept exactly:
 
 * NULL-dated bars are dropped first: they sort last and every frame looks
   backwards, so they never fall into a dated bar's frame, and the models drop
@@ -23,13 +25,13 @@ window task unboundedly large; width comes from hashing many tickers.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from barsmith.functions import signals as S
-from pyspark.sql import Column
-
-from barsmith.functions.windows import mean_from_totals, previous, rolling_mean, rolling_stddev, running_totals, series
+from barsmith.functions.windows import (
+    mean_from_totals, previous, rolling_mean, rolling_stddev, running_totals, series,
+)
 from barsmith.operators.fact_signals import early_signal_columns, late_signal_columns
 from barsmith.operators.guards import DUPLICATE_KEY_MESSAGE, guard
 from barsmith.operators.indicators import (
@@ -99,13 +101,13 @@ def series_pass(
     ).withColumn("_macd_line", c("_ema_fast") - c("_ema_slow"))
 
     # level 3: MACD signal line (a float mean: sliding frame); level 4: the
-    # previous line / signal for the crossover
+    # previous line and signal for the crossover (lag)
     lvl3 = lvl2.select("*", rolling_mean("_macd_line", MACD_SIGNAL, w).alias("_macd_sig"))
     lvl3 = lvl3.select(
         "*", previous("_macd_line", w).alias("_prev_macd_line"), previous("_macd_sig", w).alias("_prev_macd_sig")
     )
 
-    # MACD and Bollinger values/labels are final once level 3 is done: compute
+    # MACD and Bollinger values/labels are final once level 4 is done: compute
     # them here, in the codegen stage before the RSI sort, so the last stage only
     # holds the RSI and signal logic (small enough to be JIT-compiled).
     has_prev = c("_has_prev")
@@ -129,10 +131,10 @@ def series_pass(
     if fact:
         pre = pre.select("*", *[v.alias(k) for k, v in early_signal_columns().items()])
 
-    # level 4: RSI means over the bars that have a previous close. Partitioned by
-    # (ticker, _has_prev): the ticker exchange still satisfies it, so this costs
-    # one in-partition sort and no shuffle. Placed last so that the three levels
-    # above share a single sort.
+    # levels 5-6: RSI means over the bars that have a previous close (running
+    # totals, then their lag). Partitioned by (ticker, _has_prev): the ticker
+    # exchange still satisfies it, so this costs one in-partition sort and no
+    # shuffle. Placed last so that the four levels above share a single sort.
     wk = series(["ticker", "_has_prev"])
     gain_total, gain_count = running_totals("_gain", wk)
     loss_total, loss_count = running_totals("_loss", wk)
