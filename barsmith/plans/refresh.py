@@ -13,6 +13,7 @@ from __future__ import annotations
 import json
 import uuid
 from collections.abc import Mapping
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -93,18 +94,23 @@ def refresh_marts(
     updated_at=None,
     recommendation_col: str = "sma_recommendation",
 ) -> dict[str, DataFrame]:
-    """Full refresh: staging -> fused fact (written) -> summary + portfolio (written)."""
+    """Full refresh: staging -> fused fact (written) -> summary + portfolio (written).
+
+    The two marts only read the written fact, so their jobs are submitted
+    concurrently from two driver threads and share the cluster.
+    """
     stg = stage_bars(raw)
     fact = write_mart(
         daily_performance_fused(stg, updated_at=updated_at), root, FACT_TABLE,
         sort_within=["ticker", "trade_date"], properties=TABLE_PROPERTIES[FACT_TABLE],
     )
-    summary = write_mart(
-        stock_summary(fact, as_of=as_of, recommendation_col=recommendation_col, updated_at=updated_at),
-        root, SUMMARY_TABLE, properties=TABLE_PROPERTIES[SUMMARY_TABLE],
-    )
-    portfolio = write_mart(
-        portfolio_performance(fact, recommendation_col=recommendation_col, updated_at=updated_at),
-        root, PORTFOLIO_TABLE, properties=TABLE_PROPERTIES[PORTFOLIO_TABLE],
-    )
-    return {FACT_TABLE: fact, SUMMARY_TABLE: summary, PORTFOLIO_TABLE: portfolio}
+    marts = {
+        SUMMARY_TABLE: stock_summary(fact, as_of=as_of, recommendation_col=recommendation_col, updated_at=updated_at),
+        PORTFOLIO_TABLE: portfolio_performance(fact, recommendation_col=recommendation_col, updated_at=updated_at),
+    }
+    with ThreadPoolExecutor(max_workers=len(marts)) as pool:
+        futures = {
+            name: pool.submit(write_mart, df, root, name, properties=TABLE_PROPERTIES[name]) for name, df in marts.items()
+        }
+        written = {name: f.result() for name, f in futures.items()}
+    return {FACT_TABLE: fact, **written}
