@@ -35,14 +35,17 @@ FACT_TABLE = "fct_daily_stock_performance"
 SUMMARY_TABLE = "dim_stock_summary"
 PORTFOLIO_TABLE = "fct_portfolio_performance"
 
-# --- fixed values: relation tags and owner metadata ---------------------------
+# --- fixed values: relation tags and owner metadata (``meta.*``: ``owner`` is a
+# reserved table property in Spark) -------------------------------------------
 TABLE_PROPERTIES: dict[str, dict[str, str]] = {
-    RETURNS_VIEW: {"tags": "intermediate,daily,returns", "owner": "data_engineering", "contains_pii": "false"},
-    MOVING_AVERAGES_VIEW: {"tags": "intermediate,technical_analysis,time_series", "owner": "analytics_engineering",
-                           "contains_pii": "false", "refresh_frequency": "daily"},
-    FACT_TABLE: {"tags": "marts,fact_table,daily", "owner": "analytics", "contains_pii": "false"},
-    SUMMARY_TABLE: {"tags": "marts,dimension,summary", "owner": "analytics", "contains_pii": "false"},
-    PORTFOLIO_TABLE: {"tags": "marts,fact_table,portfolio", "owner": "analytics", "contains_pii": "false"},
+    RETURNS_VIEW: {"tags": "intermediate,daily,returns", "meta.owner": "data_engineering",
+                   "meta.contains_pii": "false"},
+    MOVING_AVERAGES_VIEW: {"tags": "intermediate,technical_analysis,time_series",
+                           "meta.owner": "analytics_engineering", "meta.contains_pii": "false",
+                           "meta.refresh_frequency": "daily"},
+    FACT_TABLE: {"tags": "marts,fact_table,daily", "meta.owner": "analytics", "meta.contains_pii": "false"},
+    SUMMARY_TABLE: {"tags": "marts,dimension,summary", "meta.owner": "analytics", "meta.contains_pii": "false"},
+    PORTFOLIO_TABLE: {"tags": "marts,fact_table,portfolio", "meta.owner": "analytics", "meta.contains_pii": "false"},
 }
 
 
@@ -61,19 +64,41 @@ def register_views(spark: SparkSession, stg: DataFrame, prefix: str = "", update
     return views
 
 
+def _quote(text: str) -> str:
+    return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
+def publish_table(spark: SparkSession, name: str, path: str, properties: Mapping[str, str] | None = None) -> None:
+    """Point catalog table ``name`` at ``path``: create an external parquet
+    table, or swap the location of the existing one (one catalog operation,
+    readers see the old or the new version), then set its TBLPROPERTIES."""
+    spark.catalog.dropTempView(name)  # a same-named temp view would shadow the table
+    if spark.catalog.tableExists(name):
+        spark.sql(f"ALTER TABLE `{name}` SET LOCATION {_quote(path)}")
+        spark.sql(f"REFRESH TABLE `{name}`")
+    else:
+        spark.sql(f"CREATE TABLE `{name}` USING parquet LOCATION {_quote(path)}")
+    if properties:
+        props = ", ".join(f"{_quote(k)} = {_quote(v)}" for k, v in properties.items())
+        spark.sql(f"ALTER TABLE `{name}` SET TBLPROPERTIES ({props})")
+
+
 def write_mart(
     df: DataFrame,
     root: str,
     name: str,
     sort_within: list[str] | None = None,
     properties: Mapping[str, str] | None = None,
+    publish: str = "view",
 ) -> DataFrame:
     """Overwrite-style refresh: write a fresh version folder, then expose it.
 
-    Returns the DataFrame read back from the written files (the new table). The
-    name is re-pointed as a temp view only after the write committed; the
-    properties are recorded as ``_properties.json`` next to the data (readers
-    skip files starting with an underscore).
+    Returns the DataFrame read back from the written files (the new table).
+    Only after the write committed is the name re-pointed: as a temp view
+    (``publish="view"``) or as a catalog table whose location is swapped and
+    whose TBLPROPERTIES carry ``properties`` (``publish="table"``). The
+    properties are also written as ``_properties.json`` next to the data
+    (readers skip files starting with an underscore).
     """
     spark = df.sparkSession
     path = f"{root.rstrip('/')}/{name}/v={uuid.uuid4().hex[:12]}"
@@ -81,6 +106,9 @@ def write_mart(
     out.write.mode("errorifexists").parquet(path)
     if properties:
         write_text(spark, f"{path}/_properties.json", json.dumps(dict(properties), sort_keys=True))
+    if publish == "table":
+        publish_table(spark, name, path, properties)
+        return spark.table(name)
     table = spark.read.parquet(path)
     table.createOrReplaceTempView(name)
     return table
@@ -93,6 +121,7 @@ def refresh_marts(
     as_of=None,
     updated_at=None,
     recommendation_col: str = "sma_recommendation",
+    publish: str = "view",
 ) -> dict[str, DataFrame]:
     """Full refresh: staging -> fused fact (written) -> summary + portfolio (written).
 
@@ -102,7 +131,7 @@ def refresh_marts(
     stg = stage_bars(raw)
     fact = write_mart(
         daily_performance_fused(stg, updated_at=updated_at), root, FACT_TABLE,
-        sort_within=["ticker", "trade_date"], properties=TABLE_PROPERTIES[FACT_TABLE],
+        sort_within=["ticker", "trade_date"], properties=TABLE_PROPERTIES[FACT_TABLE], publish=publish,
     )
     marts = {
         SUMMARY_TABLE: stock_summary(fact, as_of=as_of, recommendation_col=recommendation_col, updated_at=updated_at),
@@ -110,7 +139,8 @@ def refresh_marts(
     }
     with ThreadPoolExecutor(max_workers=len(marts)) as pool:
         futures = {
-            name: pool.submit(write_mart, df, root, name, properties=TABLE_PROPERTIES[name]) for name, df in marts.items()
+            name: pool.submit(write_mart, df, root, name, properties=TABLE_PROPERTIES[name], publish=publish)
+            for name, df in marts.items()
         }
         written = {name: f.result() for name, f in futures.items()}
     return {FACT_TABLE: fact, **written}

@@ -81,3 +81,21 @@ def test_refresh_marts_writes_versions_and_properties(spark, tmp_path):
         with open(os.path.join(root, name, versions[0], "_properties.json")) as fh:
             assert json.load(fh) == TABLE_PROPERTIES[name]
         assert spark.table(name).count() == out[name].count()  # the name points at the new version
+
+
+def test_refresh_marts_as_catalog_tables(spark, tmp_path):
+    root = str(tmp_path / "marts")
+    raw = raw_layer(spark, SF)
+    for _ in range(2):  # second refresh swaps the table locations to new versions
+        refresh_marts(spark, raw, root, as_of="2001-11-04", updated_at=UPDATED, publish="table")
+    for name in TABLE_PROPERTIES:
+        if name not in ("fct_daily_stock_performance", "dim_stock_summary", "fct_portfolio_performance"):
+            continue
+        assert len(os.listdir(os.path.join(root, name))) == 2
+        props = {r.key: r.value for r in spark.sql(f"SHOW TBLPROPERTIES `{name}`").collect()}
+        assert all(props.get(k) == v for k, v in TABLE_PROPERTIES[name].items())
+        location = spark.sql(f"DESCRIBE TABLE EXTENDED `{name}`").where("col_name = 'Location'").first().data_type
+        assert location.rstrip("/").split("/")[-1] in os.listdir(os.path.join(root, name))
+    assert spark.table("dim_stock_summary").count() == 9
+    for name in ("fct_daily_stock_performance", "dim_stock_summary", "fct_portfolio_performance"):
+        spark.sql(f"DROP TABLE IF EXISTS `{name}`")
