@@ -73,6 +73,36 @@ def latest_per_ticker(fact: DataFrame, recommendation_col: str = "sma_recommenda
     )
 
 
+LATEST_COLUMNS = ["ticker", "company_name", "latest_trade_date", "current_price", "current_volume",
+                  "current_recommendation", "current_trend"]
+
+
+def latest_values(fact: DataFrame, recommendation_col: str = "sma_recommendation") -> DataFrame:
+    """Latest bar per ticker (``max_by``; keys unique), in the summary's column names."""
+    c = F.col
+    last = F.max_by(
+        F.struct(
+            c("trade_date").alias("d"), c("company_name").alias("n"), c("close_price").alias("p"),
+            c("volume").alias("v"), c(recommendation_col).alias("r"), c("trend_signal").alias("t"),
+        ),
+        c("trade_date"),
+    )
+    return fact.where(c("trade_date").isNotNull()).groupBy("ticker").agg(last.alias("_last")).select(
+        "ticker",
+        c("_last.n").alias("company_name"),
+        c("_last.d").alias("latest_trade_date"),
+        c("_last.p").alias("current_price"),
+        c("_last.v").alias("current_volume"),
+        c("_last.r").alias("current_recommendation"),
+        c("_last.t").alias("current_trend"),
+    )
+
+
+def summary_from_parts(latest: DataFrame, stats: DataFrame, updated_at=None) -> DataFrame:
+    """Summary rows from per-ticker latest values LEFT JOIN trailing statistics."""
+    return _finish(latest.select(*LATEST_COLUMNS).join(stats, "ticker", "left"), updated_at)
+
+
 def _finish(df: DataFrame, updated_at) -> DataFrame:
     c = F.col
     return df.withColumns(

@@ -34,6 +34,8 @@ from barsmith.operators.indicators import BOLLINGER_WINDOW, MACD_SIGNAL, MACD_SL
 from barsmith.operators.moving_averages import SMA_WINDOWS, VOLATILITY_WINDOW
 from barsmith.operators.series import series_pass
 from barsmith.paths import path_exists
+from barsmith.plans.portfolio import portfolio_performance
+from barsmith.plans.summary import LATEST_COLUMNS, latest_values, stats_30d, summary_from_parts
 from barsmith.sources.bars import stage_landed
 from barsmith.sources.registry import TICKERS
 from barsmith.sources.schema import BAR_SCHEMA, FACT_COLUMNS, KEY, STAGED_COLUMNS
@@ -152,6 +154,54 @@ def upsert_by_key(df: DataFrame, path: str, columns: list[str], partition_col: s
     )
 
 
+def replace_rows(df: DataFrame, path: str, key: list[str]) -> None:
+    """Rewrite a small table with the rows of ``df`` replacing those with the same key."""
+    spark = df.sparkSession
+    out = df
+    if table_exists(spark, path):
+        current = spark.read.parquet(path).select(*df.columns)
+        out = current.join(df.select(*key), key, "left_anti").unionByName(df)
+    out.checkpoint(eager=True).write.mode("overwrite").parquet(path)
+
+
+def refresh_marts_incremental(
+    fresh: DataFrame,
+    fact_path: str,
+    summary_path: str,
+    portfolio_path: str,
+    as_of=None,
+    recommendation_col: str = "sma_recommendation",
+    updated_at=None,
+) -> None:
+    """Bring the summary and portfolio marts in line with an upserted fact.
+
+    * portfolio: only the dates of ``fresh`` change; they are recomputed from
+      those fact partitions (semi-join on the dates: partitions are pruned)
+      and replace their rows;
+    * summary: an affected ticker's latest bar is among its ``fresh`` rows
+      (they run from its first change to its last bar); other tickers keep
+      their stored latest values. The trailing statistics move with ``as_of``
+      and are recomputed for every ticker from the last ``TRAILING_DAYS`` of
+      fact partitions only.
+    """
+    spark = fresh.sparkSession
+    fact = spark.read.parquet(fact_path).select(*FACT_COLUMNS)
+    dates = fresh.select("trade_date").distinct()
+    touched = portfolio_performance(
+        fact.join(dates, "trade_date", "left_semi"), recommendation_col=recommendation_col, updated_at=updated_at
+    )
+    replace_rows(touched, portfolio_path, ["trade_date"])
+
+    fresh_latest = latest_values(fresh, recommendation_col)
+    if table_exists(spark, summary_path):
+        stored = spark.read.parquet(summary_path).select(*LATEST_COLUMNS)
+        latest = stored.join(fresh_latest.select("ticker"), "ticker", "left_anti").unionByName(fresh_latest)
+    else:
+        latest = latest_values(fact, recommendation_col)
+    summary = summary_from_parts(latest, stats_30d(fact, as_of), updated_at)
+    summary.checkpoint(eager=True).write.mode("overwrite").parquet(summary_path)
+
+
 def refresh_batch(
     spark: SparkSession,
     landed: DataFrame,
@@ -159,8 +209,13 @@ def refresh_batch(
     fact_path: str,
     registry: Mapping[str, str] = TICKERS,
     updated_at=None,
+    summary_path: str | None = None,
+    portfolio_path: str | None = None,
+    as_of=None,
+    recommendation_col: str = "sma_recommendation",
 ) -> None:
-    """One micro-batch: stage landed bars, recompute affected fact rows, upsert both."""
+    """One micro-batch: stage landed bars, recompute affected fact rows, upsert
+    silver and fact; with mart paths also refresh the summary and portfolio."""
     # read the micro-batch once: every later step reuses the checkpointed rows
     changes = stage_landed(landed, registry).checkpoint(eager=True)
     if table_exists(spark, silver_path):
@@ -170,6 +225,8 @@ def refresh_batch(
     fresh = incremental_fact(history, changes, updated_at).checkpoint(eager=True)
     upsert_by_key(changes.where(F.col("trade_date").isNotNull()), silver_path, STAGED_COLUMNS)
     upsert_by_key(fresh, fact_path, FACT_COLUMNS)
+    if summary_path and portfolio_path:
+        refresh_marts_incremental(fresh, fact_path, summary_path, portfolio_path, as_of, recommendation_col, updated_at)
 
 
 def start_refresh_stream(
@@ -181,6 +238,10 @@ def start_refresh_stream(
     registry: Mapping[str, str] = TICKERS,
     updated_at=None,
     available_now: bool = True,
+    summary_path: str | None = None,
+    portfolio_path: str | None = None,
+    as_of=None,
+    recommendation_col: str = "sma_recommendation",
 ) -> StreamingQuery:
     """Structured Streaming over ``landing_root/ticker=<T>/*.parquet`` files.
 
@@ -192,7 +253,10 @@ def start_refresh_stream(
     schema = T.StructType([*BAR_SCHEMA.fields, T.StructField("ticker", T.StringType())])
     src = spark.readStream.schema(schema).option("basePath", landing_root).parquet(landing_root)
     writer = src.writeStream.foreachBatch(
-        lambda df, _id: refresh_batch(spark, df, silver_path, fact_path, registry, updated_at)
+        lambda df, _id: refresh_batch(
+            spark, df, silver_path, fact_path, registry, updated_at, summary_path, portfolio_path, as_of,
+            recommendation_col,
+        )
     ).option("checkpointLocation", checkpoint_location)
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="1 minute")
     return writer.start()

@@ -2,9 +2,12 @@ import datetime as dt
 
 from pyspark.sql import functions as F
 
+from barsmith.catalog import stabilize
 from barsmith.plans.daily_fact import daily_performance_fused
 from barsmith.sources.bars import stage_landed
-from barsmith.sources.schema import FACT_COLUMNS, STAGED_COLUMNS
+from barsmith.plans.portfolio import portfolio_performance
+from barsmith.plans.summary import stock_summary
+from barsmith.sources.schema import FACT_COLUMNS, PORTFOLIO_COLUMNS, STAGED_COLUMNS, SUMMARY_COLUMNS
 from barsmith.streaming.incremental import incremental_fact, merge_bars, read_table, start_refresh_stream
 from conftest import LANDED_SCHEMA, bar, f2_bars, series_rows, staged_from
 
@@ -53,18 +56,32 @@ def test_new_ticker_without_history(spark):
 
 def test_streaming_refresh_equals_full_build(spark, tmp_path):
     landing, silver, fact, ckpt = (str(tmp_path / x) for x in ("landing", "silver", "fact", "ckpt"))
-    bars = f2_bars(spark, tickers=(("AAPL", -1), ("MSFT", 1)))
+    summary, portfolio = str(tmp_path / "summary"), str(tmp_path / "portfolio")
+    marts = dict(summary_path=summary, portfolio_path=portfolio, as_of="2025-06-15")
+    bars = f2_bars(spark, tickers=(("AAPL", -1), ("MSFT", 1), ("SPY", 1), ("TSLA", -1)))
     cut = (dt.date(2025, 5, 1) - dt.date(1970, 1, 1)).days * 86_400_000
     bars.where(F.col("T") < cut).write.partitionBy("ticker").parquet(landing)
-    q = start_refresh_stream(spark, landing, silver, fact, ckpt, updated_at=UPDATED)
+    q = start_refresh_stream(spark, landing, silver, fact, ckpt, updated_at=UPDATED, **marts)
     q.awaitTermination()
     bars.where(F.col("T") >= cut).write.mode("append").partitionBy("ticker").parquet(landing)
     restate = spark.createDataFrame([bar("AAPL", dt.date(2025, 2, 3), 123.45)], LANDED_SCHEMA)
     restate.write.mode("append").partitionBy("ticker").parquet(landing)
-    q = start_refresh_stream(spark, landing, silver, fact, ckpt, updated_at=UPDATED)
+    q = start_refresh_stream(spark, landing, silver, fact, ckpt, updated_at=UPDATED, **marts)
     q.awaitTermination()
     stored = read_table(spark, fact, FACT_COLUMNS)
     all_bars = merge_bars(stage_landed(bars.where(F.col("T") < cut)), stage_landed(bars.where(F.col("T") >= cut)))
     all_bars = merge_bars(all_bars, stage_landed(restate))
-    same(stored, daily_performance_fused(all_bars, updated_at=UPDATED))
+    full = daily_performance_fused(all_bars, updated_at=UPDATED)
+    same(stored, full)
     assert read_table(spark, silver, STAGED_COLUMNS).count() == all_bars.count()
+    for path, expected_df, cols in (
+        (summary, stock_summary(full, as_of="2025-06-15", updated_at=UPDATED), SUMMARY_COLUMNS),
+        (portfolio, portfolio_performance(full, updated_at=UPDATED), PORTFOLIO_COLUMNS),
+    ):
+        # float aggregates differ in the last bits with summation order: compare
+        # them at 6 decimals (the oracle's convention), everything else exactly
+        got = stabilize(read_table(spark, path, cols))
+        want = stabilize(expected_df.select(*cols))
+        g, w = got.exceptAll(want).collect(), want.exceptAll(got).collect()
+        diffs = [{k: (a[k], b[k]) for k in cols if a[k] != b[k]} for a in g for b in w if a[0] == b[0]]
+        assert not g and not w, diffs[:3]
