@@ -129,19 +129,55 @@ def table_exists(spark: SparkSession, path: str) -> bool:
     return path_exists(spark, path)
 
 
+MAX_LITERAL_DATES = 10_000
+
+
+def restrict_to_dates(table: DataFrame, dates: DataFrame, col: str = "trade_date") -> DataFrame:
+    """Rows of ``table`` on the dates listed in ``dates``.
+
+    The distinct dates of a refresh are bounded by the calendar (one for a daily
+    run), so up to ``MAX_LITERAL_DATES`` of them are collected and applied as a
+    literal ``IN`` filter, which a date-partitioned table prunes statically;
+    beyond that the filter is a semi-join.
+    """
+    values = [r[0] for r in dates.select(col).distinct().limit(MAX_LITERAL_DATES + 1).collect()]
+    if len(values) <= MAX_LITERAL_DATES:
+        return table.where(F.col(col).isin(values)) if values else table.limit(0)
+    return table.join(dates.select(col).distinct(), col, "left_semi")
+
+
+def read_touched_partitions(
+    spark: SparkSession, path: str, dates: DataFrame, columns: list[str], col: str = "trade_date"
+) -> DataFrame:
+    """The partitions of a ``col``-partitioned table that ``dates`` touches.
+
+    Opens only those partition folders (``basePath`` keeps ``col`` as a column),
+    so the file listing does not grow with the table's history; falls back to a
+    pruned read of the whole table for very large date sets.
+    """
+    values = [r[0] for r in dates.select(col).distinct().limit(MAX_LITERAL_DATES + 1).collect()]
+    if len(values) > MAX_LITERAL_DATES:
+        return restrict_to_dates(spark.read.parquet(path).select(*columns), dates, col)
+    folders = [f"{path.rstrip('/')}/{col}={v}" for v in values]
+    folders = [f for f in folders if path_exists(spark, f)]
+    if not folders:
+        return spark.read.parquet(path).select(*columns).limit(0)
+    return spark.read.option("basePath", path).parquet(*folders).select(*columns)
+
+
 def upsert_by_key(df: DataFrame, path: str, columns: list[str], partition_col: str = "trade_date") -> None:
     """Replace the (ticker, trade_date) rows of ``df`` in a date-partitioned table.
 
-    Rows of other keys in the touched date partitions are kept; the partitions
-    are rewritten with dynamic partition overwrite. The new partition contents
-    are checkpointed first, so the job never reads files it is overwriting.
+    Rows of other keys in the touched date partitions are kept; only those
+    partition folders are opened (``read_touched_partitions``) and rewritten with dynamic
+    partition overwrite. The new partition contents are checkpointed first, so
+    the job never reads files it is overwriting.
     """
     spark = df.sparkSession
     out = df.select(*columns)
     if table_exists(spark, path):
-        current = spark.read.parquet(path).select(*columns)
-        dates = out.select(partition_col).distinct()
-        kept = current.join(dates, partition_col, "left_semi").join(out.select(*KEY), KEY, "left_anti")
+        touched = read_touched_partitions(spark, path, out, columns, partition_col)
+        kept = touched.join(out.select(*KEY), KEY, "left_anti")
         out = kept.unionByName(out)
     out = out.checkpoint(eager=True)
     (
@@ -176,8 +212,7 @@ def refresh_marts_incremental(
     """Bring the summary and portfolio marts in line with an upserted fact.
 
     * portfolio: only the dates of ``fresh`` change; they are recomputed from
-      those fact partitions (semi-join on the dates: partitions are pruned)
-      and replace their rows;
+      those fact partitions only (``restrict_to_dates``) and replace their rows;
     * summary: an affected ticker's latest bar is among its ``fresh`` rows
       (they run from its first change to its last bar); other tickers keep
       their stored latest values. The trailing statistics move with ``as_of``
@@ -186,9 +221,8 @@ def refresh_marts_incremental(
     """
     spark = fresh.sparkSession
     fact = spark.read.parquet(fact_path).select(*FACT_COLUMNS)
-    dates = fresh.select("trade_date").distinct()
     touched = portfolio_performance(
-        fact.join(dates, "trade_date", "left_semi"), recommendation_col=recommendation_col, updated_at=updated_at
+        restrict_to_dates(fact, fresh), recommendation_col=recommendation_col, updated_at=updated_at
     )
     replace_rows(touched, portfolio_path, ["trade_date"])
 
