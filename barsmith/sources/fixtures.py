@@ -33,7 +33,7 @@ from barsmith.sources.schema import BAR_SCHEMA
 
 # --- fixed values: bucket -> ticker order of the derived raw layer ----------
 FIXTURE_TICKER_ORDER = ["AAPL", "QQQ", "MSFT", "AMZN", "SPY", "GOOGL", "META", "NVDA", "TSLA"]
-FIXTURE_VERSION = "f1-v2"
+FIXTURE_VERSION = "f1-v3"
 LANDED_LAYOUT = "{root}/ticker={ticker}"
 
 
@@ -95,7 +95,10 @@ def land_raw_layer(spark: SparkSession, sf_dir: str) -> str:
         return root
     staging = f"{root}.tmp-{uuid.uuid4().hex[:8]}"
     bars = derive_bars(spark.read.parquet(lineitem_path))
-    bars.repartition("ticker").write.mode("overwrite").partitionBy("ticker").parquet(staging)
+    # REBALANCE: clustered by ticker folder, a hot ticker split over several tasks
+    bars.hint("rebalance", "ticker").sortWithinPartitions("ticker", "T").write.mode("overwrite").partitionBy(
+        "ticker"
+    ).parquet(staging)
     if rename_path(spark, staging, root) or path_exists(spark, f"{root}/_SUCCESS"):
         return root  # landed now, or another run landed it first
     return staging

@@ -181,7 +181,10 @@ def upsert_by_key(df: DataFrame, path: str, columns: list[str], partition_col: s
         out = kept.unionByName(out)
     out = out.checkpoint(eager=True)
     (
-        out.repartition(partition_col)
+        # REBALANCE keeps rows clustered by date (few files per partition on a
+        # history load) while AQE splits a hot date -- a daily run writes one
+        # date for every ticker -- over several tasks
+        out.hint("rebalance", partition_col)
         .sortWithinPartitions(*KEY)
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
