@@ -278,14 +278,14 @@ def _build_queries() -> dict[str, Query]:
         add(name, _cols(fused_fact, cols), cols, _fact_sql(cols))
 
     add("latest_dates", lambda s, d: latest_dates(fused_fact(s, d)), ["ticker", "latest_trade_date"],
-        _sql(O.FACT + (O.cte_summary("sma_recommendation"),), "latest_dates", ["ticker", "latest_trade_date"]))
+        _sql(O.FACT + (O.cte_summary("sma_recommendation"),), "last_day", ["ticker", "latest_trade_date"]))
     lv = ["ticker", "company_name", "latest_trade_date", "current_price", "current_volume",
           "current_recommendation", "current_trend"]
     add("latest_per_ticker", lambda s, d: latest_per_ticker(fused_fact(s, d)), lv,
-        _sql(O.FACT + (O.cte_summary("sma_recommendation"),), "latest_values", lv))
+        _sql(O.FACT + (O.cte_summary("sma_recommendation"),), "last_bar", lv))
     st = ["ticker", "avg_return_30d", "volatility_30d", "avg_volume_30d", "low_30d", "high_30d", "total_trading_days"]
     add("stats_30d", lambda s, d: stabilize(stats_30d(fused_fact(s, d), as_of=O.AS_OF)), st,
-        _sql(O.FACT + (O.cte_summary("sma_recommendation"),), "stats_30d", st))
+        _sql(O.FACT + (O.cte_summary("sma_recommendation"),), "trailing_stats", st))
     add("dim_stock_summary", lambda s, d: stabilize(_summary("sma_recommendation")(s, d)), SUMMARY_COLUMNS,
         _summary_sql("sma_recommendation"))
     add("dim_stock_summary_composite", lambda s, d: stabilize(_summary("composite_recommendation")(s, d)),
@@ -295,7 +295,7 @@ def _build_queries() -> dict[str, Query]:
 
     uc = ["trade_date", "ticker", "close_price", "daily_return_pct"]
     add("universe_split", lambda s, d: split_universe(fused_fact(s, d))[1], uc,
-        _sql(O.FACT + (O.cte_portfolio(),), "benchmarks", uc))
+        _sql(O.FACT + (O.cte_portfolio(),), "bench_rows", uc))
     port = _portfolio("sma_recommendation")
     add("portfolio_daily_agg", lambda s, d: stabilize(port(s, d).select(*PORTFOLIO_AGG)), PORTFOLIO_AGG,
         _portfolio_sql(PORTFOLIO_AGG))
