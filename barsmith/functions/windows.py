@@ -9,8 +9,10 @@ Every window in the models is ``PARTITION BY ticker ORDER BY trade_date`` with a
   decimal sum is exact, so the mean does not depend on summation order and equal
   averages (e.g. SMA-7 == SMA-30 during warm-up) compare equal.
 
-Frames are bounded (at most 90 rows), so the per-row cost is O(frame) and the
-only shuffle is the hash exchange on ``ticker`` that all specs share.
+Sliding frames re-aggregate their rows for every output row (Spark does not
+retract), so their cost is O(frame) per row; ``mean_from_totals`` gives the
+same decimal means at O(1) from running totals. All specs share the one hash
+exchange on ``ticker``.
 """
 
 from __future__ import annotations

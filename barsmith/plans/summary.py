@@ -4,9 +4,10 @@ The reference takes ``max(trade_date)`` per ticker, inner-joins back to the fact
 for the latest values, aggregates the last 30 calendar days separately and
 left-joins the two. With unique (ticker, trade_date) keys (enforced by the fact
 builders) the same result comes from ONE aggregation: ``max_by`` picks the
-latest row and the 30-day statistics are conditional aggregates. That is one
-partially-aggregated shuffle whose size is #tickers x #map tasks, independent
-of history length, and no join. ``keys_unique=False`` runs the join form, which
+latest row and the 30-day statistics are conditional aggregates. That is at
+most one partially-aggregated shuffle whose size is #tickers x #map tasks,
+independent of history length (none when the fact is still hash-partitioned
+by ticker, as straight after the series pass), and no join. ``keys_unique=False`` runs the join form, which
 keeps ties on the latest date.
 """
 
