@@ -58,7 +58,28 @@ def merge_bars(history: DataFrame, changes: DataFrame) -> DataFrame:
     return kept.unionByName(landed.select(*STAGED_COLUMNS))
 
 
-def affected_bars(history: DataFrame, changes: DataFrame, context_days: int = CONTEXT_DAYS) -> DataFrame:
+def needs_earlier_history(
+    short: DataFrame, first_dates: DataFrame | None, context_days: int = CONTEXT_DAYS
+) -> DataFrame:
+    """Of the tickers whose context window proved too short, those that actually
+    have stored bars before the window (``first_dates``: ticker, first_date).
+
+    A new listing, or any ticker whose history starts inside the window, has
+    nothing earlier to read. Without ``first_dates`` every short ticker is kept.
+    """
+    if first_dates is None:
+        return short
+    c = F.col
+    return (
+        short.join(first_dates, "ticker", "left")
+        .where(c("first_date") < F.date_sub(c("_from"), context_days))
+        .select("ticker", "_from")
+    )
+
+
+def affected_bars(
+    history: DataFrame, changes: DataFrame, context_days: int = CONTEXT_DAYS, first_dates: DataFrame | None = None
+) -> DataFrame:
     """Bars needed to recompute every fact row that the changes can alter.
 
     Output: staged columns + ``_from`` (first changed date of the ticker).
@@ -98,6 +119,7 @@ def affected_bars(history: DataFrame, changes: DataFrame, context_days: int = CO
     ).checkpoint(eager=True)
 
     short = counted.where((c("_n_ctx") <= CONTEXT_ROWS) | (c("_null_ctx") > 0)).select("ticker", "_from").distinct()
+    short = needs_earlier_history(short, first_dates, context_days)
     bars = counted.select(*STAGED_COLUMNS, "_from")
     if short.isEmpty():
         return bars
@@ -108,14 +130,19 @@ def affected_bars(history: DataFrame, changes: DataFrame, context_days: int = CO
 
 
 def incremental_fact(
-    history: DataFrame, changes: DataFrame, updated_at=None, context_days: int = CONTEXT_DAYS
+    history: DataFrame,
+    changes: DataFrame,
+    updated_at=None,
+    context_days: int = CONTEXT_DAYS,
+    first_dates: DataFrame | None = None,
 ) -> DataFrame:
     """Fact rows of every affected ticker from its first changed date on.
 
     Equal to the full fact over ``merge_bars(history, changes)`` restricted to
-    those rows.
+    those rows. ``first_dates`` (ticker, first stored date) spares the
+    full-history read for tickers whose history starts inside the window.
     """
-    bars = affected_bars(history, changes, context_days)
+    bars = affected_bars(history, changes, context_days, first_dates)
     rows = series_pass(bars, fact=True, updated_at=updated_at, carry=("_from",))
     return rows.where(F.col("trade_date") >= F.col("_from")).select(*FACT_COLUMNS)
 
@@ -193,6 +220,21 @@ def upsert_by_key(df: DataFrame, path: str, columns: list[str], partition_col: s
     )
 
 
+def first_dates_path(silver_path: str) -> str:
+    """Side table of the silver layer: first stored trade date per ticker."""
+    return f"{silver_path.rstrip('/')}_first_dates"
+
+
+def update_first_dates(landed: DataFrame, path: str) -> None:
+    """Fold the landed bars into the per-ticker first-date table (#tickers rows;
+    bars are only ever added or restated, so a first date can only move back)."""
+    spark = landed.sparkSession
+    new = landed.groupBy("ticker").agg(F.min("trade_date").alias("first_date"))
+    if table_exists(spark, path):
+        new = spark.read.parquet(path).unionByName(new).groupBy("ticker").agg(F.min("first_date").alias("first_date"))
+    new.checkpoint(eager=True).write.mode("overwrite").parquet(path)
+
+
 def replace_rows(df: DataFrame, path: str, key: list[str]) -> None:
     """Rewrite a small table with the rows of ``df`` replacing those with the same key."""
     spark = df.sparkSession
@@ -259,8 +301,12 @@ def refresh_batch(
         history = spark.read.parquet(silver_path).select(*STAGED_COLUMNS)
     else:
         history = spark.createDataFrame([], changes.schema)
-    fresh = incremental_fact(history, changes, updated_at).checkpoint(eager=True)
-    upsert_by_key(changes.where(F.col("trade_date").isNotNull()), silver_path, STAGED_COLUMNS)
+    starts_path = first_dates_path(silver_path)
+    first_dates = spark.read.parquet(starts_path) if table_exists(spark, starts_path) else None
+    fresh = incremental_fact(history, changes, updated_at, first_dates=first_dates).checkpoint(eager=True)
+    landed = changes.where(F.col("trade_date").isNotNull())
+    upsert_by_key(landed, silver_path, STAGED_COLUMNS)
+    update_first_dates(landed, starts_path)
     upsert_by_key(fresh, fact_path, FACT_COLUMNS)
     if summary_path and portfolio_path:
         refresh_marts_incremental(fresh, fact_path, summary_path, portfolio_path, as_of, recommendation_col, updated_at)

@@ -114,3 +114,25 @@ def test_rerun_of_a_micro_batch_is_idempotent(spark, tmp_path):
     twice = snapshot()
     for name in once:
         assert sorted(map(tuple, once[name])) == sorted(map(tuple, twice[name])), name
+
+
+def test_first_dates_spare_the_full_history_read(spark):
+    from barsmith.streaming.incremental import needs_earlier_history
+
+    short = spark.createDataFrame(
+        [("NEW", dt.date(2025, 6, 1)), ("YOUNG", dt.date(2025, 6, 1)), ("GAPPY", dt.date(2025, 6, 1))],
+        "ticker string, _from date",
+    )
+    first = spark.createDataFrame(
+        [("YOUNG", dt.date(2025, 3, 1)), ("GAPPY", dt.date(2019, 1, 1))], "ticker string, first_date date"
+    )
+    assert {r.ticker for r in needs_earlier_history(short, first).collect()} == {"GAPPY"}
+    assert needs_earlier_history(short, None).count() == 3
+    # results stay exact with the side table: new listing plus an old, gappy history
+    old = series_rows("AAPL", list(range(100, 160)), start=dt.date(2020, 1, 1))
+    mid = series_rows("AAPL", [150, None, 151] + list(range(140, 170)), start=dt.date(2024, 12, 1))
+    hist = staged_from(spark, old + mid)
+    changes = staged_from(spark, series_rows("AAPL", [171, 172], start=dt.date(2025, 1, 10))
+                          + series_rows("MSFT", [10, 11, 12], start=dt.date(2025, 1, 10)))
+    starts = hist.groupBy("ticker").agg(F.min("trade_date").alias("first_date"))
+    same(incremental_fact(hist, changes, updated_at=UPDATED, first_dates=starts), expected(hist, changes))
