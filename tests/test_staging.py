@@ -64,9 +64,14 @@ def test_read_raw_layer_roundtrip(spark, tmp_path):
     assert set(raw) == set(TICKERS)
     assert raw["MSFT"].schema == BAR_SCHEMA
     assert stage_bars(raw).count() == len(TICKERS)
-    csv_dir = tmp_path / "csv"
-    spark.createDataFrame([bar("AAPL", dt.date(2025, 1, 2), 3)[:8]], BAR_SCHEMA).write.csv(str(csv_dir))
-    assert read_bars(spark, str(csv_dir), "csv").first().C == Decimal("3.0000")
+    one = spark.createDataFrame([bar("AAPL", dt.date(2025, 1, 2), 3)[:8]], BAR_SCHEMA)
+    one.write.csv(str(tmp_path / "csv"))
+    one.write.json(str(tmp_path / "json"))
+    one.createOrReplaceTempView("raw_aapl_bars")
+    for source, fmt in ((str(tmp_path / "csv"), "csv"), (str(tmp_path / "json"), "json"), ("raw_aapl_bars", "table")):
+        got = read_bars(spark, source, fmt)
+        assert got.schema == BAR_SCHEMA, fmt
+        assert got.first().C == Decimal("3.0000"), fmt
 
 
 def test_null_date_filter_reaches_scan(spark, tmp_path):
