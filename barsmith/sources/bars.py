@@ -32,8 +32,8 @@ def read_bars(
     ``source`` is a path for ``parquet``/``json``/``csv``/``orc`` or a catalog
     table name for ``fmt="table"``.
     """
-    if fmt == "table":
-        return spark.table(source).select(*BAR_SCHEMA.fieldNames())
+    if fmt == "table":  # cast to the declared schema, as the file readers apply it
+        return spark.table(source).select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in BAR_SCHEMA.fields])
     reader = spark.read.schema(BAR_SCHEMA).options(**dict(options or {}))
     return reader.format(fmt).load(source)
 

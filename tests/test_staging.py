@@ -72,6 +72,11 @@ def test_read_raw_layer_roundtrip(spark, tmp_path):
         got = read_bars(spark, source, fmt)
         assert got.schema == BAR_SCHEMA, fmt
         assert got.first().C == Decimal("3.0000"), fmt
+    # a catalog table with float prices is read with the declared decimal types
+    spark.createDataFrame([(1, 1.5, 2.0, 1.0, 1.75, 10.0, 1.6, 3)], "T long, O double, H double, L double, "
+                          "C double, V double, VW double, N int").createOrReplaceTempView("raw_float_bars")
+    got = read_bars(spark, "raw_float_bars", "table")
+    assert got.schema == BAR_SCHEMA and got.first().C == Decimal("1.7500")
 
 
 def test_null_date_filter_reaches_scan(spark, tmp_path):
