@@ -45,3 +45,17 @@ def test_marts_are_single_partial_aggregations(spark):
     p = plan(portfolio_performance(f))
     assert "Join" not in p and p.count("Exchange hashpartitioning") == 2
     assert "partial_" in p
+
+
+def test_summary_prunes_the_series_pass_down_to_its_columns(spark, tmp_path):
+    from barsmith.sources.bars import read_landed
+
+    f2_bars(spark).write.partitionBy("ticker").parquet(str(tmp_path / "landed"))
+    fact = daily_performance_fused(stage_landed(read_landed(spark, str(tmp_path / "landed"))))
+    p = plan(stock_summary(fact, as_of="2025-06-01"))
+    # only the columns the summary needs reach the scan ...
+    schema = p[p.index("ReadSchema: struct<") + len("ReadSchema: struct<"):].split(">")[0]
+    fields = {f.split(":")[0] for f in schema.split(",")}
+    assert {"T", "C", "V"} <= fields and not fields & {"O", "H", "L", "VW", "N"}
+    # ... and no MACD / Bollinger / RSI window is computed
+    assert "_macd_line" not in p and "_bb_sd" not in p and "_gain" not in p
