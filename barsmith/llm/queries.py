@@ -6,12 +6,13 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from barsmith.llm import language, packing, quality
+from barsmith.llm import jaccard, language, packing, quality
 
 
 def spark_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op4_language_id": language.query,
+        "op5_ngram_jaccard_join": jaccard.query,
         "op6_best_fit_packing": packing.query,
         "op9_quality_rules": quality.query,
     }
