@@ -6,11 +6,12 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from barsmith.llm import jaccard, language, packing, quality
+from barsmith.llm import jaccard, language, mixing, packing, quality
 
 
 def spark_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op1_mixing": mixing.query,
         "op4_language_id": language.query,
         "op5_ngram_jaccard_join": jaccard.query,
         "op6_best_fit_packing": packing.query,
