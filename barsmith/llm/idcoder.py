@@ -54,15 +54,17 @@ _SQUASH, _STRETCH = _logistic_tables()
 
 
 def _targets(width: int) -> np.ndarray:
-    """Row s: where cumulative entries move when symbol s was seen (every gap stays >= 1)."""
-    i = np.arange(width)
-    return np.where(i[None, :] <= i[:, None], i[None, :], _TOT - width + i[None, :]).astype(np.int16)
+    """Row s: where cumulative entries (and their total) move when symbol s was seen; every gap stays >= 1."""
+    i, s = np.arange(width + 1), np.arange(width)[:, None]
+    return np.where(i <= s, i, _TOT - width + i).astype(np.int16)
 
 
 _TARGETS = [_targets(w) for w, _, _ in _LEVELS]
 
 
 class _Encoder:
+    """Range coder of all lanes; ``low`` and ``rng`` may be worked on in compacted copies."""
+
     def __init__(self, lanes: int, steps: int):
         self.low = np.zeros(lanes, np.uint64)
         self.rng = np.full(lanes, _ROOM)
@@ -70,24 +72,29 @@ class _Encoder:
         self.out = np.zeros((lanes, steps + 16), np.uint32)
 
     def room(self) -> None:
-        if self.out.shape[1] - int(self.pos.max(initial=0)) < 16:
+        if self.out.shape[1] - int(self.pos.max(initial=0)) < 24:
             self.out = np.hstack([self.out, np.zeros_like(self.out)])
 
-    def code(self, at, start, freq) -> None:
-        r = self.rng[at] >> _U14
-        low = self.low[at] + r * start
-        rng = r * freq
-        short = rng < _LOW
-        if short.any():
-            where = at[short]
-            s = low[short]
+    def state(self, at) -> tuple[np.ndarray, np.ndarray]:
+        return self.low[at], self.rng[at]
+
+    def store(self, at, state) -> None:
+        self.low[at], self.rng[at] = state
+
+    def code(self, lanes, state, start, freq) -> None:
+        """Narrow each lane's interval to [start, start + freq) of 2^14."""
+        low, rng = state
+        rng >>= _U14
+        low += rng * start
+        rng *= freq
+        short = np.flatnonzero(rng < _LOW)
+        if len(short):
+            where, s = lanes[short], low[short]
             p = self.pos[where]
             self.out[where, p] = s >> _U32  # may hold a carry, resolved in finish()
             self.pos[where] = p + 1
             low[short] = (s & _MASK) << _U16
             rng[short] <<= _U16
-        self.low[at] = low
-        self.rng[at] = rng
 
     def finish(self) -> list[bytes]:
         lanes = np.arange(len(self.low))
@@ -107,30 +114,38 @@ class _Encoder:
 class _Decoder:
     def __init__(self, codes: list[bytes]):
         length = max(map(len, codes), default=0) // 2 + 8
-        self.digits = np.zeros((len(codes), length), np.uint64)
+        self.digits = np.zeros((len(codes), length), np.uint16)
         for i, c in enumerate(codes):
             c += b"\0" * (len(c) % 2)
             self.digits[i, : len(c) // 2] = np.frombuffer(c, "<u2")
-        self.code_ = (self.digits[:, 0] << _U32) | (self.digits[:, 1] << _U16) | self.digits[:, 2]
+        first = self.digits[:, :3].astype(np.uint64)
+        self.low = (first[:, 0] << _U32) | (first[:, 1] << _U16) | first[:, 2]  # code value less the interval's start
         self.rng = np.full(len(codes), _ROOM)
         self.pos = np.full(len(codes), 3, np.int64)
 
-    def value(self, at) -> np.ndarray:
-        self.r = self.rng[at] >> _U14
-        return np.minimum(self.code_[at] // self.r, np.uint64(_TOT - 1)).astype(np.int16)
-
-    def take(self, at, start, freq) -> None:
-        code = self.code_[at] - self.r * start
-        rng = self.r * freq
-        short = rng < _LOW
-        if short.any():
-            where = at[short]
+    def state(self, at) -> tuple[np.ndarray, np.ndarray]:
+        return self.low[at], self.rng[at]
+
+    def store(self, at, state) -> None:
+        self.low[at], self.rng[at] = state
+
+    def value(self, state) -> np.ndarray:
+        """Where each lane's code lies in its interval, of 2^14; ``code`` has to follow."""
+        low, rng = state
+        rng >>= _U14
+        return np.minimum(low // rng, np.uint64(_TOT - 1)).astype(np.int16)
+
+    def code(self, lanes, state, start, freq) -> None:
+        low, rng = state
+        low -= rng * start
+        rng *= freq
+        short = np.flatnonzero(rng < _LOW)
+        if len(short):
+            where = lanes[short]
             p = np.minimum(self.pos[where], self.digits.shape[1] - 1)  # a damaged code ends here, its checksum fails
-            code[short] = (code[short] << _U16) | self.digits[where, p]
+            low[short] = (low[short] << _U16) | self.digits[where, p]
             self.pos[where] = p + 1
             rng[short] <<= _U16
-        self.code_[at] = code
-        self.rng[at] = rng
 
 
 class _Model:
@@ -139,14 +154,14 @@ class _Model:
     def __init__(self, lanes: int):
         n = lanes
         self.tree = [
-            np.tile((np.arange(w) * (_TOT // w)).astype(np.int16), (n * nodes, 1))
+            np.tile((np.arange(w + 1) * (_TOT // w)).astype(np.int16), (n * nodes, 1))
             for (w, _, _), nodes in zip(_LEVELS, (1, 64, 64 * 32))
         ]
         self.nodes = (1, 64, 64 * 32)
         # predicted id | run of hits << 16; 0 in the run means nothing seen
         self.t1 = np.zeros((n, 1 << _SLOTS1), np.uint32)
         self.t2 = np.zeros((n, 1 << _SLOTS2), np.uint32)
-        self.p0 = np.full((n, 1), _TOT // 2, np.int32)
+        self.p0 = np.full(n, _TOT // 2, np.int32)
         self.p1 = np.full((n, 8), _TOT // 2, np.int32)
         self.p2 = np.full((n, 8), _TOT // 2, np.int32)
         self.w = np.full((3, n), 1 << 14, np.int32)
@@ -154,68 +169,80 @@ class _Model:
         self.before = np.zeros(n, np.uint32)
 
     def step(self, at: np.ndarray, ids: np.ndarray | None, coder) -> np.ndarray:
-        """Codes ``ids`` of the lanes ``at`` or, with ids None, decodes and returns them."""
+        """Codes ``ids`` of the lanes ``at`` (0 to n - 1) or, with ids None, decodes and returns them."""
         n = len(at)
-        h1 = (self.last[:n] * np.uint32(0x9E3779B1)) >> np.uint32(32 - _SLOTS1)
-        h2 = ((self.last[:n] * np.uint32(0x85EBCA6B)) ^ (self.before[:n] * np.uint32(0xC2B2AE35))) * np.uint32(0x27D4EB2F) >> np.uint32(32 - _SLOTS2)
-        e1, e2 = self.t1[at, h1], self.t2[at, h2]
-        run1, run2 = (e1 >> np.uint32(16)).astype(np.int64), (e2 >> np.uint32(16)).astype(np.int64)
+        last, before = self.last[:n], self.before[:n]
+        h1 = (last * np.uint32(0x9E3779B1)) >> np.uint32(32 - _SLOTS1)
+        h2 = ((last * np.uint32(0x85EBCA6B)) ^ (before * np.uint32(0xC2B2AE35))) * np.uint32(0x27D4EB2F) >> np.uint32(32 - _SLOTS2)
+        a1, a2 = at * (1 << _SLOTS1) + h1, at * (1 << _SLOTS2) + h2
+        e1, e2 = self.t1.take(a1), self.t2.take(a2)
+        run1, run2 = e1 >> np.uint32(16), e2 >> np.uint32(16)
         id1, id2 = e1 & np.uint32(0xFFFF), e2 & np.uint32(0xFFFF)
         guess = np.where(run2 > 0, id2, id1)
-        c1 = run1 + 4 * (id1 == guess)  # 0..7
-        c2 = run2 + 4 * (id1 == id2)
-        q0, q1, q2 = self.p0[:n, 0], self.p1[at, c1], self.p2[at, c2]
-        s0, s1, s2 = _STRETCH[q0 >> 2], _STRETCH[q1 >> 2], _STRETCH[q2 >> 2]
+        c1 = at * 8 + run1 + 4 * (id1 == guess)
+        c2 = at * 8 + run2 + 4 * (id1 == id2)
+        q0, q1, q2 = self.p0[:n], self.p1.take(c1), self.p2.take(c2)
+        s0, s1, s2 = _STRETCH.take(q0 >> 2), _STRETCH.take(q1 >> 2), _STRETCH.take(q2 >> 2)
         w0, w1, w2 = self.w[0, :n], self.w[1, :n], self.w[2, :n]
         dot = (w0 * s0 + w1 * s1 + w2 * s2) >> 16
-        p = _SQUASH[np.clip(dot, -2048, 2047) + 2048]
-        if ids is not None:
-            hit = ids == guess
-            coder.code(at, np.where(hit, 0, p).astype(np.uint64), np.where(hit, p, _TOT - p).astype(np.uint64))
-        else:
-            hit = coder.value(at) < p
-            coder.take(at, np.where(hit, 0, p).astype(np.uint64), np.where(hit, p, _TOT - p).astype(np.uint64))
-        target = np.where(hit, _TOT - 1, 0)
+        np.maximum(dot, -2048, out=dot)
+        np.minimum(dot, 2047, out=dot)
+        p = _SQUASH.take(dot + 2048)
+        state = (coder.low[:n], coder.rng[:n])
+        hit = ids == guess if ids is not None else coder.value(state) < p
+        coder.code(at, state, np.where(hit, 0, p).astype(np.uint64), np.where(hit, p, _TOT - p).astype(np.uint64))
+        target = hit * np.int32(_TOT - 1)
         err = (target - p) >> 3
-        self.w[0, :n] = np.clip(w0 + ((s0 * err) >> 10), -(1 << 18), 1 << 18)
-        self.w[1, :n] = np.clip(w1 + ((s1 * err) >> 10), -(1 << 18), 1 << 18)
-        self.w[2, :n] = np.clip(w2 + ((s2 * err) >> 10), -(1 << 18), 1 << 18)
-        self.p0[:n, 0] = q0 + ((target - q0) >> 5)
-        self.p1[at, c1] = q1 + ((target - q1) >> 4)
-        self.p2[at, c2] = q2 + ((target - q2) >> 4)
+        for w, s in ((w0, s0), (w1, s1), (w2, s2)):
+            w += (s * err) >> 10
+            np.maximum(w, -(1 << 18), out=w)
+            np.minimum(w, 1 << 18, out=w)
+        q0 += (target - q0) >> 5
+        self.p1.put(c1, q1 + ((target - q1) >> 4))
+        self.p2.put(c2, q2 + ((target - q2) >> 4))
         miss = np.flatnonzero(~hit)
-        got = guess.copy() if ids is None else ids
+        got = guess if ids is None else ids
         if len(miss):
-            known = None if ids is None else ids[miss]
-            found = self._order0(miss, known, coder)
+            found = self._order0(miss, None if ids is None else ids[miss], coder)
             if ids is None:
                 got[miss] = found
-        # remember what followed; the run grows on a hit and halves on a miss
-        self.t1[at, h1] = np.where(id1 == got, id1 | (np.minimum(run1 + 1, 3).astype(np.uint32) << np.uint32(16)), np.where(run1 > 1, id1 | ((run1 >> 1).astype(np.uint32) << np.uint32(16)), got | np.uint32(1 << 16)))
-        self.t2[at, h2] = np.where(id2 == got, id2 | (np.minimum(run2 + 1, 3).astype(np.uint32) << np.uint32(16)), np.where(run2 > 1, id2 | ((run2 >> 1).astype(np.uint32) << np.uint32(16)), got | np.uint32(1 << 16)))
-        self.before[:n] = self.last[:n]
-        self.last[:n] = got
+        self.t1.put(a1, _followed(got, e1, id1, run1))
+        self.t2.put(a2, _followed(got, e2, id2, run2))
+        before[:] = last
+        last[:] = got
         return got
 
     def _order0(self, at: np.ndarray, ids: np.ndarray | None, coder) -> np.ndarray:
         node = np.zeros(len(at), np.int64)
-        every = np.arange(len(at))
+        row0 = np.arange(len(at))
+        state = coder.state(at)
+        if ids is not None:
+            ids = ids.astype(np.int64)
         for k, (width, shift, rate) in enumerate(_LEVELS):
             where = at * self.nodes[k] + node
-            rows = self.tree[k][where]
+            rows = self.tree[k].take(where, axis=0)  # each row ends with the total
             if ids is not None:
-                sym = (ids.astype(np.int64) >> shift) & (width - 1)
+                sym = (ids >> shift) & (width - 1)
             else:
-                sym = (rows <= coder.value(at)[:, None]).sum(axis=1) - 1
-            start = rows[every, sym].astype(np.uint64)
-            end = np.where(sym == width - 1, _TOT, rows[every, np.minimum(sym + 1, width - 1)]).astype(np.uint64)
-            (coder.code if ids is not None else coder.take)(at, start, end - start)
-            rows += (_TARGETS[k][sym] - rows) >> rate
+                sym = (rows <= coder.value(state)[:, None]).sum(axis=1, dtype=np.int64) - 1
+            flat = row0 * (width + 1) + sym
+            start = rows.take(flat).astype(np.uint64)
+            coder.code(at, state, start, rows.take(flat + 1).astype(np.uint64) - start)
+            rows += (_TARGETS[k].take(sym, axis=0) - rows) >> rate
             self.tree[k][where] = rows
             node = node * width + sym
+        coder.store(at, state)
         return node.astype(np.uint32)
 
 
+def _followed(got: np.ndarray, entry: np.ndarray, known: np.ndarray, run: np.ndarray) -> np.ndarray:
+    """Table entries after ``got``: a run of hits grows to 3; a miss halves it, at 0 or 1 the id is replaced."""
+    hit = known == got
+    longer = known | (np.minimum(run + np.uint32(1), np.uint32(3)) << np.uint32(16))
+    other = np.where(run > 1, known | ((run >> np.uint32(1)) << np.uint32(16)), got | np.uint32(1 << 16))
+    return np.where(hit, longer, other)
+
+
 def encode_blocks(blocks: list[np.ndarray]) -> list[bytes]:
     """One byte string per block of 16-bit ids. Blocks run side by side."""
     order = sorted(range(len(blocks)), key=lambda i: -len(blocks[i]))

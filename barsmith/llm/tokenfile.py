@@ -39,7 +39,7 @@ from barsmith.llm.common import documents, scratch, shuffle_partitions, text_byt
 
 END_ID = 2
 BLOCK_IDS = 4096
-LANES = 512  # blocks coded side by side in a task; bounds its memory
+LANES = 1536  # blocks coded side by side in a task; bounds its memory
 
 FILE = T.StructType([
     T.StructField("part", T.IntegerType()),
