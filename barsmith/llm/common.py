@@ -34,6 +34,11 @@ def fold(col: str | Column, modulus: int) -> Column:
     return F.crc32(c.cast("string").cast("binary")) % modulus
 
 
+def in_fold(col: str | Column, modulus: int, remainder: int) -> Column:
+    """Whether the value's fold is ``remainder``; false for null."""
+    return F.coalesce(fold(col, modulus) == remainder, F.lit(False))
+
+
 def shuffle_partitions(spark: SparkSession) -> int:
     """The session's number of shuffle partitions."""
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
