@@ -6,21 +6,23 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from barsmith.llm import jaccard, language, mixing, packing, quality, sharding, tokenfile, topk
+from barsmith.llm import jaccard, language, lattice, licenses, mixing, packing, quality, sharding, tokenfile, topk
 
 
 def spark_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_mixing": mixing.query,
+        "op2_lattice_score": lattice.query,
         "op3_sharding": sharding.query,
         "op4_language_id": language.query,
         "op5_ngram_jaccard_join": jaccard.query,
         "op6_best_fit_packing": packing.query,
         "op7_token_files": tokenfile.query,
+        "op8_license_scan": licenses.query,
         "op9_quality_rules": quality.query,
         "op10_topk_search": topk.query,
     }
 
 
 def oracle_queries() -> dict[str, str]:
-    return {"op10_topk_search": topk.SQL}
+    return {"op8_license_scan": licenses.oracle(), "op10_topk_search": topk.SQL}
