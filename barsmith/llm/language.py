@@ -28,9 +28,10 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from barsmith.llm.common import documents, fold, text_bytes
+from barsmith.llm.common import documents, in_fold, text_bytes
 
 SAMPLE_ROWS = 20_000
+FOLDS, HELD_OUT = 5, 0  # a null doc_id is in no fold: learned from
 SLOT_BITS = 17
 ORDERS = (2, 3, 4)
 SWITCH_PENALTY = 8.0  # nats
@@ -313,7 +314,7 @@ def label_udf(model: dict):
 
 
 def training_rows(docs: DataFrame) -> DataFrame:
-    return docs.filter(fold("doc_id", 5) != 0)
+    return docs.filter(~in_fold("doc_id", FOLDS, HELD_OUT))
 
 
 def identify(docs: DataFrame, text: str | Column = "text") -> Column:
@@ -328,5 +329,5 @@ def keep_identified(docs: DataFrame) -> DataFrame:
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = documents(spark, sf_dir)
-    return docs.select("doc_id", (fold("doc_id", 5) == 0).alias("held_out"), identify(docs).alias("v")).select(
+    return docs.select("doc_id", in_fold("doc_id", FOLDS, HELD_OUT).alias("held_out"), identify(docs).alias("v")).select(
         "doc_id", "held_out", "v.lang_pred", "v.score", F.size("v.spans").cast("long").alias("n_spans"))
