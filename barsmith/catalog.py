@@ -23,6 +23,7 @@ from barsmith.operators.indicators import (
 from barsmith.operators.moving_averages import avg_volume, moving_averages, sma, volatility
 from barsmith.operators.returns import stock_returns, valid_dates
 from barsmith.plans.daily_fact import daily_performance, daily_performance_fused
+from barsmith.plans.refresh import FACT_TABLE, PORTFOLIO_TABLE, SUMMARY_TABLE, published
 from barsmith.plans.portfolio import portfolio_columns, portfolio_performance, split_universe
 from barsmith.plans.summary import latest_dates, latest_per_ticker, stats_30d, stock_summary
 from barsmith.sources.bars import stage_bars, stage_landed
@@ -125,29 +126,61 @@ def _incremental_tail(spark, sf_dir):
     return incremental_fact(history, changes, updated_at=updated_at())
 
 
-def _stream_refresh(spark, sf_dir):
+def _store_root(spark, kind):
     import uuid
 
     from barsmith.session import shared_dir
-    from barsmith.streaming.incremental import read_table, start_refresh_stream
 
-    base = f"{shared_dir(spark)}/barsmith-stream/{uuid.uuid4().hex[:12]}"
-    q = start_refresh_stream(
-        spark, land_raw_layer(spark, sf_dir), f"{base}/silver", f"{base}/fact", f"{base}/_checkpoint",
-        updated_at=updated_at(),
-    )
+    return f"{shared_dir(spark)}/barsmith-{kind}/{uuid.uuid4().hex[:12]}"
+
+
+def _stream_refresh(spark, sf_dir):
+    from barsmith.streaming.incremental import FACT, read_table, start_refresh_stream
+
+    root = _store_root(spark, "stream")
+    q = start_refresh_stream(spark, land_raw_layer(spark, sf_dir), f"{root}/store", f"{root}/checkpoint", updated_at=updated_at())
     q.awaitTermination()
     if q.exception() is not None:
         raise RuntimeError(str(q.exception()))
-    return read_table(spark, f"{base}/fact", FACT_COLUMNS)
+    return read_table(spark, f"{root}/store", FACT)
+
+
+def _replayed(spark, sf_dir):
+    """The whole landed layer brought in by five batches: history in which one ticker
+    lacks most of a year and every 97th day is misstated by one, the restatements, the
+    missing bars, newer bars, and the last days. Returns the store's root."""
+    from barsmith.streaming.incremental import refresh_batch
+
+    bars = landed_bars(spark, sf_dir)
+    day = (F.col("T") / 86_400_000).cast("long")
+    newer, last = day >= 11_000, day >= 11_590
+    gap = (F.col("ticker") == "MSFT") & day.between(9_500, 9_800)
+    wrong = (F.pmod(day, F.lit(97)) == 0) & ~newer & ~gap
+    misstated = bars.where(wrong).withColumn("C", (F.col("C") + 1).cast("decimal(18,4)"))
+    batches = [
+        bars.where(~newer & ~gap & ~wrong).unionByName(misstated), bars.where(wrong), bars.where(gap), bars.where(newer & ~last), bars.where(last),
+    ]
+    root = _store_root(spark, "replay")
+    for i, batch in enumerate(batches):
+        refresh_batch(spark, batch, root, updated_at=updated_at(), as_of=O.AS_OF, batch_id=i)
+    return root
+
+
+def _replay(name: str) -> Builder:
+    def build(spark, sf_dir):
+        from barsmith.streaming.incremental import read_table
 
+        return read_table(spark, _replayed(spark, sf_dir), name)
+    return build
 
-def _full_refresh(spark, sf_dir):
-    from barsmith.plans.refresh import refresh_marts
 
-    root = land_raw_layer(spark, sf_dir)
-    marts = refresh_marts(spark, raw_layer(spark, sf_dir), f"{root}-marts", as_of=O.AS_OF, updated_at=updated_at())
-    return marts["fct_portfolio_performance"]
+def _full_refresh(name: str) -> Builder:
+    def build(spark, sf_dir):
+        from barsmith.plans.refresh import refresh_marts
+
+        marts = refresh_marts(spark, staged(spark, sf_dir), _store_root(spark, "marts"), as_of=O.AS_OF, updated_at=updated_at())
+        return published(name, marts[name])
+    return build
 
 
 # ------------------------------------------------------------------- SQL ----
@@ -262,7 +295,7 @@ def _build_queries() -> dict[str, Query]:
     ss = K + ["signal_strength_score"]
     add("signal_strength_score", _cols(ti, ss), ss, _sql(O.TI, "ti", ss))
 
-    add("fact_daily", lambda s, d: stabilize(joined_fact(s, d)), FACT_COLUMNS, _fact_sql(FACT_COLUMNS))
+    add("fact_daily", lambda s, d: published(FACT_TABLE, stabilize(joined_fact(s, d))), FACT_COLUMNS, _fact_sql(FACT_COLUMNS))
     jf = K + ["close_price", "sma_30_day", "rsi_14_day", "macd_signal", "bollinger_position"]
     add("join_fact_left", lambda s, d: joined_fact(s, d).select(*jf), jf, _fact_sql(jf))
     add("fact_daily_fused", lambda s, d: stabilize(fused_fact(s, d)), FACT_COLUMNS, _fact_sql(FACT_COLUMNS))
@@ -286,7 +319,7 @@ def _build_queries() -> dict[str, Query]:
     st = ["ticker", "avg_return_30d", "volatility_30d", "avg_volume_30d", "low_30d", "high_30d", "total_trading_days"]
     add("stats_30d", lambda s, d: stabilize(stats_30d(fused_fact(s, d), as_of=O.AS_OF)), st,
         _sql(O.FACT + (O.cte_summary("sma_recommendation"),), "trailing_stats", st))
-    add("dim_stock_summary", lambda s, d: stabilize(_summary("sma_recommendation")(s, d)), SUMMARY_COLUMNS,
+    add("dim_stock_summary", lambda s, d: published(SUMMARY_TABLE, stabilize(_summary("sma_recommendation")(s, d))), SUMMARY_COLUMNS,
         _summary_sql("sma_recommendation"))
     add("dim_stock_summary_composite", lambda s, d: stabilize(_summary("composite_recommendation")(s, d)),
         SUMMARY_COLUMNS, _summary_sql("composite_recommendation"))
@@ -311,7 +344,7 @@ def _build_queries() -> dict[str, Query]:
     add("portfolio_risk_adjusted", lambda s, d: stabilize(port(s, d).select(*pr)), pr, _portfolio_sql(pr))
     mr = ["trade_date", "market_regime"]
     add("market_regime", lambda s, d: port(s, d).select(*mr), mr, _portfolio_sql(mr))
-    add("fact_portfolio", lambda s, d: stabilize(port(s, d)), PORTFOLIO, _portfolio_sql(PORTFOLIO))
+    add("fact_portfolio", lambda s, d: published(PORTFOLIO_TABLE, stabilize(port(s, d))), PORTFOLIO, _portfolio_sql(PORTFOLIO))
     add("fact_portfolio_composite", lambda s, d: stabilize(_portfolio("composite_recommendation")(s, d)), PORTFOLIO,
         _portfolio_sql(PORTFOLIO, "composite_recommendation"))
     add("fact_portfolio_joinform", lambda s, d: stabilize(_portfolio("sma_recommendation", False)(s, d)), PORTFOLIO,
@@ -321,7 +354,10 @@ def _build_queries() -> dict[str, Query]:
         _sql(O.FACT, "fact", FACT_COLUMNS, f"trade_date >= DATE '{INCREMENT_FROM}'"))
     add("stream_refresh_fact", lambda s, d: stabilize(_stream_refresh(s, d)), FACT_COLUMNS, _fact_sql(FACT_COLUMNS))
     add("registered_views", lambda s, d: stabilize(_views(s, d)), FACT_COLUMNS, _fact_sql(FACT_COLUMNS))
-    add("full_refresh_marts", lambda s, d: stabilize(_full_refresh(s, d)), PORTFOLIO, _portfolio_sql(PORTFOLIO))
+    for key, make in {"full_refresh": _full_refresh, "incremental_replay": _replay}.items():
+        add(f"{key}_fact", lambda s, d, m=make(FACT_TABLE): stabilize(m(s, d)), FACT_COLUMNS, _fact_sql(FACT_COLUMNS))
+        add(f"{key}_summary", lambda s, d, m=make(SUMMARY_TABLE): stabilize(m(s, d)), SUMMARY_COLUMNS, _summary_sql("sma_recommendation"))
+        add(f"{key}_marts", lambda s, d, m=make(PORTFOLIO_TABLE): stabilize(m(s, d)), PORTFOLIO, _portfolio_sql(PORTFOLIO))
     return q
 
 

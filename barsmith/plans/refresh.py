@@ -1,30 +1,33 @@
-"""Views over the layers and the full refresh of the three marts.
-
-Staging and intermediate layers are lazy views; the marts are materialized
-tables. ``refresh_marts`` writes the daily fact first and builds the summary and
-portfolio marts from the *written* fact, so the expensive window stage runs once
-and its lineage is cut (a lost executor re-reads parquet instead of recomputing
-the windows). Each refresh writes a fresh folder and then re-points the table,
-so readers never see a half-written mart.
+"""Views over the layers and the full refresh of the marts.
+
+Staging and intermediate layers are lazy views; the marts are materialized tables of
+a ``Store``, the same one that the incremental refresh keeps up to date.
+``refresh_marts`` writes the silver bars and the daily fact first and builds the summary
+and portfolio marts from the *written* fact, so the expensive window stage runs once
+and its lineage is cut. All tables become current with one manifest; a later session
+finds them by the store's root.
 """
 
 from __future__ import annotations
 
 import json
-import uuid
 from collections.abc import Mapping
 from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from barsmith.operators.indicators import technical_indicators
 from barsmith.operators.moving_averages import moving_averages
-from barsmith.operators.returns import stock_returns
+from barsmith.operators.returns import stock_returns, valid_dates
 from barsmith.paths import write_text
 from barsmith.plans.daily_fact import daily_performance_fused
 from barsmith.plans.portfolio import portfolio_performance
 from barsmith.plans.summary import stock_summary
 from barsmith.sources.bars import stage_bars
+from barsmith.sources.schema import FACT_COLUMNS, KEY, MOVING_AVERAGE_COLUMNS, RETURNS_COLUMNS, STAGED_COLUMNS
+from barsmith.tables import MONTH, Store, month_of
 
 # --- fixed values: relation names of the layers ------------------------------
 STAGING_VIEW = "stg_stock_prices"
@@ -68,12 +71,29 @@ def _quote(text: str) -> str:
     return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
 
 
-def publish_table(spark: SparkSession, name: str, path: str, properties: Mapping[str, str] | None = None) -> None:
-    """Point catalog table ``name`` at ``path``: create an external parquet
-    table, or swap the location of the existing one (one catalog operation,
-    readers see the old or the new version), then set its TBLPROPERTIES."""
+# Published row order of the marts.
+MART_ORDER = {FACT_TABLE: ("ticker", "-trade_date"), SUMMARY_TABLE: ("ticker",), PORTFOLIO_TABLE: ("-trade_date",)}
+
+
+def published(name: str, df: DataFrame) -> DataFrame:
+    """A mart in its published row order."""
+    keys = [F.col(k[1:]).desc() if k.startswith("-") else F.col(k).asc() for k in MART_ORDER[name]]
+    return df.orderBy(*keys)
+
+
+def publish_table(
+    spark: SparkSession, name: str, path: str, schema, partition: str | None = None, properties: Mapping[str, str] | None = None
+) -> None:
+    """Point the external catalog table ``name`` at the version in ``path`` and set its
+    TBLPROPERTIES. Without partitions the location of an existing table is swapped;
+    a partitioned one is created anew, so that it gets the new version's partitions."""
     spark.catalog.dropTempView(name)  # a same-named temp view would shadow the table
-    if spark.catalog.tableExists(name):
+    if partition is not None:
+        spark.sql(f"DROP TABLE IF EXISTS `{name}`")
+        columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in [*schema.fields, T.StructField(partition, T.StringType())])
+        spark.sql(f"CREATE TABLE `{name}` ({columns}) USING parquet PARTITIONED BY (`{partition}`) LOCATION {_quote(path)}")
+        spark.sql(f"ALTER TABLE `{name}` RECOVER PARTITIONS")
+    elif spark.catalog.tableExists(name):
         spark.sql(f"ALTER TABLE `{name}` SET LOCATION {_quote(path)}")
         spark.sql(f"REFRESH TABLE `{name}`")
     else:
@@ -83,64 +103,67 @@ def publish_table(spark: SparkSession, name: str, path: str, properties: Mapping
         spark.sql(f"ALTER TABLE `{name}` SET TBLPROPERTIES ({props})")
 
 
-def write_mart(
-    df: DataFrame,
-    root: str,
-    name: str,
-    sort_within: list[str] | None = None,
-    properties: Mapping[str, str] | None = None,
-    publish: str = "view",
-) -> DataFrame:
-    """Overwrite-style refresh: write a fresh version folder, then expose it.
-
-    Returns the DataFrame read back from the written files (the new table).
-    Only after the write committed is the name re-pointed: as a temp view
-    (``publish="view"``) or as a catalog table whose location is swapped and
-    whose TBLPROPERTIES carry ``properties`` (``publish="table"``). The
-    properties are also written as ``_properties.json`` next to the data
-    (readers skip files starting with an underscore).
-    """
-    spark = df.sparkSession
-    path = f"{root.rstrip('/')}/{name}/v={uuid.uuid4().hex[:12]}"
-    out = df.sortWithinPartitions(*sort_within) if sort_within else df
-    out.write.mode("errorifexists").parquet(path)
-    if properties:
-        write_text(spark, f"{path}/_properties.json", json.dumps(dict(properties), sort_keys=True))
-    if publish == "table":
-        publish_table(spark, name, path, properties)
-        return spark.table(name)
-    table = spark.read.parquet(path)
-    table.createOrReplaceTempView(name)
-    return table
+def _quote(text: str) -> str:
+    return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
 
 
 def refresh_marts(
     spark: SparkSession,
-    raw: Mapping[str, DataFrame],
+    source: Mapping[str, DataFrame] | DataFrame,
     root: str,
     as_of=None,
     updated_at=None,
     recommendation_col: str = "sma_recommendation",
     publish: str = "view",
+    intermediate: bool = False,
 ) -> dict[str, DataFrame]:
     """Full refresh: staging -> fused fact (written) -> summary + portfolio (written).
 
-    The two marts only read the written fact, so their jobs are submitted
-    concurrently from two driver threads and share the cluster.
+    ``source`` is the raw table per ticker or one staged DataFrame. The fact and the
+    silver bars are partitioned by month. The summary and the portfolio only read the
+    written fact, so their jobs are submitted concurrently from two driver threads.
+    ``intermediate`` also writes the returns and moving-average relations. Each table's
+    tags and owner metadata lie beside its data (``_properties.json``). The tables are
+    then exposed by name: as temp views in published order, or (``publish="table"``) as
+    external catalog tables that carry the metadata as TBLPROPERTIES.
     """
-    stg = stage_bars(raw)
-    fact = write_mart(
-        daily_performance_fused(stg, updated_at=updated_at), root, FACT_TABLE,
-        sort_within=["ticker", "trade_date"], properties=TABLE_PROPERTIES[FACT_TABLE], publish=publish,
-    )
-    marts = {
+    stg = stage_bars(source) if isinstance(source, Mapping) else source
+    store = Store(spark, root)
+    state = store.manifest()
+    written: dict[str, dict[str, str]] = {}
+    schemas = {}
+
+    def put(name: str, df: DataFrame, by_month: bool = False) -> DataFrame:
+        schemas[name] = df.schema
+        if by_month:
+            written[name] = store.write(name, df.withColumn(MONTH, month_of()), MONTH, KEY)
+        else:
+            written[name] = store.write(name, df)
+        if name in TABLE_PROPERTIES:
+            for version in {f.partition("/")[0] for f in written[name].values()}:
+                write_text(spark, f"{store.root}/{name}/{version}/_properties.json", json.dumps(TABLE_PROPERTIES[name], sort_keys=True))
+        return store.read({"tables": written}, name, df.schema)
+
+    bars = put(STAGING_VIEW, valid_dates(stg).select(*STAGED_COLUMNS), True)
+    fact = put(FACT_TABLE, daily_performance_fused(bars, updated_at=updated_at).select(*FACT_COLUMNS), True)
+    small = {
         SUMMARY_TABLE: stock_summary(fact, as_of=as_of, recommendation_col=recommendation_col, updated_at=updated_at),
         PORTFOLIO_TABLE: portfolio_performance(fact, recommendation_col=recommendation_col, updated_at=updated_at),
     }
+    marts = {name: published(name, df) for name, df in small.items()}
+    if intermediate:
+        returns = stock_returns(bars)
+        marts |= {RETURNS_VIEW: returns.select(*RETURNS_COLUMNS), MOVING_AVERAGES_VIEW: moving_averages(returns).select(*MOVING_AVERAGE_COLUMNS)}
     with ThreadPoolExecutor(max_workers=len(marts)) as pool:
-        futures = {
-            name: pool.submit(write_mart, df, root, name, properties=TABLE_PROPERTIES[name], publish=publish)
-            for name, df in marts.items()
-        }
-        written = {name: f.result() for name, f in futures.items()}
-    return {FACT_TABLE: fact, **written}
+        futures = {name: pool.submit(put, name, df) for name, df in marts.items()}
+        out = {FACT_TABLE: fact, **{name: f.result() for name, f in futures.items()}}
+    store.commit(state, written)
+    for name, df in out.items():
+        if publish == "table":
+            partition = MONTH if name == FACT_TABLE else None
+            version = next(iter(written[name].values())).partition("/")[0] if written[name] else None
+            if version is not None:
+                publish_table(spark, name, f"{store.root}/{name}/{version}", schemas[name], partition, TABLE_PROPERTIES[name])
+        else:
+            (published(name, df) if name in MART_ORDER else df).createOrReplaceTempView(name)
+    return out

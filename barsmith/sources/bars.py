@@ -100,13 +100,24 @@ def stage_bars(raw: Mapping[str, DataFrame], registry: Mapping[str, str] = TICKE
     return functools.reduce(DataFrame.union, branches)
 
 
+def unregistered(
+    bars: DataFrame, registry: Mapping[str, str] | DataFrame = TICKERS, ticker_col: str = "ticker"
+) -> DataFrame:
+    """The landed bars that ``stage_landed`` leaves out: no ticker, or one without a registry entry."""
+    if isinstance(registry, DataFrame):
+        known = registry.select(F.col("ticker").alias("_reg_ticker"))
+        return bars.join(known, F.col(ticker_col) == F.col("_reg_ticker"), "left_anti")
+    return bars.where(~F.coalesce(F.col(ticker_col).isin(list(registry)), F.lit(False)))
+
+
 def stage_landed(
     bars: DataFrame, registry: Mapping[str, str] | DataFrame = TICKERS, ticker_col: str = "ticker"
 ) -> DataFrame:
     """Staging for a single landed table that already carries a ticker column.
 
     Equivalent to ``stage_bars`` over its per-ticker slices: rows of tickers
-    without a registry entry are dropped (they have no raw table). ``registry``
+    without a registry entry are left out (they have no raw table; ``unregistered``
+    gives them). ``registry``
     is either a small mapping (the company name becomes a literal map lookup:
     no join, no shuffle) or a DataFrame ``(ticker, company_name)`` for a large
     securities master, joined on ticker without a broadcast hint -- the join's

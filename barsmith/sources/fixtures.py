@@ -19,13 +19,12 @@ Derivation (fixed values, shared with the DuckDB oracle):
 from __future__ import annotations
 
 import hashlib
-import os
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from barsmith.paths import path_exists, rename_path
+from barsmith.paths import modification_stamp, path_exists, read_text, write_text
 from barsmith.session import shared_dir
 from barsmith.sources.bars import read_landed, read_raw_layer
 from barsmith.sources.registry import TICKERS
@@ -71,37 +70,34 @@ def derive_bars(lineitem: DataFrame) -> DataFrame:
     )
 
 
-def _fingerprint(path: str) -> str:
-    try:
-        st = os.stat(path)
-        meta = f"{os.path.abspath(path)}|{st.st_size}|{int(st.st_mtime)}"
-    except OSError:
-        meta = path
-    return hashlib.sha1(f"{FIXTURE_VERSION}|{meta}".encode()).hexdigest()[:16]
+def _fingerprint(spark: SparkSession, path: str) -> str:
+    stamp = modification_stamp(spark, path)
+    return hashlib.sha1(f"{FIXTURE_VERSION}|{stamp}".encode()).hexdigest()[:16]
 
 
 def land_raw_layer(spark: SparkSession, sf_dir: str) -> str:
     """Land the derived raw tables once per input; return the raw-layer root.
 
-    Written with ``partitionBy("ticker")`` (one folder per raw table) to a fresh
-    folder, then renamed into place through the Hadoop FileSystem of the shared
-    folder, so concurrent or interrupted runs never expose a partial layer; a
-    finished layer is reused.
+    Written with ``partitionBy("ticker")`` (one folder per raw table) to a folder of
+    its own; a pointer file that is only ever created names the first one finished,
+    so concurrent or interrupted runs never expose a partial layer.
     """
     lineitem_path = f"{sf_dir.rstrip('/')}/lineitem.parquet"
-    base = f"{shared_dir(spark)}/barsmith-raw"
-    root = f"{base}/{_fingerprint(lineitem_path)}"
-    if path_exists(spark, f"{root}/_SUCCESS"):
+    home = f"{shared_dir(spark)}/barsmith-raw/{_fingerprint(spark, lineitem_path)}"
+    pointer = f"{home}/_current"
+
+    def landed() -> str | None:
+        text = read_text(spark, pointer) if path_exists(spark, pointer) else ""
+        return f"{home}/{text.strip()}" if text.endswith("\n") else None
+
+    if (root := landed()) is not None:
         return root
-    staging = f"{root}.tmp-{uuid.uuid4().hex[:8]}"
+    folder = f"bars-{uuid.uuid4().hex[:12]}"
     bars = derive_bars(spark.read.parquet(lineitem_path))
     # REBALANCE: clustered by ticker folder, a hot ticker split over several tasks
-    bars.hint("rebalance", "ticker").sortWithinPartitions("ticker", "T").write.mode("overwrite").partitionBy(
-        "ticker"
-    ).parquet(staging)
-    if rename_path(spark, staging, root) or path_exists(spark, f"{root}/_SUCCESS"):
-        return root  # landed now, or another run landed it first
-    return staging
+    bars.hint("rebalance", "ticker").sortWithinPartitions("ticker", "T").write.partitionBy("ticker").parquet(f"{home}/{folder}")
+    write_text(spark, pointer, folder + "\n", overwrite=False)
+    return landed() or f"{home}/{folder}"
 
 
 def raw_layer(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:

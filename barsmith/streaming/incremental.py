@@ -1,44 +1,52 @@
-"""Incremental refresh of the daily fact from newly landed bars.
-
-The models rebuild the fact from all history every day. Rows of the fact only
-depend on a bounded number of earlier bars of the same ticker (the longest frame
-is the 90-row SMA; the MACD crossover needs 34 rows, the volatility 30), so a
-day's new or restated bars change only the rows of their own tickers from the
-first changed date on. ``incremental_fact`` recomputes exactly those rows:
-
-* ``tail``: the merged bars (landed bars replace stored ones with the same key)
-  of each affected ticker from its first changed date on;
-* ``context``: earlier bars of the same ticker. A calendar window of
-  ``context_days`` is taken first; a ticker whose window holds fewer than
-  ``CONTEXT_ROWS`` + 1 bars, or any NULL close (RSI frames then skip rows and
-  may reach further back), gets its whole earlier history instead — so the
-  result is exact for every ticker, the window only decides how much is read.
-
-The rows go through the same ``series_pass`` as a full build (a second
-exchange on ticker). ``upsert_by_key`` writes them into a date-partitioned
-table by replacing the affected date partitions (dynamic partition overwrite)
-after cutting lineage with a reliable checkpoint, so reruns of a micro-batch
-are idempotent. ``start_refresh_stream``
-wires it to a Structured Streaming file source with ``foreachBatch``.
+"""Incremental refresh of the marts from newly landed bars.
+
+The models rebuild the fact from all history every day. A fact row only depends on a
+bounded number of earlier bars of its ticker, so new or restated bars change only rows
+of their own tickers from the first changed date on. ``incremental_fact`` recomputes
+exactly these rows from
+
+* the *tail*: the merged bars (a landed bar replaces the stored one with its key) of
+  each changed ticker from its first changed date on;
+* the *context*: its earlier bars. They are read backwards in blocks of days, twice as
+  many each time, until a ticker has the ``CONTEXT_ROWS`` + 1 bars its frames can reach
+  (and enough closes for the RSI, whose frame skips bars) or the stored history ends.
+  What is read follows from the bars found, nothing else is remembered per ticker.
+
+``refresh_batch`` applies a micro-batch to the tables of a ``Store``: silver bars, fact,
+summary, portfolio. All become visible with one manifest that also records the batch,
+so a failure at any point leaves the state before, and a batch delivered again is
+recognised. Tables with one row per ticker and day are partitioned by month; only the
+months in which a row really changes are written anew.
 """
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+import datetime as dt
+from collections.abc import Callable, Mapping
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
+from barsmith.operators.guards import DUPLICATE_KEY_MESSAGE
 from barsmith.operators.indicators import BOLLINGER_WINDOW, MACD_SIGNAL, MACD_SLOW, RSI_WINDOW
 from barsmith.operators.moving_averages import SMA_WINDOWS, VOLATILITY_WINDOW
 from barsmith.operators.series import series_pass
-from barsmith.paths import path_exists
+from barsmith.plans.daily_fact import daily_performance_fused
 from barsmith.plans.portfolio import portfolio_performance
-from barsmith.plans.summary import LATEST_COLUMNS, latest_values, stats_30d, summary_from_parts
-from barsmith.sources.bars import stage_landed
+from barsmith.plans.summary import LATEST_COLUMNS, TRAILING_DAYS, latest_values, stats_30d, summary_from_parts
+from barsmith.sources.bars import stage_landed, unregistered
 from barsmith.sources.registry import TICKERS
 from barsmith.sources.schema import BAR_SCHEMA, FACT_COLUMNS, KEY, STAGED_COLUMNS
+from barsmith.tables import MONTH, WHOLE, Store, month_of
+
+# --- tables of the store --------------------------------------------------------
+SILVER = "stg_stock_prices"
+FACT = "fct_daily_stock_performance"
+SUMMARY = "dim_stock_summary"
+PORTFOLIO = "fct_portfolio_performance"
+REJECTS = "rejected_bars"
 
 # Earlier bars needed by the longest dependency chain of one fact row.
 CONTEXT_ROWS = max(
@@ -48,7 +56,7 @@ CONTEXT_ROWS = max(
     BOLLINGER_WINDOW - 1,
     RSI_WINDOW,
 )
-CONTEXT_DAYS = 200
+CONTEXT_DAYS = 200  # first block read backwards; later ones double
 
 
 def merge_bars(history: DataFrame, changes: DataFrame) -> DataFrame:
@@ -58,293 +66,222 @@ def merge_bars(history: DataFrame, changes: DataFrame) -> DataFrame:
     return kept.unionByName(landed.select(*STAGED_COLUMNS))
 
 
-def needs_earlier_history(
-    short: DataFrame, first_dates: DataFrame | None, context_days: int = CONTEXT_DAYS
-) -> DataFrame:
-    """Of the tickers whose context window proved too short, those that actually
-    have stored bars before the window (``first_dates``: ticker, first_date).
+def require_unique(bars: DataFrame) -> None:
+    """Raise if two dated bars share (ticker, trade_date)."""
+    again = bars.where(F.col("trade_date").isNotNull()).groupBy(*KEY).count().where("count > 1").first()
+    if again is not None:
+        raise ValueError(f"{DUPLICATE_KEY_MESSAGE}: {again['ticker']} {again['trade_date']}")
 
-    A new listing, or any ticker whose history starts inside the window, has
-    nothing earlier to read. Without ``first_dates`` every short ticker is kept.
-    """
-    if first_dates is None:
-        return short
-    c = F.col
-    return (
-        short.join(first_dates, "ticker", "left")
-        .where(c("first_date") < F.date_sub(c("_from"), context_days))
-        .select("ticker", "_from")
-    )
+
+Reader = Callable[[dt.date | None, dt.date | None], DataFrame]  # stored bars with low <= trade_date < high, or more
 
 
 def affected_bars(
-    history: DataFrame, changes: DataFrame, context_days: int = CONTEXT_DAYS, first_dates: DataFrame | None = None
-) -> DataFrame:
+    read: Reader, changes: DataFrame, oldest: dt.date | None, keep: Callable[[DataFrame], DataFrame], context_days: int = CONTEXT_DAYS
+) -> DataFrame | None:
     """Bars needed to recompute every fact row that the changes can alter.
 
-    Output: staged columns + ``_from`` (first changed date of the ticker).
-    One exchange on ticker marks superseded bars, the first changed date and
-    the context size per ticker; the result is checkpointed (lineage cut, and
-    the short-ticker check below reads it instead of recomputing it). Stored
-    history is read from ``min(changed date) - context_days`` on (a literal
-    bound: a date-partitioned table prunes partitions); only tickers whose
-    window proves too short read their full earlier history.
+    Output: staged columns + ``_from`` (first changed date of the ticker); None without
+    a dated change. ``read`` gives at least the stored bars of a date range (only its
+    partitions), no stored bar is older than ``oldest``, ``keep`` writes a result that is used twice.
+    Stored bars are cut down to the changed tickers by a semi-join before anything is
+    shuffled.
     """
     c = F.col
     landed = changes.where(c("trade_date").isNotNull()).select(*STAGED_COLUMNS)
-    lo = landed.agg(F.min("trade_date")).first()[0]  # one scalar to the driver
-    if lo is None:
-        return history.limit(0).select(*STAGED_COLUMNS, F.lit(None).cast("date").alias("_from"))
-    recent = history.where(c("trade_date") >= F.date_sub(F.lit(lo), context_days)).select(*STAGED_COLUMNS)
-    both = recent.withColumn("_new", F.lit(False)).unionByName(landed.withColumn("_new", F.lit(True)))
-
-    # one exchange on ticker; within a date the stored bar sorts before the landed one
-    w = Window.partitionBy("ticker").orderBy(c("trade_date").asc_nulls_last(), c("_new"))
-    whole = w.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    marked = both.select(
-        "*",
-        F.lead("trade_date").over(w).alias("_next_date"),
-        F.min(F.when(c("_new"), c("trade_date"))).over(whole).alias("_from"),
-    )
-    kept = marked.where(
-        c("_from").isNotNull()  # ticker has landed bars
-        & (c("_next_date").isNull() | (c("_next_date") != c("trade_date")))  # landed bar replaces stored one
-        & (c("trade_date") >= F.date_sub(c("_from"), context_days))
-    )
-    before = c("trade_date") < c("_from")
-    counted = kept.select(
-        *STAGED_COLUMNS, "_from",
-        F.count(F.when(before, F.lit(1))).over(whole).alias("_n_ctx"),
-        F.count(F.when(before & c("close_price").isNull(), F.lit(1))).over(whole).alias("_null_ctx"),
-    ).checkpoint(eager=True)
-
-    short = counted.where((c("_n_ctx") <= CONTEXT_ROWS) | (c("_null_ctx") > 0)).select("ticker", "_from").distinct()
-    short = needs_earlier_history(short, first_dates, context_days)
-    bars = counted.select(*STAGED_COLUMNS, "_from")
-    if short.isEmpty():
-        return bars
-    # rows before the window for tickers whose window is too short (never changed)
-    window_start = F.date_sub(c("_from"), context_days)
-    far = history.join(short, "ticker").where(c("trade_date") < window_start).select(*STAGED_COLUMNS, "_from")
-    return bars.unionByName(far)
-
-
-def incremental_fact(
-    history: DataFrame,
-    changes: DataFrame,
-    updated_at=None,
-    context_days: int = CONTEXT_DAYS,
-    first_dates: DataFrame | None = None,
-) -> DataFrame:
+    starts = keep(landed.groupBy("ticker").agg(F.min("trade_date").alias("_from")))
+    first, last = starts.agg(F.min("_from"), F.max("_from")).first()
+    if first is None:
+        return None
+
+    def block(tickers: DataFrame, near: int, far: int) -> DataFrame:
+        """Stored bars from ``far`` to ``near`` days before each ticker's first change."""
+        rows = read(first - dt.timedelta(days=far), None if near == 0 else last - dt.timedelta(days=near))
+        rows = rows.join(tickers, "ticker").where(c("trade_date") >= F.date_sub("_from", far))
+        return (rows if near == 0 else rows.where(c("trade_date") < F.date_sub("_from", near))).select(*STAGED_COLUMNS, "_from")
+
+    stored = block(starts, 0, context_days).join(landed.select(*KEY), KEY, "left_anti")
+    found = keep(stored.select(*STAGED_COLUMNS, "_from").unionByName(landed.join(starts, "ticker").select(*STAGED_COLUMNS, "_from")))
+    parts, counted, days, short = [found], found, context_days, starts
+    while oldest is not None and oldest < last - dt.timedelta(days=days):
+        have = counted.where(c("trade_date") < c("_from")).groupBy("ticker").agg(
+            F.count(F.lit(1)).alias("_bars"), F.count("close_price").alias("_closes"))
+        enough = have.where((c("_bars") > CONTEXT_ROWS) & (c("_closes") > RSI_WINDOW + 1))
+        short = keep(short.join(enough, "ticker", "left_anti"))
+        if short.isEmpty():
+            break
+        parts.append(keep(block(short, days, 2 * days)))
+        counted = counted.unionByName(parts[-1])
+        days *= 2
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out
+
+
+def incremental_fact(history: DataFrame, changes: DataFrame, updated_at=None, context_days: int = CONTEXT_DAYS) -> DataFrame:
     """Fact rows of every affected ticker from its first changed date on.
 
-    Equal to the full fact over ``merge_bars(history, changes)`` restricted to
-    those rows. ``first_dates`` (ticker, first stored date) spares the
-    full-history read for tickers whose history starts inside the window.
+    Equal to the full fact over ``merge_bars(history, changes)`` restricted to those
+    rows. Raises on two landed bars, or two stored ones, with one key.
     """
-    bars = affected_bars(history, changes, context_days, first_dates)
+    require_unique(changes)
+
+    def read(low, high):
+        rows = history.select(*STAGED_COLUMNS)
+        rows = rows if low is None else rows.where(F.col("trade_date") >= F.lit(low))
+        return rows if high is None else rows.where(F.col("trade_date") < F.lit(high))
+
+    oldest = history.agg(F.min("trade_date")).first()[0]
+    return _fresh(affected_bars(read, changes, oldest, lambda df: df, context_days), history.sparkSession, changes, updated_at)
+
+
+def _fresh(bars: DataFrame | None, spark: SparkSession, changes: DataFrame, updated_at) -> DataFrame:
+    if bars is None:
+        bars = changes.limit(0).select(*STAGED_COLUMNS, F.lit(None).cast("date").alias("_from"))
     rows = series_pass(bars, fact=True, updated_at=updated_at, carry=("_from",))
     return rows.where(F.col("trade_date") >= F.col("_from")).select(*FACT_COLUMNS)
 
 
-def table_exists(spark: SparkSession, path: str) -> bool:
-    """True when the table folder exists (any file system).
+# ------------------------------------------------------------------ the tables
 
-    Dynamic partition overwrite leaves no ``_SUCCESS`` marker at the table root,
-    so the folder itself is checked; it is only ever created by a committed write.
-    """
-    return path_exists(spark, path)
 
+def schemas(spark: SparkSession) -> dict[str, T.StructType]:
+    """Declared schemas of the store's tables, as the plans produce them."""
+    landed = T.StructType([*BAR_SCHEMA.fields, T.StructField("ticker", T.StringType())])
+    bars = spark.createDataFrame([], landed)
+    staged = stage_landed(bars).select(*STAGED_COLUMNS)
+    fact = daily_performance_fused(staged)
+    summary = summary_from_parts(latest_values(fact), stats_30d(fact))
+    return {SILVER: staged.schema, FACT: fact.schema, SUMMARY: summary.schema, PORTFOLIO: portfolio_performance(fact).schema, REJECTS: landed}
 
-MAX_LITERAL_DATES = 10_000
 
+def _months(df: DataFrame) -> set[str]:
+    """The distinct months of ``df``'s trade dates: one value per calendar month."""
+    return {r[0] for r in df.select(month_of()).distinct().collect()}
 
-def restrict_to_dates(table: DataFrame, dates: DataFrame, col: str = "trade_date") -> DataFrame:
-    """Rows of ``table`` on the dates listed in ``dates``.
 
-    The distinct dates of a refresh are bounded by the calendar (one for a daily
-    run), so up to ``MAX_LITERAL_DATES`` of them are collected and applied as a
-    literal ``IN`` filter, which a date-partitioned table prunes statically;
-    beyond that the filter is a semi-join.
-    """
-    values = [r[0] for r in dates.select(col).distinct().limit(MAX_LITERAL_DATES + 1).collect()]
-    if len(values) <= MAX_LITERAL_DATES:
-        return table.where(F.col(col).isin(values)) if values else table.limit(0)
-    return table.join(dates.select(col).distinct(), col, "left_semi")
+def _upserted(store: Store, state: dict, name: str, schema: T.StructType, df: DataFrame, months: set[str]) -> dict[str, str]:
+    """Write the partitions ``months`` of a table with the rows of ``df`` replacing those with the same key."""
+    rows = df.where(month_of().isin(sorted(months)))
+    kept = store.read(state, name, schema, months.__contains__).join(rows.select(*KEY), KEY, "left_anti")
+    merged = kept.unionByName(rows.select(*kept.columns))
+    return store.write(name, merged.withColumn(MONTH, month_of()), MONTH, KEY)
 
 
-def read_touched_partitions(
-    spark: SparkSession, path: str, dates: DataFrame, columns: list[str], col: str = "trade_date"
-) -> DataFrame:
-    """The partitions of a ``col``-partitioned table that ``dates`` touches.
-
-    Opens only those partition folders (``basePath`` keeps ``col`` as a column),
-    so the file listing does not grow with the table's history; falls back to a
-    pruned read of the whole table for very large date sets.
-    """
-    values = [r[0] for r in dates.select(col).distinct().limit(MAX_LITERAL_DATES + 1).collect()]
-    if len(values) > MAX_LITERAL_DATES:
-        return restrict_to_dates(spark.read.parquet(path).select(*columns), dates, col)
-    folders = [f"{path.rstrip('/')}/{col}={v}" for v in values]
-    folders = [f for f in folders if path_exists(spark, f)]
-    if not folders:
-        return spark.read.parquet(path).select(*columns).limit(0)
-    return spark.read.option("basePath", path).parquet(*folders).select(*columns)
-
-
-def upsert_by_key(df: DataFrame, path: str, columns: list[str], partition_col: str = "trade_date") -> None:
-    """Replace the (ticker, trade_date) rows of ``df`` in a date-partitioned table.
-
-    Rows of other keys in the touched date partitions are kept; only those
-    partition folders are opened (``read_touched_partitions``) and rewritten with dynamic
-    partition overwrite. The new partition contents are checkpointed first, so
-    the job never reads files it is overwriting.
-    """
-    spark = df.sparkSession
-    out = df.select(*columns)
-    if table_exists(spark, path):
-        touched = read_touched_partitions(spark, path, out, columns, partition_col)
-        kept = touched.join(out.select(*KEY), KEY, "left_anti")
-        out = kept.unionByName(out)
-    out = out.checkpoint(eager=True)
-    (
-        # REBALANCE keeps rows clustered by date (few files per partition on a
-        # history load) while AQE splits a hot date -- a daily run writes one
-        # date for every ticker -- over several tasks
-        out.hint("rebalance", partition_col)
-        .sortWithinPartitions(*KEY)
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy(partition_col)
-        .parquet(path)
-    )
-
-
-def first_dates_path(silver_path: str) -> str:
-    """Side table of the silver layer: first stored trade date per ticker."""
-    return f"{silver_path.rstrip('/')}_first_dates"
-
-
-def update_first_dates(landed: DataFrame, path: str) -> None:
-    """Fold the landed bars into the per-ticker first-date table (#tickers rows;
-    bars are only ever added or restated, so a first date can only move back)."""
-    spark = landed.sparkSession
-    new = landed.groupBy("ticker").agg(F.min("trade_date").alias("first_date"))
-    if table_exists(spark, path):
-        new = spark.read.parquet(path).unionByName(new).groupBy("ticker").agg(F.min("first_date").alias("first_date"))
-    new.checkpoint(eager=True).write.mode("overwrite").parquet(path)
-
-
-def replace_rows(df: DataFrame, path: str, key: list[str]) -> None:
-    """Rewrite a small table with the rows of ``df`` replacing those with the same key."""
-    spark = df.sparkSession
-    out = df
-    if table_exists(spark, path):
-        current = spark.read.parquet(path).select(*df.columns)
-        out = current.join(df.select(*key), key, "left_anti").unionByName(df)
-    out.checkpoint(eager=True).write.mode("overwrite").parquet(path)
-
-
-def refresh_marts_incremental(
-    fresh: DataFrame,
-    fact_path: str,
-    summary_path: str,
-    portfolio_path: str,
-    as_of=None,
-    recommendation_col: str = "sma_recommendation",
-    updated_at=None,
-) -> None:
-    """Bring the summary and portfolio marts in line with an upserted fact.
-
-    * portfolio: only the dates of ``fresh`` change; they are recomputed from
-      those fact partitions only (``restrict_to_dates``) and replace their rows;
-    * summary: an affected ticker's latest bar is among its ``fresh`` rows
-      (they run from its first change to its last bar); other tickers keep
-      their stored latest values. The trailing statistics move with ``as_of``
-      and are recomputed for every ticker from the last ``TRAILING_DAYS`` of
-      fact partitions only.
-    """
-    spark = fresh.sparkSession
-    fact = spark.read.parquet(fact_path).select(*FACT_COLUMNS)
-    touched = portfolio_performance(
-        restrict_to_dates(fact, fresh), recommendation_col=recommendation_col, updated_at=updated_at
-    )
-    replace_rows(touched, portfolio_path, ["trade_date"])
-
-    fresh_latest = latest_values(fresh, recommendation_col)
-    if table_exists(spark, summary_path):
-        stored = spark.read.parquet(summary_path).select(*LATEST_COLUMNS)
-        latest = stored.join(fresh_latest.select("ticker"), "ticker", "left_anti").unionByName(fresh_latest)
-    else:
-        latest = latest_values(fact, recommendation_col)
-    summary = summary_from_parts(latest, stats_30d(fact, as_of), updated_at)
-    summary.checkpoint(eager=True).write.mode("overwrite").parquet(summary_path)
+def _changed(fresh: DataFrame, stored: DataFrame) -> DataFrame:
+    """Keys of fresh rows that are new or differ from the stored one (its time of update aside)."""
+    values = [x for x in FACT_COLUMNS if x not in (*KEY, "dbt_updated_at")]
+    old = stored.select(*KEY, F.struct(*values).alias("_old"))
+    joined = fresh.select(*KEY, F.struct(*values).alias("_new")).join(old, KEY, "left")
+    return joined.where(F.col("_old").isNull() | ~F.col("_new").eqNullSafe(F.col("_old"))).select(*KEY)
 
 
 def refresh_batch(
     spark: SparkSession,
     landed: DataFrame,
-    silver_path: str,
-    fact_path: str,
-    registry: Mapping[str, str] = TICKERS,
+    root: str,
+    registry: Mapping[str, str] | DataFrame = TICKERS,
     updated_at=None,
-    summary_path: str | None = None,
-    portfolio_path: str | None = None,
     as_of=None,
     recommendation_col: str = "sma_recommendation",
-) -> None:
-    """One micro-batch: stage landed bars, recompute affected fact rows, upsert
-    silver and fact; with mart paths also refresh the summary and portfolio."""
-    # read the micro-batch once: every later step reuses the checkpointed rows
-    changes = stage_landed(landed, registry).checkpoint(eager=True)
-    if table_exists(spark, silver_path):
-        history = spark.read.parquet(silver_path).select(*STAGED_COLUMNS)
-    else:
-        history = spark.createDataFrame([], changes.schema)
-    starts_path = first_dates_path(silver_path)
-    first_dates = spark.read.parquet(starts_path) if table_exists(spark, starts_path) else None
-    fresh = incremental_fact(history, changes, updated_at, first_dates=first_dates).checkpoint(eager=True)
-    landed = changes.where(F.col("trade_date").isNotNull())
-    upsert_by_key(landed, silver_path, STAGED_COLUMNS)
-    update_first_dates(landed, starts_path)
-    upsert_by_key(fresh, fact_path, FACT_COLUMNS)
-    if summary_path and portfolio_path:
-        refresh_marts_incremental(fresh, fact_path, summary_path, portfolio_path, as_of, recommendation_col, updated_at)
+    batch_id: int | None = None,
+) -> dict:
+    """Apply one micro-batch of landed bars to the store at ``root``.
+
+    Bars of tickers that aren't registered go to the table ``rejected_bars``. Two bars
+    with one key fail the batch before anything is stored. Returns what was done:
+    numbers of rejected bars and of rewritten fact months, and whether the batch was
+    applied (False if its ``batch_id`` has been).
+    """
+    store = Store(spark, root)
+    state = store.manifest()
+    if batch_id is not None and state["batch"] is not None and batch_id <= state["batch"]:
+        return {"applied": False, "rejected": 0, "fact_months": 0}
+    schema = schemas(spark)
+    landed = store.scratch(landed.select(*schema[REJECTS].fieldNames()))
+    rejects = unregistered(landed, registry)
+    n_rejects = rejects.count()
+    changes = store.scratch(stage_landed(landed, registry).where(F.col("trade_date").isNotNull()).select(*STAGED_COLUMNS))
+    require_unique(changes)
+
+    updates: dict[str, dict[str, str]] = {}
+
+    def pending() -> dict:
+        return {**state, "tables": {**state["tables"], **updates}}
+
+    def put(name: str, folders: dict[str, str]) -> None:
+        updates[name] = {**state["tables"].get(name, {}), **folders}
+
+    def read(low, high):
+        inside = lambda v: (low is None or v >= str(low)[:7]) and (high is None or v <= str(high)[:7])
+        return store.read(state, SILVER, schema[SILVER], inside)
+
+    if n_rejects:
+        version = store.write(REJECTS, rejects.select(*schema[REJECTS].fieldNames()))[WHOLE]
+        put(REJECTS, {version: version})
+    stored_months = store.values(state, SILVER)
+    oldest = dt.date.fromisoformat(f"{stored_months[0]}-01") if stored_months else None
+    bars = affected_bars(read, changes, oldest, store.scratch)
+    touched: set[str] = set()
+    if bars is not None:
+        fresh = store.scratch(_fresh(bars, spark, changes, updated_at))
+        put(SILVER, _upserted(store, state, SILVER, schema[SILVER], changes, _months(changes)))
+        keys = store.scratch(_changed(fresh, store.read(state, FACT, schema[FACT], _months(fresh).__contains__)))
+        touched = _months(keys)
+        if touched:
+            put(FACT, _upserted(store, state, FACT, schema[FACT], fresh, touched))
+        new_days = portfolio_performance(
+            store.read(pending(), FACT, schema[FACT], touched.__contains__), recommendation_col=recommendation_col, updated_at=updated_at)
+        other = store.read(state, PORTFOLIO, schema[PORTFOLIO]).where(~month_of().isin(sorted(touched)))
+        updates[PORTFOLIO] = store.write(PORTFOLIO, other.unionByName(new_days).orderBy(F.desc("trade_date")))
+        # an affected ticker's latest bar is among its fresh rows
+        latest = latest_values(fresh, recommendation_col)
+        before = store.read(state, SUMMARY, schema[SUMMARY]).select(*LATEST_COLUMNS)
+        latest = before.join(latest.select("ticker"), "ticker", "left_anti").unionByName(latest)
+        since = _trailing_start(spark, as_of)
+        recent = store.read(pending(), FACT, schema[FACT], lambda v: v >= since[:7])
+        summary = summary_from_parts(latest, stats_30d(recent, as_of), updated_at)
+        updates[SUMMARY] = store.write(SUMMARY, summary.orderBy("ticker"))
+    store.commit(state, updates, batch_id)
+    return {"applied": True, "rejected": n_rejects, "fact_months": len(touched)}
+
+
+def _trailing_start(spark: SparkSession, as_of) -> str:
+    """First date of the summary's trailing window."""
+    from barsmith.plans.summary import _as_of
+
+    return str(spark.range(1).select(F.date_sub(_as_of(as_of), TRAILING_DAYS)).first()[0])
 
 
 def start_refresh_stream(
     spark: SparkSession,
     landing_root: str,
-    silver_path: str,
-    fact_path: str,
+    root: str,
     checkpoint_location: str,
-    registry: Mapping[str, str] = TICKERS,
+    registry: Mapping[str, str] | DataFrame = TICKERS,
     updated_at=None,
     available_now: bool = True,
-    summary_path: str | None = None,
-    portfolio_path: str | None = None,
     as_of=None,
     recommendation_col: str = "sma_recommendation",
+    max_files: int = 1000,
 ) -> StreamingQuery:
     """Structured Streaming over ``landing_root/ticker=<T>/*.parquet`` files.
 
-    Each micro-batch is applied with ``refresh_batch``; with ``available_now``
-    the query processes what has landed and stops (the daily-refresh mode).
+    Each micro-batch (at most ``max_files`` files) is applied with ``refresh_batch``
+    under its batch id; with ``available_now`` the query processes what has landed and
+    stops (the daily-refresh mode).
     """
-    from pyspark.sql import types as T
-
     schema = T.StructType([*BAR_SCHEMA.fields, T.StructField("ticker", T.StringType())])
-    src = spark.readStream.schema(schema).option("basePath", landing_root).parquet(landing_root)
+    src = spark.readStream.schema(schema).option("basePath", landing_root).option("maxFilesPerTrigger", max_files).parquet(landing_root)
     writer = src.writeStream.foreachBatch(
-        lambda df, _id: refresh_batch(
-            spark, df, silver_path, fact_path, registry, updated_at, summary_path, portfolio_path, as_of,
-            recommendation_col,
-        )
+        lambda df, batch_id: refresh_batch(spark, df, root, registry, updated_at, as_of, recommendation_col, batch_id) and None
     ).option("checkpointLocation", checkpoint_location)
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="1 minute")
     return writer.start()
 
 
-def read_table(spark: SparkSession, path: str, columns: list[str]) -> DataFrame:
-    """Read a date-partitioned table back in published column order."""
-    return spark.read.parquet(path).select(*columns)
+def read_table(spark: SparkSession, root: str, name: str) -> DataFrame:
+    """A table of the store at ``root`` in its current state and published column order."""
+    store = Store(spark, root)
+    return store.read(store.manifest(), name, schemas(spark)[name])

@@ -1,0 +1,125 @@
+"""Tables that change together: versioned folders and one manifest.
+
+``root/<table>/version=<id>/...`` holds what one refresh has written of a table;
+nothing in it is changed later. ``root/_manifests/<number>.json`` says which folders
+make up each table: one per partition value, or one for a table without partitions.
+The manifest with the highest number is the current state of all tables, so a refresh
+that writes several of them becomes visible at once when its manifest is created, and
+one that fails before leaves everything as it was. Readers in any session open the
+store by its root.
+
+A manifest has one entry per partition value, i.e. per calendar month, and old folders
+stay until ``vacuum``.
+"""
+
+from __future__ import annotations
+
+import json
+import uuid
+from collections.abc import Callable, Iterable
+
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from barsmith.paths import delete_path, list_names, read_text, write_text
+
+MONTH = "trade_month"  # partition column of tables with a row per ticker and day
+WHOLE = ""  # the only partition of a table without partitions
+
+
+def month_of(col: str = "trade_date") -> Column:
+    return F.date_format(col, "yyyy-MM")
+
+
+class Store:
+    def __init__(self, spark: SparkSession, root: str):
+        self.spark, self.root = spark, root.rstrip("/")
+
+    # ------------------------------------------------------------ manifests
+    def _numbers(self) -> list[int]:
+        return sorted(int(n[:-5]) for n in list_names(self.spark, f"{self.root}/_manifests") if n.endswith(".json"))
+
+    def _load(self, number: int) -> dict | None:
+        text = read_text(self.spark, f"{self.root}/_manifests/{number:012d}.json")
+        return json.loads(text) if text.endswith("\n") else None  # still being written
+
+    def manifest(self) -> dict:
+        """The current state; without any refresh yet, one without tables."""
+        for number in reversed(self._numbers()):
+            found = self._load(number)
+            if found is not None:
+                return found
+        return {"number": 0, "batch": None, "tables": {}}
+
+    def commit(self, base: dict, tables: dict[str, dict[str, str]], batch: int | None = None) -> dict:
+        """Make ``tables`` (those named; others stay) current, after state ``base``."""
+        new = {"number": base["number"] + 1, "batch": base["batch"] if batch is None else batch, "tables": {**base["tables"], **tables}}
+        path = f"{self.root}/_manifests/{new['number']:012d}.json"
+        if not write_text(self.spark, path, json.dumps(new, sort_keys=True) + "\n", overwrite=False):
+            raise RuntimeError(f"another refresh has committed {path}")
+        return new
+
+    # --------------------------------------------------------------- tables
+    def write(self, name: str, df: DataFrame, partition: str | None = None, sort_within: Iterable[str] = ()) -> dict[str, str]:
+        """Write a new version of (some partitions of) a table; returns folder by partition value.
+
+        Not visible before ``commit``.
+        """
+        version = f"version={uuid.uuid4().hex[:16]}"
+        path = f"{self.root}/{name}/{version}"
+        sort_within = list(sort_within)
+        if partition is None:
+            (df.sortWithinPartitions(*sort_within) if sort_within else df).write.parquet(path)
+            return {WHOLE: version}
+        # clustered by partition value, a large value split over several tasks
+        out = df.hint("rebalance", partition)
+        (out.sortWithinPartitions(*sort_within) if sort_within else out).write.partitionBy(partition).parquet(path)
+        prefix = f"{partition}="
+        return {n[len(prefix):]: f"{version}/{n}" for n in list_names(self.spark, path) if n.startswith(prefix)}
+
+    def values(self, state: dict, name: str) -> list[str]:
+        """The partition values of a table, ascending."""
+        return sorted(state["tables"].get(name, {}))
+
+    def read(self, state: dict, name: str, schema: T.StructType, keep: Callable[[str], bool] | None = None) -> DataFrame:
+        """A table in state ``state``, only the partitions whose value ``keep`` accepts.
+
+        Just the folders of these partitions are listed and opened.
+        """
+        folders = [f for v, f in sorted(state["tables"].get(name, {}).items()) if keep is None or keep(v)]
+        if not folders:
+            return self.spark.createDataFrame([], schema)
+        base = f"{self.root}/{name}"
+        rows = self.spark.read.schema(schema).option("basePath", base).parquet(*[f"{base}/{f}" for f in folders])
+        return rows.select(*[F.col(f.name) for f in schema.fields])
+
+    def scratch(self, df: DataFrame) -> DataFrame:
+        """``df`` written out once, to be read several times; goes with the next ``vacuum``."""
+        path = f"{self.root}/_scratch/{uuid.uuid4().hex}"
+        df.write.parquet(path)
+        return self.spark.read.schema(df.schema).parquet(path)
+
+    def vacuum(self, keep: int = 2) -> None:
+        """Drop all but the last ``keep`` states and what only older ones refer to.
+
+        Not while a refresh runs: its folders aren't in a manifest yet.
+        """
+        numbers = self._numbers()
+        states = [s for s in map(self._load, numbers[-keep:]) if s]
+        for number in numbers[:-keep]:
+            delete_path(self.spark, f"{self.root}/_manifests/{number:012d}.json")
+        names = {n for n in list_names(self.spark, self.root) if not n.startswith("_")}
+        for name in names:
+            used = {f for s in states for f in s["tables"].get(name, {}).values()}
+            for version in list_names(self.spark, f"{self.root}/{name}"):
+                if version in used:
+                    continue
+                inside = {f.partition("/")[2] for f in used if f.startswith(f"{version}/")}
+                if not inside:
+                    delete_path(self.spark, f"{self.root}/{name}/{version}")
+                    continue
+                for part in list_names(self.spark, f"{self.root}/{name}/{version}"):
+                    if "=" in part and part not in inside:
+                        delete_path(self.spark, f"{self.root}/{name}/{version}/{part}")
+        delete_path(self.spark, f"{self.root}/_scratch")

@@ -71,18 +71,28 @@ def test_fact_row_count_equals_dated_staging_rows(spark, facts):
 
 def test_refresh_marts_writes_versions_and_properties(spark, tmp_path):
     root = str(tmp_path / "marts")
-    out = refresh_marts(spark, raw_layer(spark, SF), root, as_of="2001-11-04", updated_at=UPDATED)
+    out = refresh_marts(spark, raw_layer(spark, SF), root, as_of="2001-11-04", updated_at=UPDATED, intermediate=True)
     fact = out["fct_daily_stock_performance"]
     assert fact.count() == catalog.fused_fact(spark, SF).count()
     assert out["dim_stock_summary"].count() == 9
+    assert set(out) == set(TABLE_PROPERTIES)
     for name in out:
         versions = os.listdir(os.path.join(root, name))
-        assert len(versions) == 1 and versions[0].startswith("v=")
+        assert len(versions) == 1 and versions[0].startswith("version=")
         with open(os.path.join(root, name, versions[0], "_properties.json")) as fh:
             assert json.load(fh) == TABLE_PROPERTIES[name]
         assert spark.table(name).count() == out[name].count()  # the name points at the new version
 
 
+def test_marts_are_published_in_order(spark):
+    marts = {name: catalog.QUERIES[name].build(spark, SF).collect() for name in ("fact_daily", "dim_stock_summary", "fact_portfolio")}
+    rows = marts["fact_daily"]
+    assert rows == sorted(sorted(rows, key=lambda r: r.trade_date, reverse=True), key=lambda r: r.ticker)
+    assert [r.ticker for r in marts["dim_stock_summary"]] == sorted(r.ticker for r in marts["dim_stock_summary"])
+    days = [r.trade_date for r in marts["fact_portfolio"]]
+    assert days == sorted(days, reverse=True)
+
+
 def test_refresh_marts_as_catalog_tables(spark, tmp_path):
     root = str(tmp_path / "marts")
     raw = raw_layer(spark, SF)
@@ -91,11 +101,12 @@ def test_refresh_marts_as_catalog_tables(spark, tmp_path):
     for name in TABLE_PROPERTIES:
         if name not in ("fct_daily_stock_performance", "dim_stock_summary", "fct_portfolio_performance"):
             continue
+        assert spark.table(name).count() > 0
         assert len(os.listdir(os.path.join(root, name))) == 2
         props = {r.key: r.value for r in spark.sql(f"SHOW TBLPROPERTIES `{name}`").collect()}
         assert all(props.get(k) == v for k, v in TABLE_PROPERTIES[name].items())
         location = spark.sql(f"DESCRIBE TABLE EXTENDED `{name}`").where("col_name = 'Location'").first().data_type
-        assert location.rstrip("/").split("/")[-1] in os.listdir(os.path.join(root, name))
+        assert location.rstrip("/").split("/")[-1].replace("%3D", "=") in os.listdir(os.path.join(root, name))
     assert spark.table("dim_stock_summary").count() == 9
     for name in ("fct_daily_stock_performance", "dim_stock_summary", "fct_portfolio_performance"):
         spark.sql(f"DROP TABLE IF EXISTS `{name}`")

@@ -1,5 +1,6 @@
 import datetime as dt
 
+import pytest
 from pyspark.sql import functions as F
 
 from barsmith.catalog import stabilize
@@ -8,7 +9,12 @@ from barsmith.sources.bars import stage_landed
 from barsmith.plans.portfolio import portfolio_performance
 from barsmith.plans.summary import stock_summary
 from barsmith.sources.schema import FACT_COLUMNS, PORTFOLIO_COLUMNS, STAGED_COLUMNS, SUMMARY_COLUMNS
-from barsmith.streaming.incremental import incremental_fact, merge_bars, read_table, start_refresh_stream
+from barsmith.paths import path_exists
+from barsmith.plans.refresh import refresh_marts
+from barsmith.streaming.incremental import (
+    FACT, PORTFOLIO, REJECTS, SILVER, SUMMARY, affected_bars, incremental_fact, merge_bars, read_table, refresh_batch, start_refresh_stream,
+)
+from barsmith.tables import Store
 from conftest import LANDED_SCHEMA, bar, f2_bars, series_rows, staged_from
 
 UPDATED = dt.datetime(2025, 1, 1)
@@ -54,85 +60,161 @@ def test_new_ticker_without_history(spark):
     same(got, expected(hist, changes))
 
 
+def expected_tables(bars, as_of):
+    full = daily_performance_fused(bars, updated_at=UPDATED)
+    return {
+        FACT: full, SILVER: bars.select(*STAGED_COLUMNS),
+        SUMMARY: stock_summary(full, as_of=as_of, updated_at=UPDATED).select(*SUMMARY_COLUMNS),
+        PORTFOLIO: portfolio_performance(full, updated_at=UPDATED).select(*PORTFOLIO_COLUMNS),
+    }
+
+
+def assert_store(spark, root, bars, as_of="2025-06-15"):
+    # float aggregates differ in the last bits with summation order: compare
+    # them at 6 decimals (the oracle's convention), everything else exactly
+    for name, want in expected_tables(bars, as_of).items():
+        want, got = stabilize(want), stabilize(read_table(spark, root, name).select(*want.columns))
+        assert got.exceptAll(want).count() == 0 and want.exceptAll(got).count() == 0, name
+
+
+def apply(spark, root, batch, **kw):
+    return refresh_batch(spark, batch, root, updated_at=UPDATED, as_of="2025-06-15", **kw)
+
+
+def landed(spark, rows):
+    return spark.createDataFrame(rows, LANDED_SCHEMA)
+
+
 def test_streaming_refresh_equals_full_build(spark, tmp_path):
-    landing, silver, fact, ckpt = (str(tmp_path / x) for x in ("landing", "silver", "fact", "ckpt"))
-    summary, portfolio = str(tmp_path / "summary"), str(tmp_path / "portfolio")
-    marts = dict(summary_path=summary, portfolio_path=portfolio, as_of="2025-06-15")
+    landing, root, ckpt = (str(tmp_path / x) for x in ("landing", "store", "ckpt"))
     bars = f2_bars(spark, tickers=(("AAPL", -1), ("MSFT", 1), ("SPY", 1), ("TSLA", -1)))
     cut = (dt.date(2025, 5, 1) - dt.date(1970, 1, 1)).days * 86_400_000
     bars.where(F.col("T") < cut).write.partitionBy("ticker").parquet(landing)
-    q = start_refresh_stream(spark, landing, silver, fact, ckpt, updated_at=UPDATED, **marts)
-    q.awaitTermination()
+    stream = lambda: start_refresh_stream(spark, landing, root, ckpt, updated_at=UPDATED, as_of="2025-06-15").awaitTermination()
+    stream()
     bars.where(F.col("T") >= cut).write.mode("append").partitionBy("ticker").parquet(landing)
-    restate = spark.createDataFrame([bar("AAPL", dt.date(2025, 2, 3), 123.45)], LANDED_SCHEMA)
+    restate = landed(spark, [bar("AAPL", dt.date(2025, 2, 3), 123.45)])
     restate.write.mode("append").partitionBy("ticker").parquet(landing)
-    q = start_refresh_stream(spark, landing, silver, fact, ckpt, updated_at=UPDATED, **marts)
-    q.awaitTermination()
-    stored = read_table(spark, fact, FACT_COLUMNS)
-    all_bars = merge_bars(stage_landed(bars.where(F.col("T") < cut)), stage_landed(bars.where(F.col("T") >= cut)))
-    all_bars = merge_bars(all_bars, stage_landed(restate))
-    full = daily_performance_fused(all_bars, updated_at=UPDATED)
-    same(stored, full)
-    assert read_table(spark, silver, STAGED_COLUMNS).count() == all_bars.count()
-    for path, expected_df, cols in (
-        (summary, stock_summary(full, as_of="2025-06-15", updated_at=UPDATED), SUMMARY_COLUMNS),
-        (portfolio, portfolio_performance(full, updated_at=UPDATED), PORTFOLIO_COLUMNS),
-    ):
-        # float aggregates differ in the last bits with summation order: compare
-        # them at 6 decimals (the oracle's convention), everything else exactly
-        got = stabilize(read_table(spark, path, cols))
-        want = stabilize(expected_df.select(*cols))
-        g, w = got.exceptAll(want).collect(), want.exceptAll(got).collect()
-        diffs = [{k: (a[k], b[k]) for k in cols if a[k] != b[k]} for a in g for b in w if a[0] == b[0]]
-        assert not g and not w, diffs[:3]
-
-
-def test_rerun_of_a_micro_batch_is_idempotent(spark, tmp_path):
-    from barsmith.streaming.incremental import refresh_batch
-
-    paths = {k: str(tmp_path / k) for k in ("silver", "fact", "summary", "portfolio")}
-    bars = f2_bars(spark, tickers=(("AAPL", -1), ("SPY", 1), ("MSFT", 1)))
-    cut = (dt.date(2025, 5, 1) - dt.date(1970, 1, 1)).days * 86_400_000
-
-    def apply(batch):
-        refresh_batch(spark, batch, paths["silver"], paths["fact"], updated_at=UPDATED,
-                      summary_path=paths["summary"], portfolio_path=paths["portfolio"], as_of="2025-06-15")
-
-    def snapshot():
-        return {
-            "fact": read_table(spark, paths["fact"], FACT_COLUMNS).collect(),
-            "silver": read_table(spark, paths["silver"], STAGED_COLUMNS).collect(),
-            "summary": read_table(spark, paths["summary"], SUMMARY_COLUMNS).collect(),
-            "portfolio": read_table(spark, paths["portfolio"], PORTFOLIO_COLUMNS).collect(),
-        }
-
-    apply(bars.where(F.col("T") < cut))
-    second = bars.where(F.col("T") >= cut)
-    apply(second)
-    once = snapshot()
-    apply(second)  # the same micro-batch delivered again (e.g. after a failure)
-    twice = snapshot()
-    for name in once:
-        assert sorted(map(tuple, once[name])) == sorted(map(tuple, twice[name])), name
-
-
-def test_first_dates_spare_the_full_history_read(spark):
-    from barsmith.streaming.incremental import needs_earlier_history
-
-    short = spark.createDataFrame(
-        [("NEW", dt.date(2025, 6, 1)), ("YOUNG", dt.date(2025, 6, 1)), ("GAPPY", dt.date(2025, 6, 1))],
-        "ticker string, _from date",
-    )
-    first = spark.createDataFrame(
-        [("YOUNG", dt.date(2025, 3, 1)), ("GAPPY", dt.date(2019, 1, 1))], "ticker string, first_date date"
-    )
-    assert {r.ticker for r in needs_earlier_history(short, first).collect()} == {"GAPPY"}
-    assert needs_earlier_history(short, None).count() == 3
-    # results stay exact with the side table: new listing plus an old, gappy history
-    old = series_rows("AAPL", list(range(100, 160)), start=dt.date(2020, 1, 1))
-    mid = series_rows("AAPL", [150, None, 151] + list(range(140, 170)), start=dt.date(2024, 12, 1))
-    hist = staged_from(spark, old + mid)
-    changes = staged_from(spark, series_rows("AAPL", [171, 172], start=dt.date(2025, 1, 10))
-                          + series_rows("MSFT", [10, 11, 12], start=dt.date(2025, 1, 10)))
-    starts = hist.groupBy("ticker").agg(F.min("trade_date").alias("first_date"))
-    same(incremental_fact(hist, changes, updated_at=UPDATED, first_dates=starts), expected(hist, changes))
+    stream()
+    assert_store(spark, root, merge_bars(stage_landed(bars), stage_landed(restate)))
+
+
+def test_bars_far_apart_over_two_refreshes(spark, tmp_path):
+    """A ticker whose context reaches back over years, refreshed day by day."""
+    root = str(tmp_path / "store")
+    old = series_rows("AAPL", list(range(100, 145)), start=dt.date(2020, 1, 1))
+    mid = series_rows("AAPL", list(range(140, 190)), start=dt.date(2024, 12, 1))
+    young = series_rows("MSFT", list(range(10, 60)), start=dt.date(2024, 12, 1))
+    rows = old + mid + young
+    apply(spark, root, landed(spark, rows))
+    for day, close in ((dt.date(2025, 2, 10), 171), (dt.date(2025, 2, 11), 172)):
+        new = [bar("AAPL", day, close), bar("MSFT", day, close)]
+        apply(spark, root, landed(spark, new))
+        rows = rows + new
+    assert_store(spark, root, staged_from(spark, rows))
+
+
+def test_duplicate_keys_fail_and_store_nothing(spark, tmp_path):
+    root = str(tmp_path / "store")
+    rows = series_rows("AAPL", [10, 11, 12])
+    apply(spark, root, landed(spark, rows))
+    before = Store(spark, root).manifest()
+    day = dt.date(2025, 1, 9)
+    with pytest.raises(ValueError, match="AAPL"):
+        apply(spark, root, landed(spark, [bar("AAPL", day, 300), bar("AAPL", day, 400)]))
+    assert Store(spark, root).manifest() == before
+    with pytest.raises(ValueError):
+        incremental_fact(staged_from(spark, rows), staged_from(spark, [bar("AAPL", day, 3), bar("AAPL", day, 4)]))
+
+
+def test_unregistered_tickers_are_kept_apart(spark, tmp_path):
+    root = str(tmp_path / "store")
+    rows = series_rows("AAPL", [10, 11]) + series_rows("IBM", [5, 6, 7])
+    done = apply(spark, root, landed(spark, rows))
+    assert done["rejected"] == 3
+    assert {r.ticker for r in read_table(spark, root, REJECTS).collect()} == {"IBM"}
+    assert_store(spark, root, staged_from(spark, rows[:2]))
+    # the registry can be a table
+    names = spark.createDataFrame([("IBM", "International Business Machines")], "ticker string, company_name string")
+    assert apply(spark, str(tmp_path / "other"), landed(spark, rows), registry=names)["rejected"] == 2
+
+
+def test_file_system_errors_are_raised(spark):
+    with pytest.raises(Exception, match="(?i)filesystem|scheme"):
+        path_exists(spark, "nosuchscheme://bucket/table")
+    with pytest.raises(Exception, match="(?i)filesystem|scheme"):
+        apply(spark, "nosuchscheme://bucket/store", landed(spark, series_rows("AAPL", [1])))
+
+
+def test_a_failure_anywhere_changes_nothing_and_a_retry_completes(spark, tmp_path, monkeypatch):
+    root = str(tmp_path / "store")
+    first = series_rows("AAPL", list(range(100, 140))) + series_rows("SPY", list(range(50, 90)))
+    second = [bar("AAPL", dt.date(2025, 1, 20), 7), bar("SPY", dt.date(2025, 3, 3), 9), bar("IBM", dt.date(2025, 3, 3), 9)]
+    apply(spark, root, landed(spark, first), batch_id=0)
+    state = Store(spark, root).manifest()
+    real = {n: getattr(Store, n) for n in ("write", "scratch", "commit")}
+    failed, at = 0, 0
+    while True:
+        at += 1
+        calls = {"n": 0}
+
+        def failing(name):
+            def call(self, *a, **kw):
+                calls["n"] += 1
+                if calls["n"] == at:
+                    raise OSError("lost")
+                return real[name](self, *a, **kw)
+            return call
+
+        for n in real:
+            monkeypatch.setattr(Store, n, failing(n))
+        try:
+            apply(spark, root, landed(spark, second), batch_id=1)
+            break
+        except OSError:
+            failed += 1
+            assert Store(spark, root).manifest() == state
+        finally:
+            monkeypatch.undo()
+    assert failed >= 8
+    after = Store(spark, root).manifest()
+    assert apply(spark, root, landed(spark, second), batch_id=1) == {"applied": False, "rejected": 0, "fact_months": 0}
+    assert Store(spark, root).manifest() == after
+    assert_store(spark, root, merge_bars(staged_from(spark, first), staged_from(spark, second[:2])))
+
+
+def test_only_changed_months_are_written_and_vacuum_keeps_the_current(spark, tmp_path):
+    root = str(tmp_path / "store")
+    rows = series_rows("AAPL", list(range(100, 500)), start=dt.date(2023, 1, 1)) + series_rows("SPY", list(range(50, 450)), start=dt.date(2023, 1, 1))
+    apply(spark, root, landed(spark, rows))
+    store = Store(spark, root)
+    before = store.manifest()["tables"]
+    restated = [bar("AAPL", dt.date(2023, 3, 15), 7)]
+    done = apply(spark, root, landed(spark, restated))
+    after = store.manifest()["tables"]
+    changed = {m for m in after[FACT] if after[FACT][m] != before[FACT].get(m)}
+    assert len(changed) == done["fact_months"] and min(changed) == "2023-03" and max(changed) <= "2023-07"
+    assert {m for m in after[SILVER] if after[SILVER][m] != before[SILVER].get(m)} == {"2023-03"}
+    store.vacuum(keep=1)
+    assert_store(spark, root, merge_bars(staged_from(spark, rows), staged_from(spark, restated)))
+    with pytest.raises(RuntimeError, match="another refresh"):
+        store.commit({**store.manifest(), "number": store.manifest()["number"] - 1}, {})
+
+
+def test_incremental_refresh_continues_a_full_one(spark, tmp_path):
+    root = str(tmp_path / "store")
+    rows = series_rows("AAPL", list(range(100, 200))) + series_rows("QQQ", list(range(60, 160)))
+    refresh_marts(spark, staged_from(spark, rows), root, as_of="2025-06-15", updated_at=UPDATED)
+    assert_store(spark, root, staged_from(spark, rows))
+    new = [bar("AAPL", dt.date(2025, 4, 20), 5), bar("AAPL", dt.date(2025, 1, 5), 6)]
+    apply(spark, root, landed(spark, new))
+    assert_store(spark, root, merge_bars(staged_from(spark, rows), staged_from(spark, new)))
+
+
+def test_stored_bars_are_cut_to_changed_tickers_before_the_shuffle(spark):
+    history = staged_from(spark, series_rows("AAPL", list(range(100, 300))) + series_rows("MSFT", list(range(100, 300))))
+    changes = staged_from(spark, [bar("AAPL", dt.date(2025, 6, 1), 5)])
+    read = lambda low, high: history.where(F.col("trade_date") >= F.lit(low))
+    bars = affected_bars(read, changes, dt.date(2025, 1, 1), lambda df: df)
+    assert {r.ticker for r in bars.select("ticker").distinct().collect()} == {"AAPL"}
+    assert bars.agg(F.min("trade_date")).first()[0] == dt.date(2025, 1, 1)
