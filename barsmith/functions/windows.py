@@ -17,7 +17,7 @@ exchange on ``ticker``.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, Window, WindowSpec
+from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
 ColumnOrName = Column | str
@@ -80,3 +80,12 @@ def mean_from_totals(total: str, count: str, n: int, spec: WindowSpec | None = N
     back = F.coalesce(F.lag(total, n).over(w), zero)
     n_back = F.coalesce(F.lag(count, n).over(w), zero)
     return (now - back).cast("double") / F.nullif(F.col(count) - n_back, zero)
+
+
+def decimal_means(df: DataFrame, c: str, names: dict[str, int], spec: WindowSpec | None = None) -> DataFrame:
+    """``df`` with a rolling mean of the *decimal* column ``c`` per (name, rows), all from
+    one pair of running totals."""
+    total, count = running_totals(c, spec)
+    totals = df.select("*", total.alias("_mean_total"), count.alias("_mean_count"))
+    means = [mean_from_totals("_mean_total", "_mean_count", n, spec).alias(name) for name, n in names.items()]
+    return totals.select(*df.columns, *means)
