@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from barsmith.session import shared_dir
 
+BATCH_ROWS = 2000
 ASCII_SPACE = b" \t\n\x0b\x0c\r"
 
 
@@ -28,6 +29,18 @@ def text_bytes(col: str | Column = "text") -> Column:
     return F.col(col).cast("binary") if isinstance(col, str) else col.cast("binary")
 
 
+def small_batches(df: DataFrame) -> DataFrame:
+    """``df``, with texts handed to Python in batches of at most ``BATCH_ROWS`` rows.
+
+    Only lowers the session's setting; a batch of long texts must fit a worker's memory.
+    """
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    now = int(df.sparkSession.conf.get(name))
+    if now <= 0 or now > BATCH_ROWS:
+        df.sparkSession.conf.set(name, str(BATCH_ROWS))
+    return df
+
+
 def fold(col: str | Column, modulus: int) -> Column:
     """crc32(value as text) mod ``modulus``; null for null."""
     c = F.col(col) if isinstance(col, str) else col

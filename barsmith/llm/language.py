@@ -28,7 +28,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from barsmith.llm.common import documents, in_fold, text_bytes
+from barsmith.llm.common import documents, in_fold, small_batches, text_bytes
 
 SAMPLE_ROWS = 20_000
 FOLDS, HELD_OUT = 5, 0  # a null doc_id is in no fold: learned from
@@ -319,7 +319,7 @@ def training_rows(docs: DataFrame) -> DataFrame:
 
 def identify(docs: DataFrame, text: str | Column = "text") -> Column:
     """Language, score and spans of each row's text, learned from the training fold of ``docs``."""
-    return label_udf(fit(training_rows(docs)))(text_bytes(text))
+    return label_udf(fit(training_rows(small_batches(docs))))(text_bytes(text))
 
 
 def keep_identified(docs: DataFrame) -> DataFrame:

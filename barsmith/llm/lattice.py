@@ -34,7 +34,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from barsmith.llm import tokens
-from barsmith.llm.common import documents, in_fold, text_bytes, written
+from barsmith.llm.common import documents, in_fold, small_batches, text_bytes, written
 
 FOLDS, HELD_OUT = 5, 1
 DISCOUNT = 0.5
@@ -248,7 +248,7 @@ def _base_total(model: dict) -> float:
 def score_documents(docs: DataFrame, path: str | None = None) -> DataFrame:
     """Scores of all rows of ``docs`` (doc_id, text), learned from its training folds."""
     path = path or tokens.tokenizer_path()
-    docs = docs.select("doc_id", "text", in_fold("doc_id", FOLDS, HELD_OUT).alias("held_out"))
+    docs = small_batches(docs).select("doc_id", "text", in_fold("doc_id", FOLDS, HELD_OUT).alias("held_out"))
     words = written(word_counts(docs), "words")
     model = train(words, docs.filter("not held_out").count(), path)
     scored = written(word_scores(words, model, path), "word-scores")

@@ -4,7 +4,7 @@ Documents become token pieces of at most ``capacity`` ids; pieces are packed int
 sequences of that capacity. Pieces are dealt to groups by hash, each group is
 packed best-fit decreasing, and dual feasible functions give a lower bound on the
 group's number of sequences. A group that meets its bound is certified: it only
-gives up its emptiest sequence. A group with a gap gives up every sequence that
+gives up its emptiest sequences. A group with a gap gives up every sequence that
 isn't full. What is given up is exchanged (dealt anew to fewer, mixed groups) and
 packed again, until one group is left.
 
@@ -26,10 +26,12 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from barsmith.llm import tokens
-from barsmith.llm.common import documents, text_bytes, written
+from barsmith.llm.common import documents, small_batches, text_bytes, written
 
 CAPACITY = 2048
 END_ID = 0
+GIVE_UP = 0.1  # share of its sequences that a certified group gives up, the emptiest
+OPEN_ROUNDS = 3  # from then on groups with a gap give up no more than that
 GROUP_PIECES = 50_000  # pieces packed together in one group
 
 PIECES = T.StructType([
@@ -56,7 +58,7 @@ def cut(docs: DataFrame, path: str, capacity: int = CAPACITY, end_id: int = END_
             columns = [pa.array(c, t) for c, t in zip(zip(*rows), (pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64()))]
             yield pa.RecordBatch.from_arrays(columns, PIECES.names)
 
-    return docs.select("doc_id", text_bytes().alias("text")).mapInArrow(pieces, PIECES)
+    return small_batches(docs).select("doc_id", text_bytes().alias("text")).mapInArrow(pieces, PIECES)
 
 
 def lower_bound(lengths: np.ndarray, capacity: int) -> int:
@@ -123,10 +125,10 @@ def _pack_group(round_no: int, capacity: int, last: bool):
         seq, offset, room = best_fit_decreasing(lengths, capacity)
         given_up = np.zeros(len(room), bool)
         if not last:
-            if len(room) > lower_bound(lengths, capacity):
-                given_up = room > 0
-            elif room.max() > 0:
-                given_up[int(room.argmax())] = True
+            emptiest = np.argsort(-room, kind="stable")
+            if len(room) == lower_bound(lengths, capacity) or round_no >= OPEN_ROUNDS:
+                emptiest = emptiest[: max(1, int(GIVE_UP * len(room)))]
+            given_up[emptiest] = room[emptiest] > 0
         number = (np.int64(round_no) << 56) + (np.int64(pdf["g"].iloc[0]) << 28)
         return pd.DataFrame({**{c: pdf[c] for c in PIECES.names}, "sequence_id": number + seq, "offset": offset, "stays": ~given_up[seq]})
 
@@ -148,8 +150,6 @@ def pack(pieces: DataFrame, capacity: int = CAPACITY, group_pieces: int = GROUP_
             break
         todo = packed.filter("not stays").select(*PIECES.names)
         round_no += 1
-        if round_no > 30:  # each round leaves fewer groups unless nothing was certified
-            group_pieces *= 2
     out = done[0]
     for d in done[1:]:
         out = out.unionByName(d)

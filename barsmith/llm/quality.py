@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql import Window
 
-from barsmith.llm.common import ASCII_SPACE, documents, text_bytes
+from barsmith.llm.common import ASCII_SPACE, documents, small_batches, text_bytes
 
 MIN_WORDS = 50  # base rule: fewer words fail
 REPEAT_PERCENT = 50  # base rule: more words inside repeated 3-word windows fail
@@ -262,7 +262,7 @@ def verdict_udf(ref: dict):
 
 def verdict(docs: DataFrame, text: str | Column = "text") -> Column:
     """The verdict on each row's text against the references of ``docs``."""
-    return verdict_udf(load_references(docs))(text_bytes(text))
+    return verdict_udf(load_references(small_batches(docs)))(text_bytes(text))
 
 
 def keep_good(docs: DataFrame) -> DataFrame:

@@ -35,7 +35,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from barsmith.llm import idcoder, tokens
-from barsmith.llm.common import documents, scratch, shuffle_partitions, text_bytes
+from barsmith.llm.common import documents, scratch, shuffle_partitions, small_batches, text_bytes
 
 END_ID = 2
 BLOCK_IDS = 4096
@@ -101,7 +101,7 @@ def _coded_blocks(path: str, end_id: int, block_ids: int, lanes: int):
 def write_ids(docs: DataFrame, path: str, tokenizer: str | None = None, end_id: int = END_ID, block_ids: int = BLOCK_IDS, lanes: int = LANES) -> None:
     """Write the ids of ``docs`` (doc_id, text) as a token-id file at ``path``."""
     parts = shuffle_partitions(docs.sparkSession)
-    rows = docs.select("doc_id", text_bytes().alias("text"))
+    rows = small_batches(docs).select("doc_id", text_bytes().alias("text"))
     rows = rows.repartitionByRange(parts, F.asc_nulls_first("doc_id")).sortWithinPartitions(F.asc_nulls_first("doc_id"), "text")
     coded = rows.mapInArrow(_coded_blocks(tokenizer or tokens.tokenizer_path(), end_id, block_ids, lanes), FILE)
     coded.write.option("compression", "uncompressed").parquet(path)

@@ -13,14 +13,16 @@ import os
 import numpy as np
 
 WORD_BPE = "word_bpe_49k.json"
-CACHE_WORDS = 500_000  # words remembered per Python worker before it starts over
-CACHE_BYTES = 48 << 20
+CACHE_WORDS = 300_000  # words remembered per Python worker before it starts over
+CACHE_BYTES = 16 << 20
 CHUNK = 200  # words encoded in one call
 
 # Marks that the pre-tokenizer always cuts off a preceding letter. Quotes (they
 # start contractions) and the characters of special tokens are not among them.
-_TRAILING = b".,;:!?*%$&#"
-_LETTERS = frozenset(b"abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ")
+_MARK = np.zeros(256, bool)
+_MARK[list(b".,;:!?*%$&#")] = True
+_LETTER = np.zeros(256, bool)
+_LETTER[list(b"abcdefghijklmnopqrstuvwxyz")] = True
 
 
 def tokenizer_path() -> str:
@@ -29,6 +31,23 @@ def tokenizer_path() -> str:
     return public_tokenizers.path(WORD_BPE)
 
 
+def words_of(text: bytes) -> list[bytes]:
+    """Runs of a text whose ids are independent: its words, cut once more between a
+    letter a-z and a mark, so that a word is met in fewer spellings."""
+    if b"<|" in text:  # may hold a special token, whose spelling counts
+        return text.split()
+    text = text.lower()
+    codes = np.frombuffer(text, np.uint8)
+    cuts = np.flatnonzero(_LETTER[codes[:-1]] & _MARK[codes[1:]]) + 1
+    if len(cuts):
+        spaced = np.full(len(codes) + len(cuts), 32, np.uint8)
+        keep = np.ones(len(spaced), bool)
+        keep[cuts + np.arange(len(cuts))] = False
+        spaced[keep] = codes
+        text = spaced.tobytes()
+    return text.split()
+
+
 class WordEncoder:
     """Texts (UTF-8 bytes) to ids as little-endian 16-bit bytes."""
 
@@ -74,32 +93,17 @@ class WordEncoder:
         if other:
             self._encode_each(other)
 
-    def _learn(self, words: set[bytes]) -> None:
-        whole, joined = set(), []
-        for w in words:
-            core = w.rstrip(_TRAILING)
-            if core and len(core) < len(w) and core[-1] in _LETTERS:
-                joined.append((w, core, w[len(core) :]))
-                whole.add(core)
-                whole.add(w[len(core) :])
-            else:
-                whole.add(w)
-        self._encode_words(list(whole.difference(self._ids)))
-        for w, core, rest in joined:
-            self._put(w, self._ids[core] + self._ids[rest])
-
     def encode(self, texts: list[bytes]) -> list[bytes]:
         if len(self._ids) > CACHE_WORDS or self._held > CACHE_BYTES:
             self._ids.clear()
             self._held = 0
-        # lower-casing A-Z early joins spellings; not where it could make up a special token
-        split = [(t if b"<|" in t else t.lower()).split() for t in texts]
+        split = [words_of(t) for t in texts]
         new: set[bytes] = set()
         for words in split:
             new.update(words)
         new.difference_update(self._ids)
         if new:
-            self._learn(new)
+            self._encode_words(list(new))
         get = self._ids.__getitem__
         return [b"".join(map(get, words)) for words in split]
 
