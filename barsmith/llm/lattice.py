@@ -122,8 +122,9 @@ def _word_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for held_out, text in zip(batch.column(0).to_pylist(), batch.column(1)):
             words = (text.as_py() or b"").lower().split()
             if held_out:
-                for w in set(words).difference(counts):
-                    counts[w] = 0
+                for w in words:
+                    if w not in counts:
+                        counts[w] = 0
             else:
                 counts.update(words)
             if len(counts) > FLUSH:

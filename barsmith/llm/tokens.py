@@ -101,7 +101,7 @@ class WordEncoder:
         new: set[bytes] = set()
         for words in split:
             new.update(words)
-        new.difference_update(self._ids)
+        new = new.difference(self._ids)  # looks up the new words, doesn't walk the memory
         if new:
             self._encode_words(list(new))
         get = self._ids.__getitem__
