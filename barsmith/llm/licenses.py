@@ -8,14 +8,22 @@ the first rule that matches the next identifiers names a licence, an identifier
 starts no rule is passed over. So a whole licence text counts once, and sentences that
 licences share never name one by themselves unless a rule says so.
 
+A known sentence may run over lines: pieces that end at a line's end, blank lines
+included, are put together where they make up a known sentence (the longest from left to
+right), so wrapping, comment marks and addresses on their own line don't matter. It still
+begins at the start and ends at the end of a sentence or line; list marks such as ``1)``
+come before it. Other pieces stay sentences of their own.
+
 Everything is Spark SQL functions on one pass over the table, without a shuffle.
 
 Result: ``n_sentences`` (with a letter a-z or digit), ``n_known`` (with an identifier),
 ``sentence_ids`` and ``licenses`` (in order, joined by blanks / semicolons), ``n_matches``.
 
 Edge cases: a null or empty text has no sentences and no licences (empty strings, zeros).
-Lines wrapped inside a sentence (next line starts in lower case) are joined. Sentences
-repeated in a text count each time. Rows are judged one by one; other columns are
+Lines wrapped inside a sentence (next line starts in lower case) are joined, whatever they
+say. The SQL of ``oracle`` knows only these joins: it agrees on texts without a known
+sentence that is broken elsewhere or follows a list mark. Sentences repeated in a text
+count each time. Rows are judged one by one; other columns are
 untouched.
 """
 
@@ -67,6 +75,9 @@ Anyone is free to copy, modify, publish, use, compile, sell, or distribute this
 
 WRAPPED = r"([a-z0-9,])[ \t\r]*\n[ \t]*([a-z(])"
 SENTENCE_END = r"[.!?;:][ \t\r\n]+|\n+"
+STOP = r"[.!?;:][ \t\r\n]+"  # no known sentence goes on behind it
+# "1) " or "(a) " at the start of a line; upper-case letters mark places in lower-cased text
+LIST_MARK = r"((?:^|\n)[^a-z0-9\n]*(?:[0-9]{1,2}|[a-z]))\)[ \t][^a-z0-9\n.!?;:]*"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
@@ -74,36 +85,78 @@ def normalised(sentence: str) -> str:
     return re.sub("[^a-z0-9]+", " ", sentence.translate(str.maketrans(UPPER, LOWER))).strip(" ")
 
 
-def sentences(text: str) -> list[str]:
-    """The normalised sentences of a text."""
+def pieces(text: str) -> list[str]:
+    """The normalised sentences of a text, cut at every line that isn't visibly wrapped."""
     return [s for s in map(normalised, re.split(SENTENCE_END, re.sub(WRAPPED, r"\1 \2", text))) if s]
 
 
+def sentences(text: str, texts=KNOWN_TEXTS) -> list[str]:
+    """The normalised sentences of a text, pieces of known ones put together."""
+    known = rules(texts)[0]
+    longest = max(s.count(" ") for s in known) + 1
+    lower = re.sub(WRAPPED, r"\1 \2", text).translate(str.maketrans(UPPER, LOWER))
+    out = []
+    for run in re.split(STOP, re.sub(LIST_MARK, r"\1L", lower)):
+        lines = [(normalised(x.rpartition("L")[2]), normalised(x.replace("L", " ")), "L" in x) for x in run.split("\n")]
+        lines = [x for x in lines if x[1]]
+        at = 0
+        while at < len(lines):
+            joined, end, found = lines[at][0], at + 1, None
+            while True:
+                if joined in known:
+                    found = joined, end
+                if end == len(lines) or lines[end][2] or joined.count(" ") >= longest:
+                    break
+                joined, end = f"{joined} {lines[end][0]}", end + 1
+            sentence, at = found or (lines[at][1], at + 1)
+            out.append(sentence)
+    return out
+
+
 def rules(texts=KNOWN_TEXTS) -> tuple[dict[str, str], list[tuple[str, str]]]:
     """(identifier of each known sentence, (identifier sequence, licence) from long to short)."""
     ids: dict[str, str] = {}
     found = []
     for licence, text in texts:
-        found.append((" ".join(ids.setdefault(s, f"s{len(ids) + 1}") for s in sentences(text)) + " ", licence))
+        found.append((" ".join(ids.setdefault(s, f"s{len(ids) + 1}") for s in pieces(text)) + " ", licence))
     return ids, sorted(found, key=lambda r: -r[0].count(" "))
 
 
+def _once(value: Column, use) -> Column:
+    """``use(value)``, the value computed only once."""
+    return F.element_at(F.transform(F.array(value), use), 1)
+
+
 def scan(text: Column, texts=KNOWN_TEXTS) -> Column:
     """The struct of results for one text column."""
     ids, ordered = rules(texts)
     known = F.create_map(*[F.lit(x) for pair in ids.items() for x in pair])
     licence = F.create_map(*[F.lit(x) for pair in ordered for x in pair])
-    parts = F.split(F.regexp_replace(F.coalesce(text, F.lit("")), WRAPPED, "$1 $2"), SENTENCE_END)
-    normal = F.filter(F.transform(parts, lambda s: F.trim(F.regexp_replace(F.translate(s, UPPER, LOWER), "[^a-z0-9]+", " "))), lambda s: s != "")
-    found = F.filter(F.transform(normal, lambda s: F.try_element_at(known, s)), lambda i: i.isNotNull())
-    sequence = F.when(F.size(found) > 0, F.concat(F.array_join(found, " "), F.lit(" "))).otherwise("")
-    matches = F.regexp_extract_all(sequence, F.lit("(" + "|".join(r for r, _ in ordered) + ")"), 1)
-    return F.struct(
-        F.size(normal).cast("long").alias("n_sentences"), F.size(found).cast("long").alias("n_known"),
-        F.array_join(found, " ").alias("sentence_ids"),
-        F.array_join(F.transform(matches, lambda m: F.try_element_at(licence, m)), ";").alias("licenses"),
-        F.size(matches).cast("long").alias("n_matches"),
-    )
+    broken = "|".join(s.replace(" ", "[ \n]") for s in sorted(ids, key=lambda s: (-len(s), s)))
+    # words, "H" where a sentence stops, line ends, "L" behind a list mark
+    flow = F.translate(F.regexp_replace(F.coalesce(text, F.lit("")), WRAPPED, "$1 $2"), UPPER, LOWER)
+    for pattern, by in ((LIST_MARK, "$1L"), (STOP, "H"), ("[^a-z0-9HL\n]+", " "), (" ?\n[ \n]*", "\n"), ("[ \n]?H[ \nH]*", "H")):
+        flow = F.regexp_replace(flow, pattern, by)
+
+    def of_flow(flow: Column) -> Column:
+        hits = F.regexp_extract_all(flow, F.lit(rf"(?<![^HL\n])({broken})(?![^H\n])"), 1)
+        cuts = F.when(flow == "", 0).otherwise(F.regexp_count(flow, F.lit("[H\n]")) + 1)
+        return _once(hits, lambda hits: of_hits(hits, cuts - F.regexp_count(F.array_join(hits, " "), F.lit("\n"))))
+
+    def of_hits(hits: Column, n_sentences: Column) -> Column:
+        return _once(F.transform(hits, lambda s: F.try_element_at(known, F.translate(s, "\n", " "))), lambda found: of_found(found, n_sentences))
+
+    def of_found(found: Column, n_sentences: Column) -> Column:
+        sequence = F.when(F.size(found) > 0, F.concat(F.array_join(found, " "), F.lit(" "))).otherwise("")
+        matches = F.regexp_extract_all(sequence, F.lit("(" + "|".join(r for r, _ in ordered) + ")"), 1)
+        return F.struct(
+            n_sentences.cast("long").alias("n_sentences"), F.size(found).cast("long").alias("n_known"),
+            F.array_join(found, " ").alias("sentence_ids"),
+            F.array_join(F.transform(matches, lambda m: F.try_element_at(licence, m)), ";").alias("licenses"),
+            F.size(matches).cast("long").alias("n_matches"),
+        )
+
+    return _once(F.btrim(flow, F.lit(" \nH")), of_flow)
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
