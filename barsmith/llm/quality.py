@@ -33,7 +33,7 @@ from barsmith.llm.common import ASCII_SPACE, documents, small_batches, text_byte
 MIN_WORDS = 50  # base rule: fewer words fail
 REPEAT_PERCENT = 50  # base rule: more words inside repeated 3-word windows fail
 CHAR_MIN_BYTES = 400  # guard: shorter texts aren't judged by character classes
-WORD_MIN_WORDS = 100  # guard: shorter texts aren't judged by common words
+WORD_MIN_WORDS = MIN_WORDS  # guard: shorter texts aren't judged by common words
 CHAR_LIMIT = 0.28  # Jensen-Shannon distance of character classes
 WORD_LIMIT = 0.48  # Jensen-Shannon distance of common words
 COMMON_WORDS = 100
