@@ -2,10 +2,13 @@
 
 Each source has a target number of words; at most ``MAX_REPEATS`` times its size,
 what a source can't take is shared out again by weight. A source's documents are
-dealt to blocks of about ``BLOCK_WORDS`` words by hash. The mix takes every block
-of a source as often as its target holds the whole source, and for the rest blocks
-in a permuted order; of the block that the target ends in, documents in a permuted
-order as far as they fit.
+dealt to blocks of about ``BLOCK_WORDS`` words by hash; a longer document is a block of
+its own. The mix takes every block of a source as often as its target holds the whole
+source, and for the rest blocks in a permuted order. Long documents are taken as far as
+the target reaches in that order, the one it ends in is passed over; what they leave is
+filled from the other blocks, and of the block that the target ends in by documents in
+a permuted order as far as they fit. Where all other blocks are too few, long documents
+that were passed over fill the rest as far as they fit.
 
 The block copies that each source contributes are exact quotas. A binary tree over
 the output shards splits them: at every node the left half's share of each source is
@@ -39,6 +42,7 @@ BLOCK_WORDS = 1 << 16
 SHARD_WORDS = 1 << 20
 FILL_ORDERS = 32
 SEED = 20_011
+LONG_CANDIDATES = 10_000  # long documents looked at to fill a rest: first in order, and as many of the shortest
 BROADCAST_SOURCES = 100_000  # rows of (source, numbers): a few MB
 
 
@@ -120,6 +124,10 @@ def draw(rows: DataFrame, block_words: int = BLOCK_WORDS, shard_words: int = SHA
     """``rows`` (a written ``sized`` table) with ``source_size``, ``target`` and ``shards``,
     the output shard of each copy that the mix takes of the row (repeats included)."""
     spark = rows.sparkSession
+    # rows of one key are one unit; at most a row for each block_words words is long
+    per_key = rows.filter("size > 0").groupBy("key", "source").agg(F.sum("size").alias("words"))
+    long_units = written(per_key.filter(F.col("words") > block_words), "long")
+    in_long = {r["source"]: r["n"] for r in long_units.groupBy("source").agg(F.sum("words").alias("n")).collect()}
     # one row per source, as many as the mix has weights
     total = {r["source"]: r["n"] for r in rows.groupBy("source").agg(F.sum("size").alias("n")).collect()}
     goal = targets(total)
@@ -127,26 +135,44 @@ def draw(rows: DataFrame, block_words: int = BLOCK_WORDS, shard_words: int = SHA
     plan = []
     for i, s in enumerate(names):
         passes = int(goal[s] // total[s]) if total[s] else 0
-        plan.append((i, s, total[s], goal[s], max(1, ceil(total[s] / block_words)), passes, goal[s] - passes * total[s]))
+        plan.append((i, s, total[s], goal[s], max(1, ceil((total[s] - in_long.get(s, 0)) / block_words)), passes, goal[s] - passes * total[s]))
     plan_df = spark.createDataFrame(plan, "source_no int, source string, source_size long, target double, n_blocks long, passes int, remainder double")
     if len(plan) <= BROADCAST_SOURCES:
         plan_df = F.broadcast(plan_df)
     placed = (
         rows.withColumnRenamed("source", "own").join(plan_df, F.col("own").eqNullSafe(F.col("source")))
-        .withColumn("block", F.pmod(F.xxhash64("key", F.lit(seed)), "n_blocks"))
+        .join(long_units.select("key", F.lit(True).alias("long")), "key", "left").withColumn("long", F.coalesce("long", F.lit(False)))
+        # long documents have negative blocks
+        .withColumn("block", F.when(F.col("long"), F.col("key").bitwiseOR(F.lit(-(1 << 63)))).otherwise(F.pmod(F.xxhash64("key", F.lit(seed)), "n_blocks")))
     )
     order = lambda *c: F.xxhash64(*c, F.lit(seed + 1))
     by_order = Window.partitionBy("source_no").orderBy("order", "block")
+    by_source = Window.partitionBy("source_no")
     # a word count per block, a block for each block_words words: small beside the rows
     blocks = (
-        placed.groupBy("source_no", "block", "passes", "remainder").agg(F.sum("size").alias("words"))
+        placed.groupBy("source_no", "block", "long", "passes", "remainder").agg(F.sum("size").alias("words"))
         .withColumn("order", order("source_no", "block"))
-        .withColumn("before", F.sum("words").over(by_order) - F.col("words"))
-        .withColumn("whole", F.col("before") + F.col("words") <= F.col("remainder"))
-        .withColumn("gap", F.when(~F.col("whole") & (F.col("before") < F.col("remainder")), F.col("remainder") - F.col("before")))
-        .select("source_no", "block", "passes", "whole", "gap")
+        .withColumn("reached", F.col("long") & (F.sum("words").over(by_order) <= F.col("remainder")))
+        .withColumn("short", F.when(F.col("long"), 0).otherwise(F.col("words")))
+        .withColumn("need", F.col("remainder") - F.sum(F.when(F.col("reached"), F.col("words")).otherwise(0)).over(by_source))
+        .withColumn("before", F.sum("short").over(by_order) - F.col("short"))
+        .withColumn("left", F.col("need") - F.sum("short").over(by_source))
+        .withColumn("whole", F.when(F.col("long"), F.col("reached")).otherwise(F.col("before") + F.col("words") <= F.col("need")))
+        .withColumn("gap", F.when(~F.col("long") & ~F.col("whole") & (F.col("before") < F.col("need")), F.col("need") - F.col("before")))
+        .select("source_no", "block", "long", "words", "order", "left", "passes", "whole", "gap")
     )
     blocks = written(blocks, "blocks")
+    # a source's other blocks may be too few for what its long documents leave
+    passed = blocks.filter(F.col("long") & ~F.col("whole") & (F.col("left") > 0) & (F.col("words") < 2 * F.col("left")))
+    for name, by in (("nth", ("order", "block")), ("nth_short", ("words", "block"))):
+        passed = passed.withColumn(name, F.row_number().over(Window.partitionBy("source_no").orderBy(*by)))
+    passed = passed.filter((F.col("nth") <= LONG_CANDIDATES) | (F.col("nth_short") <= LONG_CANDIDATES))
+    more = (
+        passed.select("source_no", F.col("block").alias("key"), "words", F.col("left").alias("gap"))
+        .groupBy("source_no").applyInPandas(_fill, "key long").select(F.col("key").alias("block"), F.lit(True).alias("more"))
+    )
+    blocks = blocks.join(more, "block", "left").withColumn("whole", F.col("whole") | F.coalesce("more", F.lit(False)))
+    blocks = written(blocks.select("source_no", "block", "passes", "whole", "gap"), "filled-blocks")
     ends = blocks.filter("gap is not null").select("source_no", "block", "gap")
     units = placed.filter("size > 0").groupBy("key", "source_no", "block").agg(F.sum("size").alias("words"))
     chosen = (
