@@ -77,6 +77,34 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+HOT_GROUPS = 1000
+
+
+def join_groups(rows: DataFrame, groups: DataFrame, keys: list[str], members: str, total: int) -> DataFrame:
+    """``rows`` with the columns of their group; null where it isn't among ``groups``.
+
+    ``groups`` has one row per value of ``keys`` (nulls are equal) and, in ``members``,
+    how many of the ``total`` rows belong to it. Groups of more than a thousandth of all
+    rows are fewer than ``HOT_GROUPS`` and are broadcast, so the shuffled join only
+    meets rows of small groups. Both inputs are read twice: written tables, best.
+    """
+    facts = [c for c in groups.columns if c not in keys]
+
+    def joined(left: DataFrame, right: DataFrame) -> DataFrame:
+        right = right.select(*[F.col(k).alias(f"_g_{k}") for k in keys], *[F.col(c).alias(f"_f_{c}") for c in facts], F.lit(True).alias("_found"))
+        same = F.lit(True)
+        for k in keys:
+            same = same & F.col(k).eqNullSafe(F.col(f"_g_{k}"))
+        return left.join(right, same, "left")
+
+    hot = F.col(members) * HOT_GROUPS > total
+    tagged = joined(rows, F.broadcast(groups.filter(hot)))
+    done = tagged.filter("_found")
+    rest = joined(tagged.filter("_found is null").select(*rows.columns), groups.filter(~hot))
+    out = done.unionByName(rest)
+    return out.select(*rows.columns, *[F.col(f"_f_{c}").alias(c) for c in facts])
+
+
 def require_stable_hash() -> None:
     """Raise unless ``hash(bytes)`` agrees between Python workers.
 
