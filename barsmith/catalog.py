@@ -8,8 +8,10 @@ the independent, reference-shaped formulation from ``barsmith.oracle``.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -23,9 +25,12 @@ from barsmith.operators.indicators import (
 from barsmith.operators.moving_averages import avg_volume, moving_averages, sma, volatility
 from barsmith.operators.returns import stock_returns, valid_dates
 from barsmith.plans.daily_fact import daily_performance, daily_performance_fused
-from barsmith.plans.refresh import FACT_TABLE, PORTFOLIO_TABLE, SUMMARY_TABLE, published
+from barsmith.plans.refresh import (
+    FACT_TABLE, INDICATORS_VIEW, MOVING_AVERAGES_VIEW, PORTFOLIO_TABLE, RETURNS_VIEW, STAGING_VIEW, SUMMARY_TABLE, TABLE_PROPERTIES, published,
+)
 from barsmith.plans.portfolio import portfolio_columns, portfolio_performance, split_universe
 from barsmith.plans.summary import latest_dates, latest_per_ticker, stats_30d, stock_summary
+from barsmith.session import shared_dir
 from barsmith.sources.bars import stage_bars, stage_landed
 from barsmith.sources.fixtures import land_raw_layer, landed_bars, raw_layer
 from barsmith.sources.registry import RAW_TABLE_SUFFIX, TICKERS
@@ -126,29 +131,27 @@ def _incremental_tail(spark, sf_dir):
     return incremental_fact(history, changes, updated_at=updated_at())
 
 
-def _store_root(spark, kind):
-    import uuid
-
-    from barsmith.session import shared_dir
-
-    return f"{shared_dir(spark)}/barsmith-{kind}/{uuid.uuid4().hex[:12]}"
+def _database(spark, kind) -> tuple[str, str]:
+    """Name and location of a catalog database for one run of a query."""
+    run = uuid.uuid4().hex[:12]
+    return f"barsmith_{kind}_{run}", f"{shared_dir(spark)}/barsmith-{kind}/{run}"
 
 
 def _stream_refresh(spark, sf_dir):
-    from barsmith.streaming.incremental import FACT, read_table, start_refresh_stream
+    from barsmith.streaming.incremental import read_table, start_refresh_stream
 
-    root = _store_root(spark, "stream")
-    q = start_refresh_stream(spark, land_raw_layer(spark, sf_dir), f"{root}/store", f"{root}/checkpoint", updated_at=updated_at())
+    database, location = _database(spark, "stream")
+    q = start_refresh_stream(spark, land_raw_layer(spark, sf_dir), database, f"{location}/checkpoint", f"{location}/tables", updated_at=updated_at())
     q.awaitTermination()
     if q.exception() is not None:
         raise RuntimeError(str(q.exception()))
-    return read_table(spark, f"{root}/store", FACT)
+    return read_table(spark, database, FACT_TABLE)
 
 
 def _replayed(spark, sf_dir):
     """The whole landed layer brought in by five batches: history in which one ticker
     lacks most of a year and every 97th day is misstated by one, the restatements, the
-    missing bars, newer bars, and the last days. Returns the store's root."""
+    missing bars, newer bars, and the last days. Returns the database."""
     from barsmith.streaming.incremental import refresh_batch
 
     bars = landed_bars(spark, sf_dir)
@@ -160,27 +163,59 @@ def _replayed(spark, sf_dir):
     batches = [
         bars.where(~newer & ~gap & ~wrong).unionByName(misstated), bars.where(wrong), bars.where(gap), bars.where(newer & ~last), bars.where(last),
     ]
-    root = _store_root(spark, "replay")
+    database, location = _database(spark, "replay")
     for i, batch in enumerate(batches):
-        refresh_batch(spark, batch, root, updated_at=updated_at(), as_of=O.AS_OF, batch_id=i)
-    return root
+        refresh_batch(spark, batch, database, location, updated_at=updated_at(), as_of=O.AS_OF, batch_id=i)
+    return database
 
 
 def _replay(name: str) -> Builder:
-    def build(spark, sf_dir):
-        from barsmith.streaming.incremental import read_table
+    """A mart of the replayed database, read by its name in the catalog."""
+    return lambda spark, sf_dir: spark.table(f"`{_replayed(spark, sf_dir)}`.`{name}`")
 
-        return read_table(spark, _replayed(spark, sf_dir), name)
-    return build
 
+def _refreshed(spark, sf_dir, ordered: bool = False) -> str:
+    from barsmith.plans.refresh import refresh_marts
 
-def _full_refresh(name: str) -> Builder:
-    def build(spark, sf_dir):
-        from barsmith.plans.refresh import refresh_marts
+    database, location = _database(spark, "marts")
+    refresh_marts(spark, staged(spark, sf_dir), database, location, as_of=O.AS_OF, updated_at=updated_at(), ordered=ordered)
+    return database
 
-        marts = refresh_marts(spark, staged(spark, sf_dir), _store_root(spark, "marts"), as_of=O.AS_OF, updated_at=updated_at())
-        return published(name, marts[name])
-    return build
+
+def _full_refresh(name: str, ordered: bool = False) -> Builder:
+    return lambda spark, sf_dir: published(name, spark.table(f"`{_refreshed(spark, sf_dir, ordered)}`.`{name}`"))
+
+
+def _continued(spark, sf_dir):
+    """The catalog's fact after a full refresh of older bars and two batches of newer ones."""
+    from barsmith.plans.refresh import refresh_marts
+    from barsmith.streaming.incremental import refresh_batch
+
+    bars = landed_bars(spark, sf_dir)
+    day = (F.col("T") / 86_400_000).cast("long")
+    database, location = _database(spark, "continued")
+    refresh_marts(spark, stage_landed(bars.where(day < 11_000)), database, location, as_of=O.AS_OF, updated_at=updated_at())
+    for i, batch in enumerate((bars.where((day >= 11_000) & (day < 11_590)), bars.where(day >= 11_590))):
+        refresh_batch(spark, batch, database, updated_at=updated_at(), as_of=O.AS_OF, batch_id=i)
+    return spark.table(f"`{database}`.`{FACT_TABLE}`")
+
+
+def _view(name: str) -> Builder:
+    """A persistent view over the refreshed marts."""
+    return lambda spark, sf_dir: spark.table(f"`{_refreshed(spark, sf_dir)}`.`{name}`")
+
+
+def _relation_properties(spark, sf_dir):
+    """Tags and owner metadata of every relation as the catalog has them, and its rows."""
+    database = _refreshed(spark, sf_dir)
+    parts = []
+    for name in TABLE_PROPERTIES:
+        relation = f"`{database}`.`{name}`"
+        rows = spark.table(relation).agg(F.count(F.lit(1)).alias("n_rows"))
+        props = {r["key"]: r["value"] for r in spark.sql(f"SHOW TBLPROPERTIES {relation}").collect()}
+        found = F.explode(F.create_map(*[F.lit(x) for k, v in sorted(props.items()) if k == "tags" or k.startswith("meta.") for x in (k, v)]))
+        parts.append(rows.select(F.lit(name).alias("relation"), found.alias("property", "value"), "n_rows"))
+    return reduce(DataFrame.unionByName, parts)
 
 
 # ------------------------------------------------------------------- SQL ----
@@ -355,9 +390,17 @@ def _build_queries() -> dict[str, Query]:
     add("stream_refresh_fact", lambda s, d: stabilize(_stream_refresh(s, d)), FACT_COLUMNS, _fact_sql(FACT_COLUMNS))
     add("registered_views", lambda s, d: stabilize(_views(s, d)), FACT_COLUMNS, _fact_sql(FACT_COLUMNS))
     for key, make in {"full_refresh": _full_refresh, "incremental_replay": _replay}.items():
-        add(f"{key}_fact", lambda s, d, m=make(FACT_TABLE): stabilize(m(s, d)), FACT_COLUMNS, _fact_sql(FACT_COLUMNS))
+        add(f"{key}_fact", lambda s, d, m=make(FACT_TABLE): stabilize(m(s, d).select(*FACT_COLUMNS)), FACT_COLUMNS, _fact_sql(FACT_COLUMNS))
         add(f"{key}_summary", lambda s, d, m=make(SUMMARY_TABLE): stabilize(m(s, d)), SUMMARY_COLUMNS, _summary_sql("sma_recommendation"))
         add(f"{key}_marts", lambda s, d, m=make(PORTFOLIO_TABLE): stabilize(m(s, d)), PORTFOLIO, _portfolio_sql(PORTFOLIO))
+    add("full_refresh_ordered_fact", lambda s, d: stabilize(_full_refresh(FACT_TABLE, True)(s, d)), FACT_COLUMNS, _fact_sql(FACT_COLUMNS))
+    add("catalog_fact_after_batches", lambda s, d: stabilize(_continued(s, d).select(*FACT_COLUMNS)), FACT_COLUMNS, _fact_sql(FACT_COLUMNS))
+    add("view_staging", _view(STAGING_VIEW), STAGED_COLUMNS, _sql(O.RAW, "stg", STAGED_COLUMNS, "trade_date IS NOT NULL"))
+    add("view_returns", _view(RETURNS_VIEW), RETURNS_COLUMNS, _sql(O.RETURNS, "ret", RETURNS_COLUMNS))
+    add("view_moving_averages", lambda s, d: stabilize(_view(MOVING_AVERAGES_VIEW)(s, d)), MOVING_AVERAGE_COLUMNS, _sql(O.MA, "ma", MOVING_AVERAGE_COLUMNS))
+    add("view_technical_indicators", _view(INDICATORS_VIEW), INDICATOR_COLUMNS, _sql(O.TI, "ti", INDICATOR_COLUMNS))
+    add("relation_properties", _relation_properties, ["relation", "property", "value", "n_rows"], O.with_ctes(
+        O.RELATION_PROPERTIES, *O.FACT, O.cte_summary("sma_recommendation"), O.cte_portfolio("sma_recommendation")))
     return q
 
 

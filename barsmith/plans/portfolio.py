@@ -6,7 +6,12 @@ benchmark rows twice (SPY and QQQ, ticker predicate inside ON). With unique
 return is a conditional aggregate of the same GROUP BY: one partially-aggregated
 shuffle keyed by date and no join. Days without any stock row produce no row
 (``_stock_rows > 0``), days without a benchmark bar keep a NULL benchmark
-return. ``keys_unique=False`` runs the join form.
+return. ``keys_unique=False`` runs the join form: the benchmarks pivoted to one row per
+day, joined once. No side is hinted: the adaptive plan broadcasts the benchmark days when
+their measured size is below the session's threshold, and sort-merges them else.
+
+The benchmarks are given as names or as a table with a column ``ticker``; they become
+columns of the result, so there are few.
 """
 
 from __future__ import annotations
@@ -49,10 +54,33 @@ LABEL_COUNTS = {
 TREND_COUNTS = {"num_bullish": S.BULLISH, "num_bearish": S.BEARISH, "num_neutral": S.NEUTRAL}
 
 
-def split_universe(fact: DataFrame, benchmarks: Sequence[str] = BENCHMARKS) -> tuple[DataFrame, DataFrame]:
+MAX_BENCHMARKS = 100
+Benchmarks = Sequence[str] | DataFrame
+
+
+def benchmark_names(benchmarks: Benchmarks) -> list[str]:
+    """The benchmark tickers; of a table, its distinct non-null ``ticker``s in ascending order."""
+    if not isinstance(benchmarks, DataFrame):
+        return list(benchmarks)
+    names = [r[0] for r in benchmarks.select("ticker").where("ticker IS NOT NULL").distinct().orderBy("ticker").limit(MAX_BENCHMARKS + 1).collect()]
+    if len(names) > MAX_BENCHMARKS:
+        raise ValueError(f"more than {MAX_BENCHMARKS} benchmarks")
+    return names
+
+
+def benchmark_days(fact: DataFrame, benchmarks: Benchmarks = BENCHMARKS) -> DataFrame:
+    """One row per day with a benchmark bar: each benchmark's return (NULL without a bar)."""
+    names = benchmark_names(benchmarks)
+    bars = split_universe(fact, names)[1]
+    returns = {t: F.max(F.when(F.col("ticker") == t, F.col("daily_return_pct"))).alias(f"{_bench_name(t)}_return_pct") for t in names}
+    return bars.groupBy("trade_date").agg(F.count(F.lit(1)).alias("_bars"), *returns.values()).drop("_bars")
+
+
+def split_universe(fact: DataFrame, benchmarks: Benchmarks = BENCHMARKS) -> tuple[DataFrame, DataFrame]:
     """(individual stocks, benchmark rows pruned to date/ticker/close/return)."""
-    stocks = fact.where(~F.col("ticker").isin(list(benchmarks)))
-    bench = fact.where(F.col("ticker").isin(list(benchmarks))).select(
+    names = benchmark_names(benchmarks)
+    stocks = fact.where(~F.col("ticker").isin(names))
+    bench = fact.where(F.col("ticker").isin(names)).select(
         "trade_date", "ticker", "close_price", "daily_return_pct"
     )
     return stocks, bench
@@ -106,7 +134,7 @@ def _finish(df: DataFrame, benchmarks: Sequence[str], updated_at) -> DataFrame:
 
 def portfolio_performance(
     fact: DataFrame,
-    benchmarks: Sequence[str] = BENCHMARKS,
+    benchmarks: Benchmarks = BENCHMARKS,
     recommendation_col: str = "sma_recommendation",
     updated_at=None,
     keys_unique: bool = True,
@@ -115,14 +143,11 @@ def portfolio_performance(
     signal counts, sentiment, alpha vs each benchmark and market regime."""
     c = F.col
     rec = c(recommendation_col)
+    benchmarks = benchmark_names(benchmarks)
     if not keys_unique:
-        stocks, bench = split_universe(fact, benchmarks)
+        stocks, _ = split_universe(fact, benchmarks)
         daily = stocks.groupBy("trade_date").agg(*_daily_aggregates(lambda x: x, rec, distinct_tickers=True))
-        for b in benchmarks:
-            side = bench.where(c("ticker") == b).select(
-                c("trade_date").alias(f"_d_{_bench_name(b)}"), c("daily_return_pct").alias(f"{_bench_name(b)}_return_pct")
-            )
-            daily = daily.join(side, daily["trade_date"] == side[f"_d_{_bench_name(b)}"], "left")
+        daily = daily.join(benchmark_days(fact, benchmarks), "trade_date", "left")
         return _finish(daily, benchmarks, updated_at)
 
     is_stock = ~c("ticker").isin(list(benchmarks))

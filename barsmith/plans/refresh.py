@@ -1,33 +1,33 @@
 """Views over the layers and the full refresh of the marts.
 
-Staging and intermediate layers are lazy views; the marts are materialized tables of
-a ``Store``, the same one that the incremental refresh keeps up to date.
-``refresh_marts`` writes the silver bars and the daily fact first and builds the summary
-and portfolio marts from the *written* fact, so the expensive window stage runs once
-and its lineage is cut. All tables become current with one manifest; a later session
-finds them by the store's root.
+Staging and intermediate layers are views, the marts are tables. ``register_views`` has
+all of them as lazy temp views of one session. ``refresh_marts`` keeps the marts as catalog
+tables of a database (``barsmith.warehouse``), the same ones that the incremental refresh
+brings up to date: it writes the silver bars and the daily fact first and builds the summary
+and portfolio from the *written* fact, so the expensive window stage runs once and its
+lineage is cut, and then points the tables at what was written.
+
+The persistent views read the marts: the fact holds every column of the returns, moving
+averages and indicators, so a view is a pruned scan of the current fact.
 """
 
 from __future__ import annotations
 
-import json
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from barsmith.operators.indicators import technical_indicators
 from barsmith.operators.moving_averages import moving_averages
 from barsmith.operators.returns import stock_returns, valid_dates
-from barsmith.paths import write_text
 from barsmith.plans.daily_fact import daily_performance_fused
 from barsmith.plans.portfolio import portfolio_performance
 from barsmith.plans.summary import stock_summary
 from barsmith.sources.bars import stage_bars
-from barsmith.sources.schema import FACT_COLUMNS, KEY, MOVING_AVERAGE_COLUMNS, RETURNS_COLUMNS, STAGED_COLUMNS
-from barsmith.tables import MONTH, Store, month_of
+from barsmith.sources.schema import FACT_COLUMNS, INDICATOR_COLUMNS, MOVING_AVERAGE_COLUMNS, RETURNS_COLUMNS, STAGED_COLUMNS
+from barsmith.warehouse import Staged, Warehouse
 
 # --- fixed values: relation names of the layers ------------------------------
 STAGING_VIEW = "stg_stock_prices"
@@ -37,6 +37,7 @@ INDICATORS_VIEW = "int_technical_indicators"
 FACT_TABLE = "fct_daily_stock_performance"
 SUMMARY_TABLE = "dim_stock_summary"
 PORTFOLIO_TABLE = "fct_portfolio_performance"
+SILVER_TABLE = "silver_bars"  # the dated staged bars that the marts were built from
 
 # --- fixed values: relation tags and owner metadata (``meta.*``: ``owner`` is a
 # reserved table property in Spark) -------------------------------------------
@@ -51,6 +52,9 @@ TABLE_PROPERTIES: dict[str, dict[str, str]] = {
     PORTFOLIO_TABLE: {"tags": "marts,fact_table,portfolio", "meta.owner": "analytics", "meta.contains_pii": "false"},
 }
 
+# Published row order of the marts (on disk, and of ``published``).
+MART_ORDER = {FACT_TABLE: ("ticker", "-trade_date"), SUMMARY_TABLE: ("ticker",), PORTFOLIO_TABLE: ("-trade_date",)}
+
 
 def register_views(spark: SparkSession, stg: DataFrame, prefix: str = "", updated_at=None) -> dict[str, DataFrame]:
     """Lazy temp views for staging, the three intermediate layers and the fact."""
@@ -67,103 +71,75 @@ def register_views(spark: SparkSession, stg: DataFrame, prefix: str = "", update
     return views
 
 
-def _quote(text: str) -> str:
-    return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
-
-
-# Published row order of the marts.
-MART_ORDER = {FACT_TABLE: ("ticker", "-trade_date"), SUMMARY_TABLE: ("ticker",), PORTFOLIO_TABLE: ("-trade_date",)}
+def order_of(name: str) -> list[Column]:
+    return [F.col(k[1:]).desc() if k.startswith("-") else F.col(k).asc() for k in MART_ORDER[name]]
 
 
 def published(name: str, df: DataFrame) -> DataFrame:
     """A mart in its published row order."""
-    keys = [F.col(k[1:]).desc() if k.startswith("-") else F.col(k).asc() for k in MART_ORDER[name]]
-    return df.orderBy(*keys)
-
-
-def publish_table(
-    spark: SparkSession, name: str, path: str, schema, partition: str | None = None, properties: Mapping[str, str] | None = None
-) -> None:
-    """Point the external catalog table ``name`` at the version in ``path`` and set its
-    TBLPROPERTIES. Without partitions the location of an existing table is swapped;
-    a partitioned one is created anew, so that it gets the new version's partitions."""
-    spark.catalog.dropTempView(name)  # a same-named temp view would shadow the table
-    if partition is not None:
-        spark.sql(f"DROP TABLE IF EXISTS `{name}`")
-        columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in [*schema.fields, T.StructField(partition, T.StringType())])
-        spark.sql(f"CREATE TABLE `{name}` ({columns}) USING parquet PARTITIONED BY (`{partition}`) LOCATION {_quote(path)}")
-        spark.sql(f"ALTER TABLE `{name}` RECOVER PARTITIONS")
-    elif spark.catalog.tableExists(name):
-        spark.sql(f"ALTER TABLE `{name}` SET LOCATION {_quote(path)}")
-        spark.sql(f"REFRESH TABLE `{name}`")
-    else:
-        spark.sql(f"CREATE TABLE `{name}` USING parquet LOCATION {_quote(path)}")
-    if properties:
-        props = ", ".join(f"{_quote(k)} = {_quote(v)}" for k, v in properties.items())
-        spark.sql(f"ALTER TABLE `{name}` SET TBLPROPERTIES ({props})")
-
-
-def _quote(text: str) -> str:
-    return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
+    return df.orderBy(*order_of(name))
+
+
+def publish_views(warehouse: Warehouse) -> None:
+    """The staging and intermediate layers as persistent views over the current marts."""
+    cols = lambda names: ", ".join(f"`{n}`" for n in names)
+    fact, bars = warehouse.name(FACT_TABLE), warehouse.name(SILVER_TABLE)
+    renamed = cols(x for x in INDICATOR_COLUMNS if x not in ("combined_signal", "signal_strength_score"))
+    queries = {
+        STAGING_VIEW: f"SELECT {cols(STAGED_COLUMNS)} FROM {bars}",
+        RETURNS_VIEW: f"SELECT {cols(RETURNS_COLUMNS)} FROM {fact}",
+        MOVING_AVERAGES_VIEW: f"SELECT {cols(MOVING_AVERAGE_COLUMNS)} FROM {fact}",
+        # bars without a previous close aren't rows of the indicators; all others have a MACD label
+        INDICATORS_VIEW: f"SELECT {renamed}, advanced_signal AS combined_signal, signal_strength_score FROM {fact} WHERE macd_signal IS NOT NULL",
+    }
+    for name, query in queries.items():
+        warehouse.view(name, query, TABLE_PROPERTIES.get(name, {}))
+
+
+def publish_all(warehouse: Warehouse, staged: Sequence[Staged], whole: bool = True) -> None:
+    """Make staged tables current, one after the other, and (re)define the views."""
+    for s in staged:
+        warehouse.publish(s, TABLE_PROPERTIES.get(s.table, {}), whole)
+    if staged and not warehouse.exists(RETURNS_VIEW):
+        publish_views(warehouse)
 
 
 def refresh_marts(
     spark: SparkSession,
     source: Mapping[str, DataFrame] | DataFrame,
-    root: str,
+    database: str,
+    location: str | None = None,
     as_of=None,
     updated_at=None,
     recommendation_col: str = "sma_recommendation",
-    publish: str = "view",
-    intermediate: bool = False,
+    ordered: bool = False,
 ) -> dict[str, DataFrame]:
     """Full refresh: staging -> fused fact (written) -> summary + portfolio (written).
 
-    ``source`` is the raw table per ticker or one staged DataFrame. The fact and the
-    silver bars are partitioned by month. The summary and the portfolio only read the
-    written fact, so their jobs are submitted concurrently from two driver threads.
-    ``intermediate`` also writes the returns and moving-average relations. Each table's
-    tags and owner metadata lie beside its data (``_properties.json``). The tables are
-    then exposed by name: as temp views in published order, or (``publish="table"``) as
-    external catalog tables that carry the metadata as TBLPROPERTIES.
+    ``source`` is the raw table per ticker or one staged DataFrame; ``database`` is created
+    (at ``location``) if it doesn't exist. The summary and the portfolio only read the
+    written fact, so their jobs are submitted concurrently from two driver threads. The
+    tables are switched when everything is written; a refresh that fails before leaves
+    the old ones.
+
+    The fact is partitioned by month, inside a month in its published order (ticker, date
+    descending), so the incremental refresh can go on from it. With ``ordered`` it isn't
+    partitioned: its files are consecutive ranges of the published order, and one
+    statement switches it. Returns the current tables.
     """
     stg = stage_bars(source) if isinstance(source, Mapping) else source
-    store = Store(spark, root)
-    state = store.manifest()
-    written: dict[str, dict[str, str]] = {}
-    schemas = {}
-
-    def put(name: str, df: DataFrame, by_month: bool = False) -> DataFrame:
-        schemas[name] = df.schema
-        if by_month:
-            written[name] = store.write(name, df.withColumn(MONTH, month_of()), MONTH, KEY)
-        else:
-            written[name] = store.write(name, df)
-        if name in TABLE_PROPERTIES:
-            for version in {f.partition("/")[0] for f in written[name].values()}:
-                write_text(spark, f"{store.root}/{name}/{version}/_properties.json", json.dumps(TABLE_PROPERTIES[name], sort_keys=True))
-        return store.read({"tables": written}, name, df.schema)
-
-    bars = put(STAGING_VIEW, valid_dates(stg).select(*STAGED_COLUMNS), True)
-    fact = put(FACT_TABLE, daily_performance_fused(bars, updated_at=updated_at).select(*FACT_COLUMNS), True)
+    w = Warehouse(spark, database, location)
+    if w.exists(FACT_TABLE) and ordered == w.partitioned(FACT_TABLE):
+        raise ValueError(f"{w.name(FACT_TABLE)} was created with ordered={not ordered}")
+    bars = w.stage(SILVER_TABLE, valid_dates(stg).select(*STAGED_COLUMNS), order_of(FACT_TABLE), by_month=True)
+    rows = daily_performance_fused(bars.read(spark), updated_at=updated_at).select(*FACT_COLUMNS)
+    fact = w.stage(FACT_TABLE, rows, order_of(FACT_TABLE), by_month=not ordered)
+    written = fact.read(spark)
     small = {
-        SUMMARY_TABLE: stock_summary(fact, as_of=as_of, recommendation_col=recommendation_col, updated_at=updated_at),
-        PORTFOLIO_TABLE: portfolio_performance(fact, recommendation_col=recommendation_col, updated_at=updated_at),
+        PORTFOLIO_TABLE: portfolio_performance(written, recommendation_col=recommendation_col, updated_at=updated_at),
+        SUMMARY_TABLE: stock_summary(written, as_of=as_of, recommendation_col=recommendation_col, updated_at=updated_at),
     }
-    marts = {name: published(name, df) for name, df in small.items()}
-    if intermediate:
-        returns = stock_returns(bars)
-        marts |= {RETURNS_VIEW: returns.select(*RETURNS_COLUMNS), MOVING_AVERAGES_VIEW: moving_averages(returns).select(*MOVING_AVERAGE_COLUMNS)}
-    with ThreadPoolExecutor(max_workers=len(marts)) as pool:
-        futures = {name: pool.submit(put, name, df) for name, df in marts.items()}
-        out = {FACT_TABLE: fact, **{name: f.result() for name, f in futures.items()}}
-    store.commit(state, written)
-    for name, df in out.items():
-        if publish == "table":
-            partition = MONTH if name == FACT_TABLE else None
-            version = next(iter(written[name].values())).partition("/")[0] if written[name] else None
-            if version is not None:
-                publish_table(spark, name, f"{store.root}/{name}/{version}", schemas[name], partition, TABLE_PROPERTIES[name])
-        else:
-            (published(name, df) if name in MART_ORDER else df).createOrReplaceTempView(name)
-    return out
+    with ThreadPoolExecutor(max_workers=len(small)) as pool:
+        marts = list(pool.map(lambda item: w.stage(item[0], item[1], order_of(item[0])), small.items()))
+    publish_all(w, [*marts, fact, bars])
+    return {s.table: w.read(s.table, s.schema) for s in (fact, *marts)}

@@ -7,15 +7,15 @@ builders) the same result comes from ONE aggregation: ``max_by`` picks the
 latest row and the 30-day statistics are conditional aggregates. That is at
 most one partially-aggregated shuffle whose size is #tickers x #map tasks,
 independent of history length (none when the fact is still hash-partitioned
-by ticker, as straight after the series pass), and no join. ``keys_unique=False`` runs the join form, which
-keeps ties on the latest date.
+by ticker, as straight after the series pass), and no join. ``keys_unique=False`` keeps
+ties on the latest date (``rank() = 1``) and joins the statistics.
 """
 
 from __future__ import annotations
 
 import datetime as _dt
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from barsmith.functions.numeric import ratio
@@ -59,14 +59,18 @@ def stats_30d(fact: DataFrame, as_of=None, days: int = TRAILING_DAYS) -> DataFra
 
 
 def latest_per_ticker(fact: DataFrame, recommendation_col: str = "sma_recommendation") -> DataFrame:
-    """The bar(s) on each ticker's latest date (ties kept) via the back-join."""
+    """The bar(s) on each ticker's latest date, ties kept.
+
+    ``rank() = 1`` over one scan: Spark's window group limit drops all but the latest
+    rows of a ticker in each task before and after the exchange.
+    """
     c = F.col
-    ld = latest_dates(fact).withColumnRenamed("ticker", "_ld_ticker")
-    on = (c("ticker") == c("_ld_ticker")) & (c("trade_date") == c("latest_trade_date"))
-    return fact.join(ld, on, "inner").select(
+    newest = Window.partitionBy("ticker").orderBy(c("trade_date").desc())
+    last = fact.where(c("trade_date").isNotNull()).withColumn("_rank", F.rank().over(newest)).where("_rank = 1")
+    return last.select(
         "ticker",
         "company_name",
-        "latest_trade_date",
+        c("trade_date").alias("latest_trade_date"),
         c("close_price").alias("current_price"),
         c("volume").alias("current_volume"),
         c(recommendation_col).alias("current_recommendation"),

@@ -4,8 +4,13 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
+
+from barsmith.paths import delete_path
 
 
 def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str = "barsmith") -> SparkSession:
@@ -55,3 +60,20 @@ def shared_dir(spark: SparkSession) -> str:
     folder = tempfile.mkdtemp(prefix="barsmith-ckpt-")
     spark.sparkContext.setCheckpointDir(folder)  # the conf itself is static
     return folder
+
+
+@contextmanager
+def scratch_tables(spark: SparkSession) -> Iterator[Callable[[DataFrame], DataFrame]]:
+    """A function that writes a DataFrame to the shared folder and reads it back
+    (computed once, lineage cut); what it wrote goes when the block ends."""
+    folder = f"{shared_dir(spark)}/scratch-{uuid.uuid4().hex}"
+
+    def keep(df: DataFrame) -> DataFrame:
+        path = f"{folder}/{uuid.uuid4().hex}"
+        df.write.parquet(path)
+        return spark.read.schema(df.schema).parquet(path)
+
+    try:
+        yield keep
+    finally:
+        delete_path(spark, folder)

@@ -12,17 +12,23 @@ exactly these rows from
   (and enough closes for the RSI, whose frame skips bars) or the stored history ends.
   What is read follows from the bars found, nothing else is remembered per ticker.
 
-``refresh_batch`` applies a micro-batch to the tables of a ``Store``: silver bars, fact,
-summary, portfolio. All become visible with one manifest that also records the batch,
-so a failure at any point leaves the state before, and a batch delivered again is
-recognised. Tables with one row per ticker and day are partitioned by month; only the
-months in which a row really changes are written anew.
+``refresh_batch`` applies a micro-batch to the catalog tables of a database: silver bars,
+fact, summary, portfolio. All rows are written before the first table is switched. Tables
+with one row per ticker and day are partitioned by month; only the months in which a row
+really changes are written anew.
+
+What a refresh writes follows from the silver bars and the batch alone, and the silver bars
+are switched last. So a batch that failed on its way, between two tables or two months
+included, is applied in full when it is delivered again: months that were already switched
+compare equal, and the portfolio's are switched before the fact's. The id of the last batch
+is a property of the silver table, by which a batch delivered twice is recognised.
 """
 
 from __future__ import annotations
 
 import datetime as dt
 from collections.abc import Callable, Mapping
+from functools import lru_cache
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -39,14 +45,16 @@ from barsmith.plans.summary import LATEST_COLUMNS, TRAILING_DAYS, latest_values,
 from barsmith.sources.bars import stage_landed, unregistered
 from barsmith.sources.registry import TICKERS
 from barsmith.sources.schema import BAR_SCHEMA, FACT_COLUMNS, KEY, STAGED_COLUMNS
-from barsmith.tables import MONTH, WHOLE, Store, month_of
+from barsmith.plans.refresh import FACT_TABLE as FACT
+from barsmith.plans.refresh import PORTFOLIO_TABLE as PORTFOLIO
+from barsmith.plans.refresh import SILVER_TABLE as SILVER
+from barsmith.plans.refresh import SUMMARY_TABLE as SUMMARY
+from barsmith.plans.refresh import order_of, publish_all
+from barsmith.session import scratch_tables
+from barsmith.warehouse import Staged, Warehouse, month_of, months_in
 
-# --- tables of the store --------------------------------------------------------
-SILVER = "stg_stock_prices"
-FACT = "fct_daily_stock_performance"
-SUMMARY = "dim_stock_summary"
-PORTFOLIO = "fct_portfolio_performance"
 REJECTS = "rejected_bars"
+BATCH = "barsmith.batch"  # property of the silver table: the last batch applied
 
 # Earlier bars needed by the longest dependency chain of one fact row.
 CONTEXT_ROWS = max(
@@ -146,8 +154,9 @@ def _fresh(bars: DataFrame | None, spark: SparkSession, changes: DataFrame, upda
 # ------------------------------------------------------------------ the tables
 
 
+@lru_cache(4)
 def schemas(spark: SparkSession) -> dict[str, T.StructType]:
-    """Declared schemas of the store's tables, as the plans produce them."""
+    """Declared schemas of the tables, as the plans produce them."""
     landed = T.StructType([*BAR_SCHEMA.fields, T.StructField("ticker", T.StringType())])
     bars = spark.createDataFrame([], landed)
     staged = stage_landed(bars).select(*STAGED_COLUMNS)
@@ -156,17 +165,11 @@ def schemas(spark: SparkSession) -> dict[str, T.StructType]:
     return {SILVER: staged.schema, FACT: fact.schema, SUMMARY: summary.schema, PORTFOLIO: portfolio_performance(fact).schema, REJECTS: landed}
 
 
-def _months(df: DataFrame) -> set[str]:
-    """The distinct months of ``df``'s trade dates: one value per calendar month."""
-    return {r[0] for r in df.select(month_of()).distinct().collect()}
-
-
-def _upserted(store: Store, state: dict, name: str, schema: T.StructType, df: DataFrame, months: set[str]) -> dict[str, str]:
-    """Write the partitions ``months`` of a table with the rows of ``df`` replacing those with the same key."""
+def _upserted(w: Warehouse, name: str, schema: T.StructType, df: DataFrame, months: set[str]) -> Staged:
+    """The months ``months`` of a table with the rows of ``df`` replacing those with the same key."""
     rows = df.where(month_of().isin(sorted(months)))
-    kept = store.read(state, name, schema, months.__contains__).join(rows.select(*KEY), KEY, "left_anti")
-    merged = kept.unionByName(rows.select(*kept.columns))
-    return store.write(name, merged.withColumn(MONTH, month_of()), MONTH, KEY)
+    kept = w.read(name, schema, months).join(rows.select(*KEY), KEY, "left_anti")
+    return w.stage(name, kept.unionByName(rows.select(*kept.columns)), order_of(FACT), by_month=True)
 
 
 def _changed(fresh: DataFrame, stored: DataFrame) -> DataFrame:
@@ -180,70 +183,78 @@ def _changed(fresh: DataFrame, stored: DataFrame) -> DataFrame:
 def refresh_batch(
     spark: SparkSession,
     landed: DataFrame,
-    root: str,
+    database: str,
+    location: str | None = None,
     registry: Mapping[str, str] | DataFrame = TICKERS,
     updated_at=None,
     as_of=None,
     recommendation_col: str = "sma_recommendation",
     batch_id: int | None = None,
 ) -> dict:
-    """Apply one micro-batch of landed bars to the store at ``root``.
+    """Apply one micro-batch of landed bars to the tables of ``database``.
 
-    Bars of tickers that aren't registered go to the table ``rejected_bars``. Two bars
-    with one key fail the batch before anything is stored. Returns what was done:
-    numbers of rejected bars and of rewritten fact months, and whether the batch was
-    applied (False if its ``batch_id`` has been).
+    The database is created (at ``location``) if it doesn't exist; its fact must be
+    partitioned by month. Bars of tickers that aren't registered go to the table
+    ``rejected_bars``. Two bars with one key fail the batch before anything is stored.
+    Returns what was done: numbers of rejected bars and of rewritten fact months, and
+    whether the batch was applied (False if its ``batch_id`` has been).
     """
-    store = Store(spark, root)
-    state = store.manifest()
-    if batch_id is not None and state["batch"] is not None and batch_id <= state["batch"]:
+    w = Warehouse(spark, database, location)
+    if w.exists(FACT) and not w.partitioned(FACT):
+        raise ValueError(f"{w.name(FACT)} isn't partitioned by month")
+    last = w.properties(SILVER).get(BATCH)
+    if batch_id is not None and last is not None and batch_id <= int(last):
         return {"applied": False, "rejected": 0, "fact_months": 0}
     schema = schemas(spark)
-    landed = store.scratch(landed.select(*schema[REJECTS].fieldNames()))
+    with scratch_tables(spark) as keep:
+        return _refresh(w, keep, schema, landed, registry, updated_at, as_of, recommendation_col, batch_id)
+
+
+def _refresh(w: Warehouse, keep, schema, landed, registry, updated_at, as_of, recommendation_col, batch_id) -> dict:
+    landed = keep(landed.select(*schema[REJECTS].fieldNames()))
     rejects = unregistered(landed, registry)
     n_rejects = rejects.count()
-    changes = store.scratch(stage_landed(landed, registry).where(F.col("trade_date").isNotNull()).select(*STAGED_COLUMNS))
+    changes = keep(stage_landed(landed, registry).where(F.col("trade_date").isNotNull()).select(*STAGED_COLUMNS))
     require_unique(changes)
 
-    updates: dict[str, dict[str, str]] = {}
-
-    def pending() -> dict:
-        return {**state, "tables": {**state["tables"], **updates}}
-
-    def put(name: str, folders: dict[str, str]) -> None:
-        updates[name] = {**state["tables"].get(name, {}), **folders}
+    stored_months = w.months(SILVER)
 
     def read(low, high):
-        inside = lambda v: (low is None or v >= str(low)[:7]) and (high is None or v <= str(high)[:7])
-        return store.read(state, SILVER, schema[SILVER], inside)
+        inside = [m for m in stored_months if (low is None or m >= str(low)[:7]) and (high is None or m <= str(high)[:7])]
+        return w.read(SILVER, schema[SILVER], inside)
 
+    updates: list[Staged] = []
     if n_rejects:
-        version = store.write(REJECTS, rejects.select(*schema[REJECTS].fieldNames()))[WHOLE]
-        put(REJECTS, {version: version})
-    stored_months = store.values(state, SILVER)
+        kept = w.read(REJECTS, schema[REJECTS])
+        new = rejects.select(*kept.columns)
+        updates.append(w.stage(REJECTS, kept.exceptAll(new).unionByName(new)))  # delivered again: not twice
     oldest = dt.date.fromisoformat(f"{stored_months[0]}-01") if stored_months else None
-    bars = affected_bars(read, changes, oldest, store.scratch)
+    bars = affected_bars(read, changes, oldest, keep)
     touched: set[str] = set()
     if bars is not None:
-        fresh = store.scratch(_fresh(bars, spark, changes, updated_at))
-        put(SILVER, _upserted(store, state, SILVER, schema[SILVER], changes, _months(changes)))
-        keys = store.scratch(_changed(fresh, store.read(state, FACT, schema[FACT], _months(fresh).__contains__)))
-        touched = _months(keys)
+        fresh = keep(_fresh(bars, w.spark, changes, updated_at))
+        silver = _upserted(w, SILVER, schema[SILVER], changes, months_in(changes))
+        touched = months_in(keep(_changed(fresh, w.read(FACT, schema[FACT], months_in(fresh)))))
+        since = _trailing_start(w.spark, as_of)[:7]
+        current = [m for m in w.months(FACT) if m not in touched]
+        recent = w.read(FACT, schema[FACT], [m for m in current if m >= since])
+        new_days = w.spark.createDataFrame([], schema[PORTFOLIO])
         if touched:
-            put(FACT, _upserted(store, state, FACT, schema[FACT], fresh, touched))
-        new_days = portfolio_performance(
-            store.read(pending(), FACT, schema[FACT], touched.__contains__), recommendation_col=recommendation_col, updated_at=updated_at)
-        other = store.read(state, PORTFOLIO, schema[PORTFOLIO]).where(~month_of().isin(sorted(touched)))
-        updates[PORTFOLIO] = store.write(PORTFOLIO, other.unionByName(new_days).orderBy(F.desc("trade_date")))
+            fact = _upserted(w, FACT, schema[FACT], fresh, touched)
+            rows = fact.read(w.spark)
+            recent = recent.unionByName(rows)
+            new_days = portfolio_performance(rows, recommendation_col=recommendation_col, updated_at=updated_at)
+        other = w.read(PORTFOLIO, schema[PORTFOLIO]).where(~month_of().isin(sorted(touched)))
+        updates.append(w.stage(PORTFOLIO, other.unionByName(new_days), order_of(PORTFOLIO)))
         # an affected ticker's latest bar is among its fresh rows
         latest = latest_values(fresh, recommendation_col)
-        before = store.read(state, SUMMARY, schema[SUMMARY]).select(*LATEST_COLUMNS)
+        before = w.read(SUMMARY, schema[SUMMARY]).select(*LATEST_COLUMNS)
         latest = before.join(latest.select("ticker"), "ticker", "left_anti").unionByName(latest)
-        since = _trailing_start(spark, as_of)
-        recent = store.read(pending(), FACT, schema[FACT], lambda v: v >= since[:7])
-        summary = summary_from_parts(latest, stats_30d(recent, as_of), updated_at)
-        updates[SUMMARY] = store.write(SUMMARY, summary.orderBy("ticker"))
-    store.commit(state, updates, batch_id)
+        updates.append(w.stage(SUMMARY, summary_from_parts(latest, stats_30d(recent, as_of), updated_at), order_of(SUMMARY)))
+        updates += [fact, silver] if touched else [silver]
+    publish_all(w, updates, whole=False)
+    if batch_id is not None and w.exists(SILVER):
+        w.set_properties(SILVER, {BATCH: str(batch_id)})
     return {"applied": True, "rejected": n_rejects, "fact_months": len(touched)}
 
 
@@ -257,8 +268,9 @@ def _trailing_start(spark: SparkSession, as_of) -> str:
 def start_refresh_stream(
     spark: SparkSession,
     landing_root: str,
-    root: str,
+    database: str,
     checkpoint_location: str,
+    location: str | None = None,
     registry: Mapping[str, str] | DataFrame = TICKERS,
     updated_at=None,
     available_now: bool = True,
@@ -274,14 +286,15 @@ def start_refresh_stream(
     """
     schema = T.StructType([*BAR_SCHEMA.fields, T.StructField("ticker", T.StringType())])
     src = spark.readStream.schema(schema).option("basePath", landing_root).option("maxFilesPerTrigger", max_files).parquet(landing_root)
-    writer = src.writeStream.foreachBatch(
-        lambda df, batch_id: refresh_batch(spark, df, root, registry, updated_at, as_of, recommendation_col, batch_id) and None
-    ).option("checkpointLocation", checkpoint_location)
+
+    def apply(df: DataFrame, batch_id: int) -> None:
+        refresh_batch(spark, df, database, location, registry, updated_at, as_of, recommendation_col, batch_id)
+
+    writer = src.writeStream.foreachBatch(apply).option("checkpointLocation", checkpoint_location)
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="1 minute")
     return writer.start()
 
 
-def read_table(spark: SparkSession, root: str, name: str) -> DataFrame:
-    """A table of the store at ``root`` in its current state and published column order."""
-    store = Store(spark, root)
-    return store.read(store.manifest(), name, schemas(spark)[name])
+def read_table(spark: SparkSession, database: str, name: str) -> DataFrame:
+    """A table of ``database`` in its current state and published column order."""
+    return Warehouse(spark, database).read(name, schemas(spark)[name])

@@ -1,17 +1,21 @@
 """Branch coverage of every label and row-count properties."""
 
 import datetime as dt
-import json
 import os
+import uuid
 
 import pytest
 from pyspark.sql import functions as F
 
 from barsmith import catalog
 from barsmith.functions import signals as S
+from barsmith.operators.indicators import technical_indicators
+from barsmith.operators.returns import stock_returns
 from barsmith.plans.daily_fact import daily_performance_fused
 from barsmith.plans.portfolio import portfolio_performance
-from barsmith.plans.refresh import TABLE_PROPERTIES, refresh_marts
+from barsmith.plans.refresh import (
+    FACT_TABLE, INDICATORS_VIEW, MOVING_AVERAGES_VIEW, PORTFOLIO_TABLE, RETURNS_VIEW, STAGING_VIEW, SUMMARY_TABLE, TABLE_PROPERTIES, refresh_marts,
+)
 from barsmith.sources.bars import stage_landed
 from barsmith.sources.fixtures import raw_layer
 from conftest import f2_bars
@@ -69,21 +73,6 @@ def test_fact_row_count_equals_dated_staging_rows(spark, facts):
     assert f1.select("performance_key").distinct().count() == f1.count()
 
 
-def test_refresh_marts_writes_versions_and_properties(spark, tmp_path):
-    root = str(tmp_path / "marts")
-    out = refresh_marts(spark, raw_layer(spark, SF), root, as_of="2001-11-04", updated_at=UPDATED, intermediate=True)
-    fact = out["fct_daily_stock_performance"]
-    assert fact.count() == catalog.fused_fact(spark, SF).count()
-    assert out["dim_stock_summary"].count() == 9
-    assert set(out) == set(TABLE_PROPERTIES)
-    for name in out:
-        versions = os.listdir(os.path.join(root, name))
-        assert len(versions) == 1 and versions[0].startswith("version=")
-        with open(os.path.join(root, name, versions[0], "_properties.json")) as fh:
-            assert json.load(fh) == TABLE_PROPERTIES[name]
-        assert spark.table(name).count() == out[name].count()  # the name points at the new version
-
-
 def test_marts_are_published_in_order(spark):
     marts = {name: catalog.QUERIES[name].build(spark, SF).collect() for name in ("fact_daily", "dim_stock_summary", "fact_portfolio")}
     rows = marts["fact_daily"]
@@ -94,19 +83,31 @@ def test_marts_are_published_in_order(spark):
 
 
 def test_refresh_marts_as_catalog_tables(spark, tmp_path):
-    root = str(tmp_path / "marts")
+    db = f"marts_{uuid.uuid4().hex[:10]}"
     raw = raw_layer(spark, SF)
-    for _ in range(2):  # second refresh swaps the table locations to new versions
-        refresh_marts(spark, raw, root, as_of="2001-11-04", updated_at=UPDATED, publish="table")
-    for name in TABLE_PROPERTIES:
-        if name not in ("fct_daily_stock_performance", "dim_stock_summary", "fct_portfolio_performance"):
-            continue
-        assert spark.table(name).count() > 0
-        assert len(os.listdir(os.path.join(root, name))) == 2
-        props = {r.key: r.value for r in spark.sql(f"SHOW TBLPROPERTIES `{name}`").collect()}
-        assert all(props.get(k) == v for k, v in TABLE_PROPERTIES[name].items())
-        location = spark.sql(f"DESCRIBE TABLE EXTENDED `{name}`").where("col_name = 'Location'").first().data_type
-        assert location.rstrip("/").split("/")[-1].replace("%3D", "=") in os.listdir(os.path.join(root, name))
-    assert spark.table("dim_stock_summary").count() == 9
-    for name in ("fct_daily_stock_performance", "dim_stock_summary", "fct_portfolio_performance"):
-        spark.sql(f"DROP TABLE IF EXISTS `{name}`")
+    for _ in range(2):  # the second refresh points the tables at new folders
+        out = refresh_marts(spark, raw, db, str(tmp_path / "marts"), as_of="2001-11-04", updated_at=UPDATED)
+    assert set(out) == {FACT_TABLE, SUMMARY_TABLE, PORTFOLIO_TABLE} and out[SUMMARY_TABLE].count() == 9
+    for name, properties in TABLE_PROPERTIES.items():
+        assert spark.table(f"{db}.{name}").count() > 0
+        props = {r.key: r.value for r in spark.sql(f"SHOW TBLPROPERTIES {db}.{name}").collect()}
+        assert {k: props.get(k) for k in properties} == properties
+    for name in (SUMMARY_TABLE, PORTFOLIO_TABLE):
+        folders = os.listdir(tmp_path / "marts" / name)
+        location = spark.sql(f"DESCRIBE TABLE EXTENDED {db}.{name}").where("col_name = 'Location'").first().data_type
+        assert len(folders) == 2 and location.rstrip("/").split("/")[-1] in folders
+    assert spark.table(f"{db}.{FACT_TABLE}").count() == catalog.fused_fact(spark, SF).count()
+
+
+def test_views_are_pruned_scans_of_the_current_fact(spark, tmp_path):
+    db = f"views_{uuid.uuid4().hex[:10]}"
+    refresh_marts(spark, raw_layer(spark, SF), db, str(tmp_path / "marts"), as_of="2001-11-04", updated_at=UPDATED)
+    stg = catalog.staged(spark, SF)
+    same = lambda a, b: a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
+    assert same(spark.table(f"{db}.{RETURNS_VIEW}"), stock_returns(stg))
+    assert same(spark.table(f"{db}.{INDICATORS_VIEW}"), technical_indicators(stg))
+    assert same(spark.table(f"{db}.{STAGING_VIEW}"), stg.where("trade_date IS NOT NULL"))
+    plan = spark.table(f"{db}.{MOVING_AVERAGES_VIEW}").select("ticker", "sma_7_day").where("trade_date >= '2000-01-01'")
+    text = plan._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in text and "ReadSchema: struct<ticker:string,trade_date:date,sma_7_day:double>" in text
+    assert "GreaterThanOrEqual(trade_date" in text

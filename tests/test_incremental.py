@@ -1,4 +1,5 @@
 import datetime as dt
+import uuid
 
 import pytest
 from pyspark.sql import functions as F
@@ -14,7 +15,7 @@ from barsmith.plans.refresh import refresh_marts
 from barsmith.streaming.incremental import (
     FACT, PORTFOLIO, REJECTS, SILVER, SUMMARY, affected_bars, incremental_fact, merge_bars, read_table, refresh_batch, start_refresh_stream,
 )
-from barsmith.tables import Store
+from barsmith.warehouse import Warehouse
 from conftest import LANDED_SCHEMA, bar, f2_bars, series_rows, staged_from
 
 UPDATED = dt.datetime(2025, 1, 1)
@@ -69,6 +70,27 @@ def expected_tables(bars, as_of):
     }
 
 
+@pytest.fixture
+def db(spark, tmp_path):
+    """A new catalog database in a folder of its own."""
+    name = f"refresh_{uuid.uuid4().hex[:10]}"
+    Warehouse(spark, name, str(tmp_path / "tables"))
+    yield name
+    spark.sql(f"DROP DATABASE `{name}` CASCADE")
+
+
+def locations(spark, db, name):
+    """Folder by month (or of the whole table) that the catalog points a table at."""
+    w = Warehouse(spark, db)
+    at = lambda part: spark.sql(f"DESCRIBE TABLE EXTENDED {w.name(name)} {part}").where("col_name = 'Location'").first().data_type
+    return {m: at(f"PARTITION (trade_month = '{m}')") for m in w.months(name)} if w.partitioned(name) else {"": at("")}
+
+
+def state(spark, db):
+    w = Warehouse(spark, db)
+    return {n: (locations(spark, db, n), w.properties(n)) for n in (SILVER, FACT, SUMMARY, PORTFOLIO, REJECTS) if w.exists(n)}
+
+
 def assert_store(spark, root, bars, as_of="2025-06-15"):
     # float aggregates differ in the last bits with summation order: compare
     # them at 6 decimals (the oracle's convention), everything else exactly
@@ -85,130 +107,190 @@ def landed(spark, rows):
     return spark.createDataFrame(rows, LANDED_SCHEMA)
 
 
-def test_streaming_refresh_equals_full_build(spark, tmp_path):
-    landing, root, ckpt = (str(tmp_path / x) for x in ("landing", "store", "ckpt"))
+def test_streaming_refresh_equals_full_build(spark, tmp_path, db):
+    landing, ckpt = (str(tmp_path / x) for x in ("landing", "ckpt"))
     bars = f2_bars(spark, tickers=(("AAPL", -1), ("MSFT", 1), ("SPY", 1), ("TSLA", -1)))
     cut = (dt.date(2025, 5, 1) - dt.date(1970, 1, 1)).days * 86_400_000
     bars.where(F.col("T") < cut).write.partitionBy("ticker").parquet(landing)
-    stream = lambda: start_refresh_stream(spark, landing, root, ckpt, updated_at=UPDATED, as_of="2025-06-15").awaitTermination()
+    stream = lambda: start_refresh_stream(spark, landing, db, ckpt, updated_at=UPDATED, as_of="2025-06-15").awaitTermination()
     stream()
     bars.where(F.col("T") >= cut).write.mode("append").partitionBy("ticker").parquet(landing)
     restate = landed(spark, [bar("AAPL", dt.date(2025, 2, 3), 123.45)])
     restate.write.mode("append").partitionBy("ticker").parquet(landing)
     stream()
-    assert_store(spark, root, merge_bars(stage_landed(bars), stage_landed(restate)))
+    assert_store(spark, db, merge_bars(stage_landed(bars), stage_landed(restate)))
 
 
-def test_bars_far_apart_over_two_refreshes(spark, tmp_path):
+def test_bars_far_apart_over_two_refreshes(spark, db):
     """A ticker whose context reaches back over years, refreshed day by day."""
-    root = str(tmp_path / "store")
     old = series_rows("AAPL", list(range(100, 145)), start=dt.date(2020, 1, 1))
     mid = series_rows("AAPL", list(range(140, 190)), start=dt.date(2024, 12, 1))
     young = series_rows("MSFT", list(range(10, 60)), start=dt.date(2024, 12, 1))
     rows = old + mid + young
-    apply(spark, root, landed(spark, rows))
+    apply(spark, db, landed(spark, rows))
     for day, close in ((dt.date(2025, 2, 10), 171), (dt.date(2025, 2, 11), 172)):
         new = [bar("AAPL", day, close), bar("MSFT", day, close)]
-        apply(spark, root, landed(spark, new))
+        apply(spark, db, landed(spark, new))
         rows = rows + new
-    assert_store(spark, root, staged_from(spark, rows))
+    assert_store(spark, db, staged_from(spark, rows))
 
 
-def test_duplicate_keys_fail_and_store_nothing(spark, tmp_path):
-    root = str(tmp_path / "store")
+def test_duplicate_keys_fail_and_store_nothing(spark, db):
     rows = series_rows("AAPL", [10, 11, 12])
-    apply(spark, root, landed(spark, rows))
-    before = Store(spark, root).manifest()
+    apply(spark, db, landed(spark, rows))
+    before = state(spark, db)
     day = dt.date(2025, 1, 9)
     with pytest.raises(ValueError, match="AAPL"):
-        apply(spark, root, landed(spark, [bar("AAPL", day, 300), bar("AAPL", day, 400)]))
-    assert Store(spark, root).manifest() == before
+        apply(spark, db, landed(spark, [bar("AAPL", day, 300), bar("AAPL", day, 400)]))
+    assert state(spark, db) == before
     with pytest.raises(ValueError):
         incremental_fact(staged_from(spark, rows), staged_from(spark, [bar("AAPL", day, 3), bar("AAPL", day, 4)]))
 
 
-def test_unregistered_tickers_are_kept_apart(spark, tmp_path):
-    root = str(tmp_path / "store")
+def test_unregistered_tickers_are_kept_apart(spark, tmp_path, db):
     rows = series_rows("AAPL", [10, 11]) + series_rows("IBM", [5, 6, 7])
-    done = apply(spark, root, landed(spark, rows))
+    done = apply(spark, db, landed(spark, rows))
     assert done["rejected"] == 3
-    assert {r.ticker for r in read_table(spark, root, REJECTS).collect()} == {"IBM"}
-    assert_store(spark, root, staged_from(spark, rows[:2]))
+    apply(spark, db, landed(spark, series_rows("IBM", [7, 8], start=dt.date(2025, 1, 3))))  # one of them again
+    assert [r.T for r in read_table(spark, db, REJECTS).where("ticker = 'IBM'").orderBy("T").collect()] == [r[0] for r in series_rows("IBM", [1, 2, 3, 4])]
+    assert_store(spark, db, staged_from(spark, rows[:2]))
     # the registry can be a table
     names = spark.createDataFrame([("IBM", "International Business Machines")], "ticker string, company_name string")
-    assert apply(spark, str(tmp_path / "other"), landed(spark, rows), registry=names)["rejected"] == 2
+    assert apply(spark, f"{db}_other", landed(spark, rows), location=str(tmp_path / "other"), registry=names)["rejected"] == 2
 
 
 def test_file_system_errors_are_raised(spark):
     with pytest.raises(Exception, match="(?i)filesystem|scheme"):
         path_exists(spark, "nosuchscheme://bucket/table")
     with pytest.raises(Exception, match="(?i)filesystem|scheme"):
-        apply(spark, "nosuchscheme://bucket/store", landed(spark, series_rows("AAPL", [1])))
+        apply(spark, "nowhere", landed(spark, series_rows("AAPL", [1])), location="nosuchscheme://bucket/store")
 
 
-def test_a_failure_anywhere_changes_nothing_and_a_retry_completes(spark, tmp_path, monkeypatch):
-    root = str(tmp_path / "store")
+def test_a_failure_anywhere_keeps_the_tables_readable_and_a_retry_completes(spark, db, monkeypatch):
+    """A refresh fails at steps before, between and after the switches: nothing changes before
+    the first, and after any of them the tables can be read and a redelivery is applied in full."""
     first = series_rows("AAPL", list(range(100, 140))) + series_rows("SPY", list(range(50, 90)))
     second = [bar("AAPL", dt.date(2025, 1, 20), 7), bar("SPY", dt.date(2025, 3, 3), 9), bar("IBM", dt.date(2025, 3, 3), 9)]
-    apply(spark, root, landed(spark, first), batch_id=0)
-    state = Store(spark, root).manifest()
-    real = {n: getattr(Store, n) for n in ("write", "scratch", "commit")}
-    failed, at = 0, 0
-    while True:
-        at += 1
-        calls = {"n": 0}
-
-        def failing(name):
-            def call(self, *a, **kw):
-                calls["n"] += 1
-                if calls["n"] == at:
-                    raise OSError("lost")
-                return real[name](self, *a, **kw)
-            return call
-
-        for n in real:
-            monkeypatch.setattr(Store, n, failing(n))
+    apply(spark, db, landed(spark, first), batch_id=0)
+    before = state(spark, db)
+    want = merge_bars(staged_from(spark, first), staged_from(spark, second[:2]))
+    real_stage, real_sql = Warehouse.stage, type(spark).sql
+    early = late = 0
+    for at in (1, 5, 6, 9, 12, 14, 999):  # 5 tables are written, then switched
+        counted = {"steps": 0, "switches": 0}
+
+        def step(switch):
+            counted["steps"] += 1
+            if counted["steps"] == at:
+                raise OSError("lost")
+            counted["switches"] += switch
+
+        def stage(self, *a, **kw):
+            step(0)
+            return real_stage(self, *a, **kw)
+
+        def sql(self, query, *a, **kw):
+            if query.startswith(("ALTER TABLE", "CREATE TABLE")):
+                step(1)
+            return real_sql(self, query, *a, **kw)
+
+        monkeypatch.setattr(type(spark), "sql", sql)
+        monkeypatch.setattr(Warehouse, "stage", stage)
         try:
-            apply(spark, root, landed(spark, second), batch_id=1)
-            break
+            apply(spark, db, landed(spark, second), batch_id=1)
         except OSError:
-            failed += 1
-            assert Store(spark, root).manifest() == state
+            monkeypatch.undo()
+            early, late = early + (counted["switches"] == 0), late + (counted["switches"] > 0)
+            if counted["switches"] == 0:
+                assert state(spark, db) == before
+            for n in (FACT, SILVER, SUMMARY, PORTFOLIO):
+                assert read_table(spark, db, n).count() > 0
         finally:
             monkeypatch.undo()
-    assert failed >= 8
-    after = Store(spark, root).manifest()
-    assert apply(spark, root, landed(spark, second), batch_id=1) == {"applied": False, "rejected": 0, "fact_months": 0}
-    assert Store(spark, root).manifest() == after
-    assert_store(spark, root, merge_bars(staged_from(spark, first), staged_from(spark, second[:2])))
+    assert early == 3 and late == 3
+    after = state(spark, db)
+    assert apply(spark, db, landed(spark, second), batch_id=1) == {"applied": False, "rejected": 0, "fact_months": 0}
+    assert state(spark, db) == after
+    assert_store(spark, db, want)
+    assert read_table(spark, db, REJECTS).count() == 1
 
 
-def test_only_changed_months_are_written_and_vacuum_keeps_the_current(spark, tmp_path):
-    root = str(tmp_path / "store")
+def test_only_changed_months_are_switched(spark, db):
     rows = series_rows("AAPL", list(range(100, 500)), start=dt.date(2023, 1, 1)) + series_rows("SPY", list(range(50, 450)), start=dt.date(2023, 1, 1))
-    apply(spark, root, landed(spark, rows))
-    store = Store(spark, root)
-    before = store.manifest()["tables"]
+    apply(spark, db, landed(spark, rows))
+    before = {n: locations(spark, db, n) for n in (FACT, SILVER)}
     restated = [bar("AAPL", dt.date(2023, 3, 15), 7)]
-    done = apply(spark, root, landed(spark, restated))
-    after = store.manifest()["tables"]
+    done = apply(spark, db, landed(spark, restated))
+    after = {n: locations(spark, db, n) for n in (FACT, SILVER)}
     changed = {m for m in after[FACT] if after[FACT][m] != before[FACT].get(m)}
     assert len(changed) == done["fact_months"] and min(changed) == "2023-03" and max(changed) <= "2023-07"
     assert {m for m in after[SILVER] if after[SILVER][m] != before[SILVER].get(m)} == {"2023-03"}
-    store.vacuum(keep=1)
-    assert_store(spark, root, merge_bars(staged_from(spark, rows), staged_from(spark, restated)))
-    with pytest.raises(RuntimeError, match="another refresh"):
-        store.commit({**store.manifest(), "number": store.manifest()["number"] - 1}, {})
+    assert_store(spark, db, merge_bars(staged_from(spark, rows), staged_from(spark, restated)))
 
 
-def test_incremental_refresh_continues_a_full_one(spark, tmp_path):
-    root = str(tmp_path / "store")
+def test_incremental_refresh_continues_a_full_one_by_the_catalog(spark, db):
     rows = series_rows("AAPL", list(range(100, 200))) + series_rows("QQQ", list(range(60, 160)))
-    refresh_marts(spark, staged_from(spark, rows), root, as_of="2025-06-15", updated_at=UPDATED)
-    assert_store(spark, root, staged_from(spark, rows))
+    refresh_marts(spark, staged_from(spark, rows), db, as_of="2025-06-15", updated_at=UPDATED)
+    assert_store(spark, db, staged_from(spark, rows))
+    assert spark.table(f"{db}.{FACT}").count() == 200
     new = [bar("AAPL", dt.date(2025, 4, 20), 5), bar("AAPL", dt.date(2025, 1, 5), 6)]
-    apply(spark, root, landed(spark, new))
-    assert_store(spark, root, merge_bars(staged_from(spark, rows), staged_from(spark, new)))
+    apply(spark, db, landed(spark, new))
+    assert_store(spark, db, merge_bars(staged_from(spark, rows), staged_from(spark, new)))
+    assert spark.table(f"{db}.{FACT}").count() == 201 and spark.table(f"{db}.int_stock_returns").count() == 201
+    # a full refresh over less history replaces all months
+    refresh_marts(spark, staged_from(spark, rows[:40]), db, as_of="2025-06-15", updated_at=UPDATED)
+    assert_store(spark, db, staged_from(spark, rows[:40]))
+
+
+def test_full_refresh_that_fails_leaves_the_old_tables(spark, db, monkeypatch):
+    from barsmith.plans import refresh
+
+    rows = series_rows("AAPL", list(range(100, 150))) + series_rows("MSFT", list(range(60, 110)))
+    refresh_marts(spark, staged_from(spark, rows), db, as_of="2025-06-15", updated_at=UPDATED, ordered=True)
+    before = state(spark, db)
+    monkeypatch.setattr(refresh, "publish_all", lambda *a, **kw: (_ for _ in ()).throw(OSError("lost")))
+    with pytest.raises(OSError):
+        refresh_marts(spark, staged_from(spark, rows[:70]), db, as_of="2025-06-15", updated_at=UPDATED, ordered=True)
+    assert state(spark, db) == before
+    assert_store(spark, db, staged_from(spark, rows))
+    monkeypatch.undo()
+    with pytest.raises(ValueError, match="ordered=True"):
+        refresh_marts(spark, staged_from(spark, rows), db)
+    with pytest.raises(ValueError, match="partitioned by month"):
+        apply(spark, db, landed(spark, rows))
+
+
+def test_files_of_the_fact_hold_disjoint_ranges_in_published_order(spark, db, tmp_path):
+    import glob
+
+    import pyarrow.parquet as pq
+
+    tickers = ["AAPL", "MSFT", "AMZN", "GOOGL", "META", "NVDA", "QQQ", "SPY", "TSLA"]
+    rows = [r for k, t in enumerate(tickers) for r in series_rows(t, [100 + (i * 7 + k) % 50 for i in range(300)])]
+    key = lambda ticker, day: (ticker, -day.toordinal())
+
+    def ordered_files(folder):
+        files = sorted(glob.glob(f"{folder}/*.parquet"))
+        ranges = []
+        for f in files:
+            t = pq.read_table(f, columns=["ticker", "trade_date"])
+            keys = [key(a, b) for a, b in zip(t.column(0).to_pylist(), t.column(1).to_pylist())]
+            assert keys == sorted(keys)
+            ranges.append((keys[0], keys[-1]))
+        assert all(a[1] < b[0] for a, b in zip(ranges, ranges[1:]))  # in the order of their names
+        return len(files)
+
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        refresh_marts(spark, staged_from(spark, rows), db, as_of="2025-06-15", updated_at=UPDATED, ordered=True)
+        months = f"{db}_months"
+        refresh_marts(spark, staged_from(spark, rows), months, str(tmp_path / "months"), as_of="2025-06-15", updated_at=UPDATED)
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    strip = lambda x: x.removeprefix("file:").replace("%3D", "=")
+    assert ordered_files(strip(locations(spark, db, FACT)[""])) > 1
+    by_month = locations(spark, months, FACT)
+    assert len(by_month) == 10 and sum(ordered_files(strip(at)) for at in by_month.values()) > 10
 
 
 def test_stored_bars_are_cut_to_changed_tickers_before_the_shuffle(spark):

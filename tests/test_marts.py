@@ -7,7 +7,7 @@ from barsmith.catalog import stabilize
 from barsmith.functions import signals as S
 from barsmith.plans.daily_fact import daily_performance_fused
 from barsmith.plans.portfolio import portfolio_performance
-from barsmith.plans.summary import stock_summary
+from barsmith.plans.summary import latest_per_ticker, stock_summary
 from barsmith.sources.bars import stage_landed
 from barsmith.sources.schema import PORTFOLIO_COLUMNS, SUMMARY_COLUMNS
 from conftest import bar, f2_bars, series_rows, staged_from
@@ -109,3 +109,21 @@ def test_portfolio_with_custom_benchmarks(spark):
     # bits, so the order-sensitive columns are compared at 6 decimals
     joined = portfolio_performance(f, benchmarks=("SPY",), updated_at=UPDATED, keys_unique=False)
     same(stabilize(one), stabilize(joined))
+    table = spark.createDataFrame([("SPY",), (None,), ("SPY",)], "ticker string")
+    assert one.columns == portfolio_performance(f, benchmarks=table, updated_at=UPDATED).columns
+    same(stabilize(one), stabilize(portfolio_performance(f, benchmarks=table, updated_at=UPDATED)))
+
+
+def test_latest_rows_keep_ties(spark):
+    rows = [("AAPL", dt.date(2025, 1, d), float(d * 10 + k)) for d in (1, 2, 3) for k in (0, 1)] + [("MSFT", dt.date(2024, 1, 1), 5.0), ("MSFT", None, 6.0), ("X", None, 7.0)]
+    fact = spark.createDataFrame(rows, "ticker string, trade_date date, close_price double").selectExpr(
+        "*", "'n' AS company_name", "1.0D AS volume", "'HOLD' AS sma_recommendation", "'NEUTRAL' AS trend_signal")
+    got = sorted((r.ticker, r.latest_trade_date.day, r.current_price) for r in latest_per_ticker(fact).collect())
+    assert got == [("AAPL", 3, 30.0), ("AAPL", 3, 31.0), ("MSFT", 1, 5.0)]
+
+
+def test_missing_benchmark_day_in_the_join_form(spark):
+    rows = series_rows("AAPL", [100, 102, 101]) + series_rows("SPY", [10, 11], start=dt.date(2025, 1, 2))
+    p = {r.trade_date.day: r for r in portfolio_performance(fact(spark, rows), updated_at=UPDATED, keys_unique=False).collect()}
+    assert p[1].spy_return_pct is None and p[1].alpha_vs_spy is None and p[3].spy_return_pct == pytest.approx(10.0)
+    assert p[3].qqq_return_pct is None and set(p) == {1, 2, 3}

@@ -7,7 +7,7 @@ from barsmith.operators.moving_averages import moving_averages
 from barsmith.operators.returns import stock_returns
 from barsmith.plans.daily_fact import daily_performance, daily_performance_fused
 from barsmith.plans.portfolio import portfolio_performance
-from barsmith.plans.summary import stock_summary
+from barsmith.plans.summary import latest_per_ticker, stock_summary
 from barsmith.sources.bars import stage_landed
 from conftest import f2_bars
 
@@ -59,3 +59,12 @@ def test_summary_prunes_the_series_pass_down_to_its_columns(spark, tmp_path):
     assert {"T", "C", "V"} <= fields and not fields & {"O", "H", "L", "VW", "N"}
     # ... and no MACD / Bollinger / RSI window is computed
     assert "_macd_line" not in p and "_bb_sd" not in p and "_gain" not in p
+
+
+def test_latest_rows_and_benchmarks_take_one_scan_and_one_join(spark):
+    f = daily_performance_fused(stage_landed(f2_bars(spark, tickers=(("AAPL", -1), ("SPY", 1), ("QQQ", 1)))), updated_at=dt.datetime(2025, 1, 1))
+    p = plan(latest_per_ticker(f))
+    assert "Join" not in p and p.count("WindowGroupLimit") >= 1
+    # joined once, and only broadcast when its size is known (no hint)
+    p = plan(portfolio_performance(f, keys_unique=False))
+    assert p.count("SortMergeJoin") + p.count("BroadcastHashJoin") == 1

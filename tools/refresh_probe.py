@@ -67,9 +67,9 @@ def main(argv):
             (F.lit(10) + h % 90).cast("bigint").alias("num_transactions"),
         ).select(*STAGED_COLUMNS)
 
-    root = os.path.join(run, "store")
+    database = "refresh_probe"
     t = time.perf_counter()
-    refresh_marts(spark, bars(0, n_days), root)
+    refresh_marts(spark, bars(0, n_days), database, os.path.join(run, "tables"))
     setup = time.perf_counter() - t
 
     names = {"trade_date": None, "open_price": "O", "high_price": "H", "low_price": "L", "close_price": "C", "volume": "V", "vwap": "VW", "num_transactions": "N"}
@@ -78,14 +78,14 @@ def main(argv):
     landed = new_day.select((epoch_day * 86_400_000).alias("T"), *[F.col(k).alias(v) for k, v in names.items() if v], "ticker")
     registry = new_day.select("ticker", "company_name")
     t = time.perf_counter()
-    done = refresh_batch(spark, landed, root, registry=registry)
+    done = refresh_batch(spark, landed, database, registry=registry)
     incremental = time.perf_counter() - t
 
     t = time.perf_counter()
-    daily_performance_fused(read_table(spark, root, SILVER)).write.format("noop").mode("overwrite").save()
+    daily_performance_fused(read_table(spark, database, SILVER)).write.format("noop").mode("overwrite").save()
     full = time.perf_counter() - t
 
-    stored = read_table(spark, root, FACT)
+    stored = read_table(spark, database, FACT)
     print(json.dumps({
         "tickers": n_tickers, "history_days": n_days, "history_bars": n_tickers * n_days,
         "setup_sec": round(setup, 1), "incremental_refresh_sec": round(incremental, 1),
