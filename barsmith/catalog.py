@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 from barsmith import oracle as O
 from barsmith.functions.numeric import stable
 from barsmith.functions.windows import previous, series
+from barsmith.operators.blocks import daily_performance_blocked
 from barsmith.operators.indicators import (
     bollinger, gain_loss, macd, rsi, technical_indicators, technical_indicators_joined,
 )
@@ -73,6 +74,10 @@ def fused_fact(spark: SparkSession, sf_dir: str) -> DataFrame:
     return daily_performance_fused(staged(spark, sf_dir), updated_at=updated_at())
 
 
+def blocked_fact(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return daily_performance_blocked(staged(spark, sf_dir), updated_at=updated_at(), block_rows=512, span_days=365)
+
+
 def joined_fact(spark: SparkSession, sf_dir: str) -> DataFrame:
     stg = staged(spark, sf_dir)
     ret = stock_returns(stg)
@@ -334,6 +339,7 @@ def _build_queries() -> dict[str, Query]:
     jf = K + ["close_price", "sma_30_day", "rsi_14_day", "macd_signal", "bollinger_position"]
     add("join_fact_left", lambda s, d: joined_fact(s, d).select(*jf), jf, _fact_sql(jf))
     add("fact_daily_fused", lambda s, d: stabilize(fused_fact(s, d)), FACT_COLUMNS, _fact_sql(FACT_COLUMNS))
+    add("fact_daily_blocked", lambda s, d: stabilize(blocked_fact(s, d)), FACT_COLUMNS, _fact_sql(FACT_COLUMNS))
     for name, cols in {
         "signal_trend": K + ["trend_signal"],
         "signal_sma_recommendation": K + ["sma_recommendation"],

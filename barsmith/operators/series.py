@@ -18,14 +18,15 @@ frames. Semantics kept exactly:
   and only adds one sort inside each partition;
 * duplicate (ticker, trade_date) keys fail the job (checked on the same window).
 
-Per-partition size is bounded by the calendar: with unique (ticker, trade_date)
-a ticker holds at most one bar per day (~250 a year), so no ticker can make one
-window task unboundedly large; width comes from hashing many tickers.
+A ticker is one task here: with unique (ticker, trade_date) it holds at most one bar a
+day (~250 a year) and width comes from hashing many tickers. Where few long series hold
+most of the bars, ``operators.blocks`` computes the same rows with a ticker spread over
+tasks.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, WindowSpec
 from pyspark.sql import functions as F
 
 from barsmith.functions import signals as S
@@ -57,17 +58,35 @@ def series_pass(
     """
     c = F.col
     w = series()
+    keep = [*STAGED_COLUMNS, *carry]
+    lags = [previous("close_price", w).alias("_prev_close"), previous("trade_date", w).alias("_prev_date")]
+    pre = price_levels(valid_dates(stg), w, keep, lags, check_keys, fact)
+
+    # levels 5-6: RSI means over the bars that have a previous close (running
+    # totals, then their lag). Partitioned by (ticker, _has_prev): the ticker
+    # exchange still satisfies it, so this costs one in-partition sort and no
+    # shuffle. Placed last so that the four levels above share a single sort.
+    means = rsi_means(pre, series(["ticker", "_has_prev"]))
+    return labelled(means.select(*[c(x) for x in means.columns if x not in ("_gain", "_loss")]), fact, updated_at)
+
+
+def price_levels(df: DataFrame, w: WindowSpec, keep: list[str], lags: list[Column], check_keys: bool = True, fact: bool = False) -> DataFrame:
+    """Window levels 1-4: everything but the RSI, over the series of ``w``.
+
+    ``lags`` are the columns ``_prev_close`` and ``_prev_date``, as expressions over ``w``
+    or columns of ``df``. Output: ``keep``, the returns, moving averages, MACD and Bollinger
+    columns (with ``fact`` their signals), ``_has_prev``, ``_gain`` and ``_loss``.
+    """
+    c = F.col
     close = c("close_price")
-    staged = [c(x) for x in (*STAGED_COLUMNS, *carry)]
 
     # level 1: lags, running totals of the close, and the float/stddev frames
     # (one exchange + one sort for everything below)
     ma = moving_average_columns(w)
     close_total, close_count = running_totals(close, w)
-    lvl1 = valid_dates(stg).select(
-        *staged,
-        previous(close, w).alias("_prev_close"),
-        previous("trade_date", w).alias("_prev_date"),
+    lvl1 = df.select(
+        *[c(x) for x in keep],
+        *lags,
         close_total.alias("_close_total"),
         close_count.alias("_close_count"),
         ma["avg_volume_7_day"].alias("avg_volume_7_day"),
@@ -121,39 +140,40 @@ def series_pass(
         S.bollinger_width_pct(mid, sd), S.bollinger_percent_b(close, mid, sd), S.bollinger_position(close, mid, sd),
     )
     pre = lvl3.select(
-        *[c(x) for x in (*STAGED_COLUMNS, *carry)],
+        *[c(x) for x in keep],
         "daily_return_pct",
         *[v.alias(k) for k, v in intraday_columns().items()],
         *[c(x) for x in MA_OUTPUTS],
         has_prev, "_gain", "_loss",
         *[F.when(has_prev, v).alias(k) for k, v in macd_bb.items()],
     )
-    if fact:
-        pre = pre.select("*", *[v.alias(k) for k, v in early_signal_columns().items()])
+    return pre.select("*", *[v.alias(k) for k, v in early_signal_columns().items()]) if fact else pre
 
-    # levels 5-6: RSI means over the bars that have a previous close (running
-    # totals, then their lag). Partitioned by (ticker, _has_prev): the ticker
-    # exchange still satisfies it, so this costs one in-partition sort and no
-    # shuffle. Placed last so that the four levels above share a single sort.
-    wk = series(["ticker", "_has_prev"])
-    gain_total, gain_count = running_totals("_gain", wk)
-    loss_total, loss_count = running_totals("_loss", wk)
-    lvl4 = pre.select(
+
+def rsi_means(df: DataFrame, w: WindowSpec) -> DataFrame:
+    """``df`` with ``_avg_gain`` and ``_avg_loss`` over the last bars of ``w``, from running totals."""
+    gain_total, gain_count = running_totals("_gain", w)
+    loss_total, loss_count = running_totals("_loss", w)
+    totals = df.select(
         "*", gain_total.alias("_gain_total"), gain_count.alias("_gain_count"),
         loss_total.alias("_loss_total"), loss_count.alias("_loss_count"),
     )
-    lvl4 = lvl4.select(
-        "*",
-        mean_from_totals("_gain_total", "_gain_count", RSI_WINDOW, wk).alias("_avg_gain"),
-        mean_from_totals("_loss_total", "_loss_count", RSI_WINDOW, wk).alias("_avg_loss"),
+    return totals.select(
+        *df.columns,
+        mean_from_totals("_gain_total", "_gain_count", RSI_WINDOW, w).alias("_avg_gain"),
+        mean_from_totals("_loss_total", "_loss_count", RSI_WINDOW, w).alias("_avg_loss"),
     )
+
+
+def labelled(df: DataFrame, fact: bool = False, updated_at=None) -> DataFrame:
+    """The RSI columns and, from all labels, the combined signal (with ``fact`` the fact's signals)."""
+    c = F.col
+    has_prev = c("_has_prev")
     rsi = indicator_values(S.rsi_value(c("_avg_gain"), c("_avg_loss")), S.rsi_label(c("_avg_gain"), c("_avg_loss")))
-    labeled = lvl4.select(
-        *[c(x) for x in lvl4.columns if not x.startswith(("_gain", "_loss", "_avg_"))],
+    with_rsi = df.select(
+        *[c(x) for x in df.columns if x not in ("_avg_gain", "_avg_loss")],
         *[F.when(has_prev, v).alias(k) for k, v in rsi.items()],
     )
     # combined signal and score over the label columns (no CASE tree embedded twice)
-    out = labeled.select("*", *[F.when(has_prev, v).alias(k) for k, v in combined_columns().items()])
-    if fact:
-        out = out.select("*", *[v.alias(k) for k, v in late_signal_columns(updated_at).items()])
-    return out
+    out = with_rsi.select("*", *[F.when(has_prev, v).alias(k) for k, v in combined_columns().items()])
+    return out.select("*", *[v.alias(k) for k, v in late_signal_columns(updated_at).items()]) if fact else out
