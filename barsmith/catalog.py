@@ -25,6 +25,7 @@ from barsmith.operators.indicators import (
 )
 from barsmith.operators.moving_averages import avg_volume, moving_averages, sma, volatility
 from barsmith.operators.returns import stock_returns, valid_dates
+from barsmith.plans import bucketed
 from barsmith.plans.daily_fact import daily_performance, daily_performance_fused
 from barsmith.plans.refresh import (
     FACT_TABLE, INDICATORS_VIEW, MOVING_AVERAGES_VIEW, PORTFOLIO_TABLE, RETURNS_VIEW, STAGING_VIEW, SUMMARY_TABLE, TABLE_PROPERTIES, published,
@@ -39,6 +40,7 @@ from barsmith.sources.schema import (
     BAR_SCHEMA, FACT_COLUMNS, INDICATOR_COLUMNS, MOVING_AVERAGE_COLUMNS, RETURNS_COLUMNS, STAGED_COLUMNS,
     SUMMARY_COLUMNS,
 )
+from barsmith.warehouse import Warehouse
 
 Builder = Callable[[SparkSession, str], DataFrame]
 
@@ -142,6 +144,16 @@ def _database(spark, kind) -> tuple[str, str]:
     return f"barsmith_{kind}_{run}", f"{shared_dir(spark)}/barsmith-{kind}/{run}"
 
 
+def _bucketed_indicators(spark, sf_dir):
+    w = Warehouse(spark, *_database(spark, "buckets"))
+    return bucketed.joined_indicators(w, bucketed.bucketed_bars(w, staged(spark, sf_dir)))
+
+
+def _bucketed_fact(spark, sf_dir):
+    w = Warehouse(spark, *_database(spark, "buckets"))
+    return bucketed.joined_fact(w, bucketed.bucketed_bars(w, staged(spark, sf_dir)), updated_at=updated_at())
+
+
 def _stream_refresh(spark, sf_dir):
     from barsmith.streaming.incremental import read_table, start_refresh_stream
 
@@ -328,8 +340,7 @@ def _build_queries() -> dict[str, Query]:
 
     ti = lambda s, d: technical_indicators(staged(s, d))
     add("technical_indicators", ti, INDICATOR_COLUMNS, _sql(O.TI, "ti", INDICATOR_COLUMNS))
-    add("join_indicators_inner", lambda s, d: technical_indicators_joined(staged(s, d)), INDICATOR_COLUMNS,
-        _sql(O.TI, "ti", INDICATOR_COLUMNS))
+    add("join_indicators_inner", _bucketed_indicators, INDICATOR_COLUMNS, _sql(O.TI, "ti", INDICATOR_COLUMNS))
     cs = K + ["combined_signal"]
     add("signal_combined", _cols(ti, cs), cs, _sql(O.TI, "ti", cs))
     ss = K + ["signal_strength_score"]
@@ -337,7 +348,7 @@ def _build_queries() -> dict[str, Query]:
 
     add("fact_daily", lambda s, d: published(FACT_TABLE, stabilize(joined_fact(s, d))), FACT_COLUMNS, _fact_sql(FACT_COLUMNS))
     jf = K + ["close_price", "sma_30_day", "rsi_14_day", "macd_signal", "bollinger_position"]
-    add("join_fact_left", lambda s, d: joined_fact(s, d).select(*jf), jf, _fact_sql(jf))
+    add("join_fact_left", lambda s, d: _bucketed_fact(s, d).select(*jf), jf, _fact_sql(jf))
     add("fact_daily_fused", lambda s, d: stabilize(fused_fact(s, d)), FACT_COLUMNS, _fact_sql(FACT_COLUMNS))
     add("fact_daily_blocked", lambda s, d: stabilize(blocked_fact(s, d)), FACT_COLUMNS, _fact_sql(FACT_COLUMNS))
     for name, cols in {

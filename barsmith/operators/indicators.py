@@ -169,9 +169,14 @@ def technical_indicators(stg: DataFrame, check_keys: bool = True) -> DataFrame:
 
 def technical_indicators_joined(stg: DataFrame) -> DataFrame:
     """RSI x MACD x Bollinger, inner-joined on (ticker, trade_date): 18 columns."""
-    r = rsi(stg).select(*KEY, "close_price", "rsi_14", "rsi_signal")
-    m = macd(stg).select(*KEY, "macd_line", "macd_signal_line", "macd_histogram", "macd_signal", "macd_crossover")
-    b = bollinger(stg).select(*KEY, "bb_upper", "bb_middle", "bb_lower", "bb_width_pct", "bb_percent_b", "bb_position")
+    return indicators_from_parts(rsi(stg), macd(stg), bollinger(stg))
+
+
+def indicators_from_parts(rsi_rows: DataFrame, macd_rows: DataFrame, bollinger_rows: DataFrame) -> DataFrame:
+    """The inner join of the three indicators' rows, with the combined signal and score."""
+    r = rsi_rows.select(*KEY, "close_price", "rsi_14", "rsi_signal")
+    m = macd_rows.select(*KEY, "macd_line", "macd_signal_line", "macd_histogram", "macd_signal", "macd_crossover")
+    b = bollinger_rows.select(*KEY, "bb_upper", "bb_middle", "bb_lower", "bb_width_pct", "bb_percent_b", "bb_position")
     joined = r.join(m, KEY, "inner").join(b, KEY, "inner")
     c = F.col
     values = indicator_values(

@@ -1,14 +1,17 @@
 """Physical-plan shape: shuffles, joins and partial aggregation."""
 
 import datetime as dt
+import uuid
 
-from barsmith.operators.indicators import technical_indicators_joined
+from barsmith.operators.indicators import technical_indicators, technical_indicators_joined
 from barsmith.operators.moving_averages import moving_averages
 from barsmith.operators.returns import stock_returns
+from barsmith.plans import bucketed
 from barsmith.plans.daily_fact import daily_performance, daily_performance_fused
 from barsmith.plans.portfolio import portfolio_performance
 from barsmith.plans.summary import latest_per_ticker, stock_summary
 from barsmith.sources.bars import stage_landed
+from barsmith.warehouse import Warehouse
 from conftest import f2_bars
 
 
@@ -61,6 +64,28 @@ def test_summary_prunes_the_series_pass_down_to_its_columns(spark, tmp_path):
     assert "_macd_line" not in p and "_bb_sd" not in p and "_gain" not in p
 
 
+def test_bucketed_joins_need_no_exchange(spark, tmp_path):
+    stg = stage_landed(f2_bars(spark, tickers=(("AAPL", -1), ("MSFT", 1), ("SPY", 1))))
+    name = f"buckets_{uuid.uuid4().hex[:10]}"
+    w = Warehouse(spark, name, str(tmp_path / "tables"))
+    bars = bucketed.bucketed_bars(w, stg, 4)
+    p = plan(technical_indicators(bars))  # windows by ticker read the buckets as they are
+    assert "Exchange" not in p and "Bucketed: true" in p
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        indicators, fact = bucketed.joined_indicators(w, bars, 4), bucketed.joined_fact(w, bars, 4, dt.datetime(2025, 1, 1))
+        for df, joins in ((indicators, 2), (fact, 2)):
+            p = plan(df)
+            assert "Exchange" not in p and p.count("SortMergeJoin") == joins
+        want = technical_indicators(stg)
+        assert indicators.exceptAll(want).count() == 0 and want.exceptAll(indicators).count() == 0
+        lazy = daily_performance(stock_returns(stg), moving_averages(stock_returns(stg)), technical_indicators_joined(stg), dt.datetime(2025, 1, 1))
+        assert fact.exceptAll(lazy).count() == 0 and lazy.exceptAll(fact).count() == 0
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+
+
 def test_latest_rows_and_benchmarks_take_one_scan_and_one_join(spark):
     f = daily_performance_fused(stage_landed(f2_bars(spark, tickers=(("AAPL", -1), ("SPY", 1), ("QQQ", 1)))), updated_at=dt.datetime(2025, 1, 1))
     p = plan(latest_per_ticker(f))
