@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from barsmith.session import shared_dir
 
 BATCH_ROWS = 2000
+BATCH_BYTES = 16 << 20
 ASCII_SPACE = b" \t\n\x0b\x0c\r"
 
 
@@ -30,14 +31,17 @@ def text_bytes(col: str | Column = "text") -> Column:
 
 
 def small_batches(df: DataFrame) -> DataFrame:
-    """``df``, with texts handed to Python in batches of at most ``BATCH_ROWS`` rows.
+    """``df``, with rows handed to Python in batches of at most ``BATCH_ROWS`` rows and about
+    ``BATCH_BYTES`` bytes (a single longer row is a batch of its own).
 
-    Only lowers the session's setting; a batch of long texts must fit a worker's memory.
+    Only lowers the session's settings.
     """
-    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
-    now = int(df.sparkSession.conf.get(name))
+    conf = df.sparkSession.conf
+    now = int(conf.get("spark.sql.execution.arrow.maxRecordsPerBatch"))
     if now <= 0 or now > BATCH_ROWS:
-        df.sparkSession.conf.set(name, str(BATCH_ROWS))
+        conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
+    if not str(conf.get("spark.sql.execution.arrow.maxBytesPerBatch", "") or "").isdigit():
+        conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
     return df
 
 
