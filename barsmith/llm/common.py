@@ -34,13 +34,13 @@ def small_batches(df: DataFrame) -> DataFrame:
     """``df``, with rows handed to Python in batches of at most ``BATCH_ROWS`` rows and about
     ``BATCH_BYTES`` bytes (a single longer row is a batch of its own).
 
-    Only lowers the session's settings.
+    Lowers the session's settings; a bound in bytes that is set stays as it is.
     """
     conf = df.sparkSession.conf
     now = int(conf.get("spark.sql.execution.arrow.maxRecordsPerBatch"))
     if now <= 0 or now > BATCH_ROWS:
         conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
-    if not str(conf.get("spark.sql.execution.arrow.maxBytesPerBatch", "") or "").isdigit():
+    if conf.get("spark.sql.execution.arrow.maxBytesPerBatch", None) is None:
         conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
     return df
 
