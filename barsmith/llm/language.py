@@ -7,19 +7,23 @@ the training text. A Viterbi pass over the words with a penalty for each switch
 of language labels spans; the document's language is the one whose spans hold the
 most bytes of words with letters, its score that share (0 to 1).
 
-The model is fitted on at most about ``SAMPLE_ROWS`` labelled rows, chosen by a
-hash of ``doc_id``; it reads nothing of a text but the text itself when it
-predicts.
-
-Edge cases: null texts and texts without a letter get ``und`` with score 0. Null
-labels aren't learned from. Without any labelled row everything is ``und``. Ties
-between languages go to the smaller label by code point. Rows are judged one by
-one, so repeated rows agree; other columns are untouched. Texts of any length are
-scored whole.
+The model is fitted on at most about ``LANGUAGE_ROWS`` labelled rows of each
+language, chosen by a hash of ``doc_id``; it reads nothing of a text but the text
+itself when it predicts.
+
+Edge cases: null texts and texts without a letter get ``und`` with score 0. Texts
+whose letters all belong to scripts that no learned language uses get the first
+label with score 0. Null labels aren't learned from; rows without a ``doc_id`` are
+sampled by their place in the table. Without any labelled row everything is ``und``.
+Ties between languages go to the smaller label by code point. Blanks lie between the
+texts of a batch and no n-gram reaches over them, so rows are judged one by one and
+repeated rows agree; other columns are untouched. Texts of any length are scored
+whole: long ones in pieces, between which the Viterbi pass hands on its state.
 """
 
 from __future__ import annotations
 
+import codecs
 from collections.abc import Iterator
 
 import numpy as np
@@ -28,17 +32,19 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from barsmith.llm.common import documents, in_fold, small_batches, text_bytes
+from barsmith.llm.common import ASCII_SPACE, documents, in_fold, small_batches, text_bytes
 
-SAMPLE_ROWS = 20_000
+LANGUAGE_ROWS = 5_000  # labelled rows of a language that the model is fitted on, about
 FOLDS, HELD_OUT = 5, 0  # a null doc_id is in no fold: learned from
 SLOT_BITS = 17
 ORDERS = (2, 3, 4)
+CONTEXT = max(ORDERS) - 1  # bytes before its last one that an n-gram reaches back
 SWITCH_PENALTY = 8.0  # nats
 OUTSIDE = -20.0  # score of a word in a language that doesn't use its scripts
 SCRIPT_SHARE = 0.001  # a language uses a script with at least this share of its letters
 SEGMENT = 64  # words per step-wise pass; longer texts are joined from segments
 GROUP_BYTES = 1 << 20
+STATE_BYTES = 32 << 20  # bound of back pointers: a label squared for each word
 
 # First and last code points of scripts (Unicode blocks).
 SCRIPT_RANGES = (
@@ -137,13 +143,20 @@ def _counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([pa.array([lang] * len(at)), pa.array(at, pa.int32()), pa.array(counts[at])], ["lang", "slot", "n"])
 
 
-def fit(docs: DataFrame, sample_rows: int = SAMPLE_ROWS) -> dict:
+def sample(docs: DataFrame, language_rows: int = LANGUAGE_ROWS) -> DataFrame:
+    """(lang, text) of about ``language_rows`` labelled rows of each language; all of a rarer one."""
+    labelled = docs.filter("lang is not null and text is not null").select(
+        "lang", "text", F.xxhash64(F.coalesce(F.col("doc_id").cast("long"), -1 - F.monotonically_increasing_id())).alias("_h"))
+    # a row per language: the model holds far more for each
+    sizes = docs.filter("lang is not null and text is not null").groupBy(F.col("lang").alias("_lang")).agg(F.count("*").alias("_n"))
+    share = F.col("_h").bitwiseAND(F.lit((1 << 53) - 1)).cast("double") / float(1 << 53)
+    drawn = labelled.join(F.broadcast(sizes), F.col("lang") == F.col("_lang")).filter(share * F.col("_n") < language_rows)
+    return drawn.select("lang", "text")
+
+
+def fit(docs: DataFrame, language_rows: int = LANGUAGE_ROWS) -> dict:
     """The model of the labelled rows of ``docs`` (columns doc_id, text, lang)."""
-    labelled = docs.filter("lang is not null and text is not null")
-    n = labelled.count()
-    if n > sample_rows:
-        labelled = labelled.filter(F.pmod(F.xxhash64("doc_id"), F.lit(1_000_000)) < int(1_000_000 * sample_rows / n))
-    counts = labelled.select("lang", text_bytes().alias("text")).mapInArrow(_counts, "lang string, slot int, n long")
+    counts = sample(docs, language_rows).select("lang", text_bytes().alias("text")).mapInArrow(_counts, "lang string, slot int, n long")
     table = counts.groupBy("lang", "slot").agg(F.sum("n").alias("n")).toArrow()
     langs = sorted(set(table["lang"].to_pylist()), key=str.encode)
     size = 1 << SLOT_BITS
@@ -160,30 +173,58 @@ def fit(docs: DataFrame, sample_rows: int = SAMPLE_ROWS) -> dict:
 # ---------------------------------------------------------------- prediction
 
 
-def word_scores(data: np.ndarray, model: dict) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(first byte, bytes if it has letters of a script, scores per language) of each word."""
+BLANKS = np.full(CONTEXT, 32, np.uint8)
+
+
+def group_bytes(model: dict) -> int:
+    """Bytes of text that are labelled together: fewer for many languages."""
+    return max(1 << 12, min(GROUP_BYTES, STATE_BYTES // max(len(model["langs"]), 1) ** 2))
+
+
+def word_scores(data: np.ndarray, model: dict, before: np.ndarray = BLANKS) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(first byte, bytes if it has letters of a learned script, scores per language) of each word.
+
+    ``before`` are the ``CONTEXT`` bytes in front of ``data``, the last one a blank. N-grams
+    that end at a word's bytes or at the blank behind it count for the word.
+    """
     space = data == 32
     first = np.flatnonzero(~space & np.append(True, space[:-1]))
     langs = len(model["langs"])
+    scores = np.zeros((len(first), langs), np.float32)
+    bits, size = np.zeros(len(first), np.uint32), np.zeros(len(first), np.int64)
     if not len(first):
-        return first, np.zeros(0, np.int64), np.zeros((0, langs), np.float32)
-    total = np.zeros((len(data), langs), np.float32)
-    for s in slots(data):
-        total += model["score"][s]
-    total /= len(ORDERS)  # n-grams of several orders tell much the same
-    scores = np.add.reduceat(total, first, axis=0)
-    bits = np.bitwise_or.reduceat(script_bits(data), first)
-    size = np.add.reduceat((~space).astype(np.int64), first)
+        return first, size, scores
+    padded = np.concatenate([before, data])
+    step = group_bytes(model)
+    for at in range(0, len(data), step):  # a word may reach over several steps
+        end = min(at + step, len(data))
+        lo = max(int(np.searchsorted(first, at, "right")) - 1, 0)
+        hi = int(np.searchsorted(first, end))
+        if lo == hi:
+            continue
+        part = padded[at : end + CONTEXT]
+        total = np.zeros((end - at, langs), np.float32)
+        for s in slots(part):
+            total += model["score"][s[CONTEXT:]]
+        total /= len(ORDERS)  # n-grams of several orders tell much the same
+        blank = part == 32
+        total[blank[CONTEXT:] & blank[CONTEXT - 1 : -1]] = 0.0
+        starts = np.maximum(first[lo:hi] - at, 0)
+        scores[lo:hi] += np.add.reduceat(total, starts, axis=0)
+        bits[lo:hi] |= np.bitwise_or.reduceat(script_bits(data[at : end + 3])[: end - at], starts)
+        size[lo:hi] += np.add.reduceat((~space[at:end]).astype(np.int64), starts)
     scores -= scores.max(axis=1, keepdims=True)
     kinds, of = np.unique(bits, return_inverse=True)
     shift = np.zeros((len(kinds), langs), np.float32)
+    told = np.zeros(len(kinds), bool)
     for k, mask in enumerate(kinds.tolist()):
         allowed = np.array([any(mask >> b & 1 and model["uses"][x, b] for b in range(N_SCRIPTS)) for x in range(langs)])
-        if allowed.any():
+        told[k] = allowed.any()
+        if told[k]:
             shift[k, ~allowed] = OUTSIDE
     scores += shift[of]
-    scores[bits == 0] = 0.0  # no letters: any language
-    return first, np.where(bits > 0, size, 0), scores
+    scores[~told[of]] = 0.0  # no letters of a learned script: any language
+    return first, np.where(told[of], size, 0), scores
 
 
 def viterbi(scores: np.ndarray, first_word: np.ndarray, penalty: float) -> np.ndarray:
@@ -194,6 +235,15 @@ def viterbi(scores: np.ndarray, first_word: np.ndarray, penalty: float) -> np.nd
     label at once, then the segments of a text are joined. Exact: the same labels
     as one pass over each text.
     """
+    return viterbi_piece(scores, first_word, penalty)[0]
+
+
+def viterbi_piece(scores: np.ndarray, first_word: np.ndarray, penalty: float, state_before: np.ndarray | None = None, leave_by: int | None = None) -> tuple[np.ndarray, int, np.ndarray]:
+    """``viterbi``; of a single text also the label before it and the score of each label at its end.
+
+    A piece of a longer text has the score of each label in front of it
+    (``state_before``) and the label that its last word must have (``leave_by``).
+    """
     n, langs = scores.shape
     lengths = np.diff(np.append(first_word, n))
     per_text = -(-lengths // SEGMENT)
@@ -224,6 +274,8 @@ def viterbi(scores: np.ndarray, first_word: np.ndarray, penalty: float) -> np.nd
     some = some[np.argsort(-per_text[some], kind="stable")]
     steps = int(per_text.max(initial=0))
     state = np.zeros((len(some), langs))  # any label may come before the first word
+    if state_before is not None:
+        state[:] = state_before
     enter = np.zeros((lanes, langs), np.int64)  # by lane: best entry for each label at its end
     for k in range(steps):
         m = int(np.searchsorted(-per_text[some], -k))
@@ -234,6 +286,8 @@ def viterbi(scores: np.ndarray, first_word: np.ndarray, penalty: float) -> np.nd
     leave = np.zeros(lanes, np.int64)
     entry = np.zeros(lanes, np.int64)
     now = state.argmax(axis=1)
+    if leave_by is not None:
+        now[:] = leave_by
     for k in range(steps - 1, -1, -1):
         m = int(np.searchsorted(-per_text[some], -k))
         at = place[seg_first[some[:m]] + k]
@@ -246,7 +300,7 @@ def viterbi(scores: np.ndarray, first_word: np.ndarray, penalty: float) -> np.nd
         m = int(np.searchsorted(-size, -t))
         labels[start[:m] + t] = label[:m]
         label[:m] = back[t, np.arange(m), entry[:m], label[:m]]
-    return labels
+    return labels, int(now[0]) if len(now) else 0, state[0] if len(state) else np.zeros(langs)
 
 
 RESULT = T.StructType([
@@ -260,54 +314,126 @@ _SPAN = pa.struct([("lang", pa.string()), ("first_word", pa.int64()), ("n_words"
 
 
 def _no_letter(text: bytes) -> bool:
-    return not any(c.isalpha() for c in text.decode("utf-8", "replace"))
+    decode = codecs.getincrementaldecoder("utf-8")("replace").decode
+    return not any(any(c.isalpha() for c in decode(text[at : at + GROUP_BYTES])) for at in range(0, len(text), GROUP_BYTES))
+
+
+def _folded(text: bytes) -> np.ndarray:
+    return _FOLD[np.frombuffer(text, np.uint8)]
 
 
 def label_texts(texts: list[bytes], model: dict) -> pa.StructArray:
     langs = model["langs"]
-    joined = _FOLD[np.frombuffer(b" ".join(texts) + b" ", np.uint8)]
-    ends = np.cumsum([len(t) + 1 for t in texts])
+    gap = b" " * CONTEXT
+    joined = _folded(gap.join(texts) + gap)
+    ends = np.cumsum([len(t) + CONTEXT for t in texts])
     first, weight, scores = word_scores(joined, model)
     bounds = np.searchsorted(first, np.append(0, ends))
     labels = viterbi(scores.astype(np.float64), bounds[:-1], SWITCH_PENALTY)
     text_of = np.repeat(np.arange(len(texts)), np.diff(bounds))
     by_lang = np.zeros((len(texts), len(langs)))
     np.add.at(by_lang, (text_of, labels), weight)
-    total = by_lang.sum(axis=1)
-    winner = by_lang.argmax(axis=1)
-    share = np.where(total > 0, by_lang.max(axis=1) / np.maximum(total, 1), 0.0)
     # spans: runs of one label within a text
     new = np.flatnonzero(np.append(True, (labels[1:] != labels[:-1]) | (text_of[1:] != text_of[:-1]))) if len(labels) else np.zeros(0, np.int64)
-    span_text = text_of[new]
+    return _result(texts, langs, by_lang, text_of[new], labels[new], new - bounds[text_of[new]], np.diff(np.append(new, len(labels))))
+
+
+def piece_ends(text: bytes, size: int) -> list[int]:
+    """Ends of parts of about ``size`` bytes, behind a blank each: no word is cut."""
+    ends, end = [], 0
+    while end < len(text):
+        end = min(end + size, len(text))
+        while end < len(text) and text[end - 1] not in ASCII_SPACE:
+            found = np.flatnonzero(_folded(text[end : end + size]) == 32)
+            end = end + int(found[0]) + 1 if len(found) else min(end + size, len(text))
+        ends.append(end)
+    return ends
+
+
+def label_long(text: bytes, model: dict) -> pa.StructArray:
+    """``label_texts`` of one text, in memory of a piece of it: a pass over the pieces finds
+    the scores of labels between them, one back the labels inside."""
+    langs = model["langs"]
+    ends = piece_ends(text, group_bytes(model))
+    starts = [0, *ends[:-1]]
+
+    def piece(k: int) -> tuple[np.ndarray, np.ndarray]:
+        before = np.concatenate([BLANKS, _folded(text[max(starts[k] - CONTEXT, 0) : starts[k]])])[-CONTEXT:]
+        data = _folded(text[starts[k] : ends[k]])
+        _, weight, scores = word_scores(np.append(data, BLANKS) if ends[k] == len(text) else data, model, before)
+        return weight, scores.astype(np.float64)
+
+    one = np.zeros(1, np.int64)
+    states = [np.zeros(len(langs))]  # score of each label in front of each piece
+    for k in range(len(ends)):
+        _, scores = piece(k)
+        state = viterbi_piece(scores, one, SWITCH_PENALTY, states[k])[2] if len(scores) else states[k]
+        states.append(state - state.max())
+    by_lang = np.zeros((1, len(langs)))
+    leave = int(states[-1].argmax())
+    runs: list[tuple[np.ndarray, np.ndarray]] = []
+    for k in reversed(range(len(ends))):
+        weight, scores = piece(k)
+        if not len(scores):
+            continue
+        labels, leave, _ = viterbi_piece(scores, one, SWITCH_PENALTY, states[k], leave)
+        np.add.at(by_lang[0], labels, weight)
+        new = np.flatnonzero(np.append(True, labels[1:] != labels[:-1]))
+        runs.append((labels[new], np.diff(np.append(new, len(labels)))))
+    label, length = (np.concatenate([np.zeros(0, np.int64), *[r[i] for r in reversed(runs)]]) for i in (0, 1))
+    new = np.flatnonzero(np.append(True, label[1:] != label[:-1])) if len(label) else np.zeros(0, np.int64)
+    start = (np.cumsum(length) - length)[new]
+    return _result([text], langs, by_lang, np.zeros(len(new), np.int64), label[new], start, np.diff(np.append(start, length.sum())))
+
+
+def _result(texts: list[bytes], langs: list[str], by_lang: np.ndarray, span_text: np.ndarray, label: np.ndarray, start: np.ndarray, length: np.ndarray) -> pa.StructArray:
+    """``RESULT`` of texts, from bytes by label and the spans (text, label, first word, words)."""
+    total = by_lang.sum(axis=1)
+    share = np.where(total > 0, by_lang.max(axis=1) / np.maximum(total, 1), 0.0)
     names = np.array(langs, object)
-    spans = pa.StructArray.from_arrays(
-        [pa.array(names[labels[new]], pa.string()), pa.array(new - bounds[span_text]), pa.array(np.diff(np.append(new, len(labels))))], fields=list(_SPAN))
+    spans = pa.StructArray.from_arrays([pa.array(names[label], pa.string()), pa.array(start), pa.array(length)], fields=list(_SPAN))
     offsets = np.searchsorted(span_text, np.arange(len(texts) + 1)).astype(np.int32)
-    predicted = names[winner]
-    for i in np.flatnonzero(total == 0):  # no letter of a listed script
+    predicted = names[by_lang.argmax(axis=1)]
+    for i in np.flatnonzero(total == 0):  # no letter of a learned script
         if _no_letter(texts[i]):
-            predicted[i], share[i] = "und", 0.0
+            predicted[i] = "und"
     return pa.StructArray.from_arrays(
         [pa.array(predicted, pa.string()), pa.array(share), pa.ListArray.from_arrays(pa.array(offsets), spans)], RESULT.names)
 
 
+def _unlearned(n: int) -> pa.StructArray:
+    return pa.StructArray.from_arrays([pa.array(["und"] * n, pa.string()), pa.array([0.0] * n, pa.float64()), pa.array([[]] * n, pa.list_(_SPAN))], RESULT.names)
+
+
+def label_batch(items: pa.Array, model: dict) -> pa.StructArray:
+    """``RESULT`` of each text of an Arrow array of bytes, in groups of bounded size."""
+    if not model["langs"] or not len(items):
+        return _unlearned(len(items))
+    limit = group_bytes(model)
+    parts: list[pa.StructArray] = []
+    texts: list[bytes] = []
+    size = 0
+    for item in items:
+        text = item.as_py() or b""
+        if texts and size + len(text) + CONTEXT > limit:
+            parts.append(label_texts(texts, model))
+            texts, size = [], 0
+        if len(text) + CONTEXT > limit:
+            parts.append(label_long(text, model))
+        else:
+            texts.append(text)
+            size += len(text) + CONTEXT
+    if texts:
+        parts.append(label_texts(texts, model))
+    return pa.concat_arrays(parts)
+
+
 def label_udf(model: dict):
     """Column function text bytes -> ``RESULT`` struct."""
 
     def label(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         for batch in batches:
-            parts, texts, size = [], [], 0
-            for i, item in enumerate(batch):
-                texts.append(item.as_py() or b"")
-                size += len(texts[-1])
-                if size >= GROUP_BYTES or i + 1 == len(batch):
-                    if model["langs"]:
-                        parts.append(label_texts(texts, model))
-                    else:
-                        spans = pa.array([[]] * len(texts), pa.list_(_SPAN))
-                        parts.append(pa.StructArray.from_arrays([pa.array(["und"] * len(texts)), pa.array([0.0] * len(texts)), spans], RESULT.names))
-                    texts, size = [], 0
-            yield pa.concat_arrays(parts) if parts else pa.StructArray.from_arrays([pa.array([], pa.string()), pa.array([], pa.float64()), pa.array([], pa.list_(_SPAN))], RESULT.names)
+            yield label_batch(batch, model)
 
     label.__annotations__ = {"batches": Iterator[pa.Array], "return": Iterator[pa.Array]}
     return F.arrow_udf(label, RESULT)
@@ -323,8 +449,10 @@ def identify(docs: DataFrame, text: str | Column = "text") -> Column:
 
 
 def keep_identified(docs: DataFrame) -> DataFrame:
-    """``docs`` without rows whose language can't be told (no text or no letter)."""
-    return docs.filter(identify(docs)["lang_pred"] != "und")
+    """``docs`` without rows whose language can't be told: no text, no letter, or no letter
+    of a script that a learned language uses (score 0)."""
+    found = identify(docs)
+    return docs.filter((found["lang_pred"] != "und") & (found["score"] > 0))
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -2,7 +2,7 @@
 
 Each language present in the table gets a *reference*: the histogram of
 character classes over all its text, and the histogram of its common short words
-(the ``COMMON_WORDS`` most frequent words of at most ``SHORT`` bytes, plus one bin
+(the ``COMMON_WORDS`` most frequent words of at most ``SHORT`` characters, plus one bin
 for all other words). A document is compared with every reference by the
 Jensen-Shannon distance (square root of the divergence in bits, 0 to 1); its
 distances are those to its nearest reference, and it fails when one of them
@@ -37,7 +37,7 @@ WORD_MIN_WORDS = MIN_WORDS  # guard: shorter texts aren't judged by common words
 CHAR_LIMIT = 0.28  # Jensen-Shannon distance of character classes
 WORD_LIMIT = 0.48  # Jensen-Shannon distance of common words
 COMMON_WORDS = 100
-SHORT = 6
+SHORT = 6  # characters, of any script
 
 SYMBOLS = b"#*$%&|<>"
 N_CLASSES = 9
@@ -63,7 +63,8 @@ def _class_table() -> np.ndarray:
 
 
 CLASS_OF = _class_table()
-_NOT_IN_WORDS = ASCII_SPACE + bytes(range(0x80, 0xC0))
+_CONTINUATION = bytes(range(0x80, 0xC0))
+_NOT_IN_WORDS = ASCII_SPACE + _CONTINUATION
 
 
 def char_histogram(text: bytes) -> np.ndarray:
@@ -132,6 +133,11 @@ _STATS = T.StructType([
 _FLUSH = 200_000  # distinct words held per task before they are handed on
 
 
+def is_short(word: bytes) -> bool:
+    """Whether a word has at most ``SHORT`` characters (of up to four bytes each)."""
+    return len(word) <= SHORT or (len(word) <= 4 * SHORT and len(word.translate(None, _CONTINUATION)) <= SHORT)
+
+
 def _language_stats(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     schema = pa.schema([("lang", pa.string()), ("word", pa.binary()), ("n", pa.int64()), ("chars", pa.list_(pa.int64()))])
     words: dict[str, Counter] = {}
@@ -151,7 +157,7 @@ def _language_stats(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatc
             if lang is None or not text:
                 continue
             found = text.lower().split()
-            words.setdefault(lang, Counter()).update([w for w in found if len(w) <= SHORT])
+            words.setdefault(lang, Counter()).update(filter(is_short, found))
             totals[lang] += len(found)
             chars[lang] = chars.get(lang, 0) + char_histogram(text)
         if sum(map(len, words.values())) > _FLUSH:
@@ -167,7 +173,7 @@ def references(docs: DataFrame) -> DataFrame:
     common = (
         stats.filter("word is not null")
         .groupBy("lang", "word").agg(F.sum("n").alias("n"))
-        # a distinct word count bounded by SHORT bytes per language is ranked here
+        # distinct words of at most SHORT characters per language is ranked here
         .withColumn("r", F.row_number().over(top)).filter(F.col("r") <= COMMON_WORDS)
         .groupBy("lang").agg(F.sort_array(F.collect_list(F.struct("r", "word", "n"))).alias("common"))
     )

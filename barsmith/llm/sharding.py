@@ -6,9 +6,12 @@ nearly equal bytes. The splitters between them are found by counting: candidate
 boundaries are broadcast, every partition counts its bytes and rows between them,
 and each splitter's bracket is probed anew until a boundary is within ``TOLERANCE`` of
 a shard's share of its ideal place, or no row lies between the best two. Boundaries
-between texts are tried first; a group of equal texts is only split where the
-tolerance can't be met without. Then rows are exchanged once, by sub-ranges of their
-shard whose exact row counts give every row its slot without a second pass.
+between texts are tried first; a group of equal texts stays whole unless that would
+miss the ideal place by more than ``GROUP_MISS`` of a share and by more than
+``GROUP_ROWS`` of its rows (rows that count for at most ``ROWS_MISS`` of a share).
+Then rows are exchanged once, by slices of their shard that hold about as many rows
+each (found by the same probing, of row counts) and whose exact row counts give every
+row its slot without a second pass.
 
 Edge cases: a null or empty text counts no bytes of its own, every row the overhead of
 ``ROW_BYTES``. Null or repeated ``doc_id``s are hashed like others; rows that agree in
@@ -19,6 +22,7 @@ columns are ignored. An empty table gives no rows.
 
 from __future__ import annotations
 
+from bisect import bisect_right
 from collections.abc import Iterator
 
 import numpy as np
@@ -32,8 +36,11 @@ from barsmith.llm.common import documents, shuffle_partitions, text_bytes, writt
 SHARDS = 40
 ROW_BYTES = 16
 TOLERANCE = 0.005  # of a shard's share
+GROUP_MISS = 0.01  # of a share: a miss that a group of equal texts isn't split for
+GROUP_ROWS, ROWS_MISS = 1.5, 0.1  # likewise in rows of the group, up to that part of a share
+SLICE_MISS = 0.25  # of a slice's rows
 PROBES = 32  # per splitter and round
-SLICE_ROWS = 200_000  # rows per sub-range of a shard, about
+SLICE_ROWS = 200_000  # rows per slice of a shard, about
 GROUP_SPAN = 1 << 24  # keys of one text-hash prefix
 TOP = 1 << 64
 
@@ -81,16 +88,19 @@ def histogram(rows: DataFrame, places: list[int]) -> tuple[list[int], list[int]]
     return np.cumsum(size)[:-1].tolist(), np.cumsum(number)[:-1].tolist()
 
 
-def splitters(rows: DataFrame, shards: int = SHARDS, tolerance: float = TOLERANCE) -> list[int]:
-    """The first key of each shard but shard 0, as places in 0..2^64; ascending."""
-    total, number = rows.agg(F.sum("size"), F.count("*")).first()
+def boundaries(rows: DataFrame, parts: int, by: str, tolerance: float, whole_groups: bool) -> list[int]:
+    """The first key of each part but the first, as places in 0..2^64, ascending; parts have
+    nearly equal totals of ``by`` (``bytes`` or ``rows``)."""
+    size, number = rows.agg(F.sum("size"), F.count("*")).first()
     if not number:
-        return [TOP] * (shards - 1)
-    goal = [total * (j + 1) / shards for j in range(shards - 1)]
-    near = tolerance * total / shards
-    # per splitter: (place, bytes below, rows below) at either end of its bracket
+        return [TOP] * (parts - 1)
+    of = 1 if by == "bytes" else 2
+    total = (0, size, number)[of]
+    share = total / parts
+    goal = [total * (j + 1) / parts for j in range(parts - 1)]
+    # per boundary: (place, bytes below, rows below) at either end of its bracket
     low = [(0, 0, 0)] * len(goal)
-    high = [(TOP, total, number)] * len(goal)
+    high = [(TOP, size, number)] * len(goal)
     chosen: list[int | None] = [None] * len(goal)
     while None in chosen:
         probes: set[int] = set()
@@ -101,31 +111,41 @@ def splitters(rows: DataFrame, shards: int = SHARDS, tolerance: float = TOLERANC
                 steps = (b[0] - a[0]) // unit
                 probes.update(a[0] + unit * (steps * i // (PROBES + 1)) for i in range(1, PROBES + 1))
         places = sorted(p for p in probes if 0 < p < TOP)
-        size, below = histogram(rows, places)
+        inside = list(zip(places, *histogram(rows, places)))
+        between = [f for f in inside if f[0] % GROUP_SPAN == 0]
+        below = {id(f): [x[of] for x in f] for f in (inside, between)}
         for j in range(len(goal)):
             if chosen[j] is not None:
                 continue
-            for p, s, n in zip(places, size, below):
-                if low[j][0] < p < high[j][0]:
-                    if s <= goal[j]:
-                        low[j] = (p, s, n)
-                    else:
-                        high[j] = (p, s, n)
-                        break
+            # another boundary's probes inside a text don't count before the bracket is one text
+            found = between if high[j][0] - low[j][0] > GROUP_SPAN else inside
+            after = bisect_right(below[id(found)], goal[j])  # probes before this one lie at or below the goal
+            if after and found[after - 1][0] > low[j][0]:
+                low[j] = found[after - 1]
+            if after < len(found) and found[after][0] < high[j][0]:
+                high[j] = found[after]
             a, b = low[j], high[j]
-            best = a if goal[j] - a[1] <= b[1] - goal[j] else b
-            if abs(best[1] - goal[j]) <= near or b[2] - a[2] <= 1 or b[0] - a[0] <= 1:
+            best = a if goal[j] - a[of] <= b[of] - goal[j] else b
+            near = tolerance * share
+            if whole_groups and b[0] - a[0] == GROUP_SPAN and b[2] > a[2]:
+                row = (b[of] - a[of]) / (b[2] - a[2])
+                near = max(near, GROUP_MISS * share, min(GROUP_ROWS * row, ROWS_MISS * share))
+            if abs(best[of] - goal[j]) <= near or b[2] - a[2] <= 1 or b[0] - a[0] <= 1:
                 chosen[j] = best[0]
     return list(np.maximum.accumulate(np.array(chosen, object)))
 
 
+def splitters(rows: DataFrame, shards: int = SHARDS, tolerance: float = TOLERANCE) -> list[int]:
+    """The first key of each shard but shard 0, as places in 0..2^64; ascending."""
+    return boundaries(rows, shards, "bytes", tolerance, True)
+
+
 def shard(rows: DataFrame, shards: int = SHARDS, tolerance: float = TOLERANCE, slice_rows: int = SLICE_ROWS) -> DataFrame:
     """``rows`` (a written ``keyed`` table) with ``shard`` and ``slot``, exchanged by ranges of the key."""
     cuts = [0, *splitters(rows, shards, tolerance), TOP]
-    n = rows.count()
-    # sub-ranges: even steps of the key inside each shard, as many as its rows ask for
-    each = max(1, -(-n // (shards * slice_rows)), -(-shuffle_partitions(rows.sparkSession) // shards))
-    places = sorted({a + (b - a) * i // each for a, b in zip(cuts, cuts[1:]) for i in range(each)} | set(cuts[1:-1]))
+    # slices of as many rows, however the keys lie; the cuts of shards are edges too
+    slices = max(-(-rows.count() // slice_rows), shuffle_partitions(rows.sparkSession))
+    places = sorted({*boundaries(rows, slices, "rows", SLICE_MISS, False), *cuts[1:-1]})
     places = [p for p in places if 0 < p < TOP]
     _, below = histogram(rows, places)
     edges, first_row = [0, *places], [0, *below]
