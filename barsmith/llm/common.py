@@ -7,9 +7,11 @@ travel to Python as UTF-8 bytes, and ``bytes.lower()`` lower-cases A-Z only.
 
 from __future__ import annotations
 
+import ctypes
 import os
 import uuid
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -122,6 +124,15 @@ def among(rows: DataFrame, key: str, wanted: DataFrame, n: int) -> DataFrame:
     return rows.withColumn("_word", word).join(F.broadcast(bits), "_word").filter(F.col("_bits").bitwiseAND(mark) != 0).drop("_word", "_bits")
 
 
+def give_back() -> None:
+    """Hand memory that the allocators hold free back to the system. Called at the end of a
+    Python task: its worker lives on beside those of later stages."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # glibc
+    if trim is not None:
+        trim(0)
+
+
 def require_stable_hash() -> None:
     """Raise unless ``hash(bytes)`` agrees between Python workers.
 

@@ -32,7 +32,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from barsmith.llm.common import ASCII_SPACE, documents, in_fold, small_batches, text_bytes
+from barsmith.llm.common import ASCII_SPACE, documents, give_back, in_fold, small_batches, text_bytes
 
 LANGUAGE_ROWS = 5_000  # labelled rows of a language that the model is fitted on, about
 FOLDS, HELD_OUT = 5, 0  # a null doc_id is in no fold: learned from
@@ -141,6 +141,7 @@ def _counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for lang, counts in found.items():
         at = np.flatnonzero(counts)
         yield pa.RecordBatch.from_arrays([pa.array([lang] * len(at)), pa.array(at, pa.int32()), pa.array(counts[at])], ["lang", "slot", "n"])
+    give_back()
 
 
 def sample(docs: DataFrame, language_rows: int = LANGUAGE_ROWS) -> DataFrame:
@@ -434,6 +435,7 @@ def label_udf(model: dict):
     def label(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         for batch in batches:
             yield label_batch(batch, model)
+        give_back()
 
     label.__annotations__ = {"batches": Iterator[pa.Array], "return": Iterator[pa.Array]}
     return F.arrow_udf(label, RESULT)

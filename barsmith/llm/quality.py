@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql import Window
 
-from barsmith.llm.common import ASCII_SPACE, documents, small_batches, text_bytes
+from barsmith.llm.common import ASCII_SPACE, documents, give_back, small_batches, text_bytes
 
 MIN_WORDS = 50  # base rule: fewer words fail
 REPEAT_PERCENT = 50  # base rule: more words inside repeated 3-word windows fail
@@ -163,6 +163,7 @@ def _language_stats(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatc
         if sum(map(len, words.values())) > _FLUSH:
             yield from flush()
     yield from flush()
+    give_back()
 
 
 def references(docs: DataFrame) -> DataFrame:
@@ -261,6 +262,7 @@ def verdict_udf(ref: dict):
             columns = list(zip(*rows)) or [()] * len(VERDICT)
             kinds = [pa.int64()] * 5 + [pa.bool_()] * 2 + [pa.float64()] * 2
             yield pa.StructArray.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], VERDICT.names)
+        give_back()
 
     judge.__annotations__ = {"batches": Iterator[pa.Array], "return": Iterator[pa.Array]}
     return F.arrow_udf(judge, VERDICT)
